@@ -15,23 +15,19 @@ def decode_changes(events: DataFrame, id_field: str = "id_transaction", extra: S
     pass through.
     """
     kind = "string" if as_text else "bigint"
-    row = ", ".join([f"`{id_field}` {kind}", *(f"`{e}` string" for e in extra)])
-    parsed = F.from_json(F.col(value).cast("string"), f"before struct<{_fields(row)}>, after struct<{_fields(row)}>",
-                         {"mode": "PERMISSIVE"})
+    row = ", ".join([f"`{id_field}`: {kind}", *(f"`{e}`: string" for e in extra)])
+    event = F.from_json(F.col(value).cast("string"), f"before struct<{row}>, after struct<{row}>")
     kept = [c for c in events.columns if c != value]
-    image = F.coalesce("event.after", "event.before")
+    gone = F.col(f"event.after.{id_field}").isNull()
+    image = F.when(gone, F.col("event.before")).otherwise(F.col("event.after"))
     return (
-        events.select(*kept, parsed.alias("event"))
-        .select(*kept, image.alias("image"), F.col("event.after").isNull().alias("deleted"))
+        events.select(*kept, event.alias("event"))
+        .select(*kept, image.alias("image"), gone.alias("deleted"))
         .filter(F.col(f"image.{id_field}").isNotNull())
         .select(*kept, F.col(f"image.{id_field}").alias("id"), *(F.col(f"image.{e}").alias(e) for e in extra), "deleted")
     )
 
 
-def _fields(columns: str) -> str:
-    return ", ".join(f"{name}: {kind}" for name, kind in (c.strip().rsplit(" ", 1) for c in columns.split(",")))
-
-
 def latest_changes(changes: DataFrame, order: str = "offset") -> DataFrame:
     """The last state of every id in a batch."""
     return changes.groupBy("id").agg(F.max_by("deleted", order).alias("deleted"))

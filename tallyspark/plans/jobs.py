@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tallyspark.functions import rules, times
 from tallyspark.operators import progress
-from tallyspark.plans.refresh import Level, Mart, close_period, in_period, refresh, stored_rows, touched_keys
+from tallyspark.plans.refresh import (
+    Level, Mart, close_period, in_period, in_recovery, refresh, stored_rows, touched_keys,
+)
 from tallyspark.schema import MartTable
+from tallyspark.session import Scratch
 from tallyspark.sinks.store import MartStore
 from tallyspark.sources.tables import Source
 
@@ -43,16 +46,17 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
     ``entity`` holds the source rows as they are now, ``ids`` everything that changed, deleted rows included. Ids, new
     raw rows, old raw rows and touched keys are each written once and read by all levels.
     """
-    ids = store.keep(ids.select("id").distinct(), f"{mart.name}_ids")
-    rows = store.keep(mart.raw_rows(source, entity), f"{mart.name}_rows")
+    scratch = Scratch(store.spark)
+    ids = scratch.keep(ids.select("id").distinct(), "ids")
+    rows = scratch.keep(mart.raw_rows(source, entity), "rows")
     stored = store.load(mart.raw)
     doomed = stored_rows(stored.filter(_id_range(ids, mart.raw.key[0])), mart, ids)
     if also_doomed is not None:
         doomed = doomed.unionByName(stored.filter(also_doomed))
-    doomed = store.keep(doomed, f"{mart.name}_doomed")
-    touched = store.keep(touched_keys(mart, doomed, rows), f"{mart.name}_touched") if mart.levels else None
+    doomed = scratch.keep(doomed, "doomed")
+    touched = scratch.keep(touched_keys(mart, doomed, rows), "touched") if mart.levels else None
     refresh(mart, _apply_to(store), doomed, rows, before=before, touched=touched)
-    store.clean()
+    scratch.clean()
 
 
 def run_increment(store: MartStore, mart: Mart, source: Source, start: datetime, end: datetime, now: datetime, *,
@@ -89,12 +93,7 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
     scope = rules.merchant_scope(merchants, outlet)
     entity = mart.source_rows(source).filter(rules.within(mart.clocks["recovery"], start, end) & scope)
     count = entity.count()
-    if mart.clears_range:
-        also = rules.within("datetime", start, end) & scope
-    else:
-        also = None
-    if count == 0:
-        also = F.col("date").between(F.lit(start.date()), F.lit(end.date())) & scope
+    also = in_recovery(mart, start, end, scope, source_is_empty=count == 0)
     refresh_stored(store, mart, source, entity, entity, also_doomed=also)
     if count == 0:
         resum_periods(store, mart, start.date(), end.date(), merchants=merchants, outlet=outlet)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
-from datetime import date
+from dataclasses import dataclass, replace
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyspark.functions.rules import merchant_scope
+from tallyspark.functions.rules import merchant_scope, within
 from tallyspark.functions.times import before_month, before_year
 from tallyspark.operators.keys import distinct_keys, having_keys, replace_keys
 from tallyspark.plans import compliment, reservation, sales, tax
@@ -20,6 +20,8 @@ from tallyspark.sources.tables import Source
 
 # Puts a change into a table and returns the table after it.
 Apply = Callable[[MartTable, DataFrame, DataFrame], DataFrame]
+# Stores an intermediate result under a name and returns it read back.
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,11 @@ class Mart:
     def tables(self) -> list[MartTable]:
         return [self.raw, *(level.table for level in self.levels)]
 
+    def up_to(self, table: MartTable) -> Mart:
+        """The mart without the levels above a table."""
+        names = [t.name for t in self.tables]
+        return replace(self, levels=self.levels[:names.index(table.name)])
+
     def source_rows(self, source: Source) -> DataFrame:
         return getattr(source, self.entity)
 
@@ -143,15 +150,54 @@ def refresh(mart: Mart, apply: Apply, doomed: DataFrame, rows: DataFrame, *, bef
     return after
 
 
-def in_memory(tables: Mapping[str, DataFrame]) -> Apply:
-    """Apply changes to DataFrames without writing anything."""
-    return lambda table, keys, rows: replace_keys(
-        tables[table.name].select(*table.column_names), keys, rows, table.key)
+def in_memory(tables: Mapping[str, DataFrame], keep: Keep | None = None) -> Apply:
+    """Apply changes to DataFrames instead of stored tables."""
+    def apply(table: MartTable, keys: DataFrame, rows: DataFrame) -> DataFrame:
+        after = replace_keys(tables[table.name].select(*table.column_names), keys, table.conform(rows), table.key)
+        return keep(after, table.name) if keep else after
+
+    return apply
+
+
+def in_recovery(mart: Mart, start: datetime, end: datetime, scope: Column, source_is_empty: bool) -> Column | None:
+    """Stored rows that a recovery drops whether or not the source still knows their ids."""
+    if source_is_empty:
+        return F.col("date").between(F.lit(start.date()), F.lit(end.date())) & scope
+    return within("datetime", start, end) & scope if mart.clears_range else None
+
+
+def recover(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start: datetime, end: datetime, *,
+            merchants=None, outlet: int | None = None, source_is_empty: bool = False,
+            keep: Keep | None = None) -> dict[str, DataFrame]:
+    """All tables of a mart after rebuilding a range; the given tables stay as they are."""
+    scope = merchant_scope(merchants, outlet)
+    entity = mart.source_rows(source).filter(within(mart.clocks["recovery"], start, end) & scope)
+    cleared = in_recovery(mart, start, end, scope, source_is_empty)
+    return _refreshed(mart, tables, source, entity, cleared, None, keep)
+
+
+def increment(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start: datetime,
+              end: datetime | None = None, *, keep: Keep | None = None) -> dict[str, DataFrame]:
+    """All tables of a mart after one window on the change time; the given tables stay as they are."""
+    entity = mart.source_rows(source).filter(within(mart.clocks["etl"], start, end))
+    return _refreshed(mart, tables, source, entity, None, start.date(), keep)
+
+
+def _refreshed(mart: Mart, tables: Mapping[str, DataFrame], source: Source, entity: DataFrame, cleared: Column | None,
+               before: date | None, keep: Keep | None) -> dict[str, DataFrame]:
+    stored, kept = tables[mart.raw.name], keep or (lambda df, name: df)
+    doomed = stored_rows(stored, mart, entity)
+    if cleared is not None:
+        doomed = doomed.unionByName(stored.filter(cleared))
+    doomed = kept(doomed, "doomed")
+    rows = kept(mart.raw_rows(source, entity), "rows")
+    return refresh(mart, in_memory(tables, keep), doomed, rows, before=before)
 
 
-def full(mart: Mart, source: Source) -> dict[str, DataFrame]:
-    """All tables of a mart computed from scratch."""
-    tables = {mart.raw.name: mart.raw_rows(source, None)}
+def full(mart: Mart, source: Source, keep: Keep | None = None) -> dict[str, DataFrame]:
+    """All tables of a mart computed from scratch; ``keep`` stores the raw rows that all levels start from."""
+    raw = mart.raw_rows(source, None)
+    tables = {mart.raw.name: keep(raw, mart.raw.name) if keep else raw}
     for level in mart.levels:
         tables[level.table.name] = level.table.conform(level.build(tables[level.parent.name]))
     return tables

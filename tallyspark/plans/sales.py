@@ -18,6 +18,10 @@ from tallyspark.sources.tables import Source
 CLOCKS = {"etl": "updated_at", "recovery": "sold_at"}
 
 
+def is_sale() -> Column:
+    return rules.has_status() & rules.has_purpose() & rules.sane_sale_time()
+
+
 def changed_transactions(source: Source, start: datetime | None = None, end: datetime | None = None, *,
                          mode: str = "etl", merchants: Sequence[int] | int | None = None,
                          outlet: int | None = None) -> DataFrame:
@@ -26,16 +30,12 @@ def changed_transactions(source: Source, start: datetime | None = None, end: dat
     An increment selects on the change time, a recovery on the time of sale.
     """
     return source.transactions.filter(
-        rules.within(CLOCKS[mode], start, end)
-        & rules.has_status() & rules.has_purpose() & rules.sane_sale_time()
-        & rules.merchant_scope(merchants, outlet)
-    )
+        rules.within(CLOCKS[mode], start, end) & is_sale() & rules.merchant_scope(merchants, outlet))
 
 
 def transactions_by_id(source: Source, ids: DataFrame) -> DataFrame:
     """Sales transactions with the listed ids (column ``id``), cancelled ones included."""
-    listed = having_keys(source.transactions, ids, ["id"])
-    return listed.filter(rules.has_status() & rules.has_purpose() & rules.sane_sale_time())
+    return having_keys(source.transactions, ids, ["id"]).filter(is_sale())
 
 
 def batch_rows(transactions: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def sales_raw(source: Source, transactions: DataFrame | None = None) -> DataFram
 
     ``transactions`` limits the work to a batch; without it the whole source is taken.
     """
-    chosen = (changed_transactions(source) if transactions is None else transactions).filter(rules.is_active())
+    chosen = (source.transactions if transactions is None else transactions).filter(is_sale() & rules.is_active())
     joined = star(children_of(source, None if transactions is None else chosen), chosen)
     return SALES_RAW.conform(joined.select(
         F.col("transaction_id").alias("id_transaction"), "merchant_id", "outlet_id",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyspark.functions import rules
 from tallyspark.functions.money import MONEY, money, money_or_zero, total, total_or_zero, total_where
 from tallyspark.operators.keys import distinct_keys, lacking_keys
-from tallyspark.plans.sales import changed_transactions, children_of, paid_value, settled_commission, star
+from tallyspark.plans.sales import children_of, is_sale, paid_value, settled_commission, star
 from tallyspark.sources.tables import Source
 
 BILL = ("merchant_id", "outlet_id", "receipt_no")
@@ -19,7 +19,7 @@ def split_bill_children(source: Source, parents: DataFrame) -> DataFrame:
     Parts are summed per bill before they meet the parent, so a bill with very many parts is combined on the map side
     and the join back is one row to one. Change belongs to the parent and is taken off once per cash payment.
     """
-    heads = parents.filter(rules.is_active() & rules.is_split_parent() & F.col("receipt_no").isNotNull())
+    heads = parents.filter(is_sale() & rules.is_active() & rules.is_split_parent() & F.col("receipt_no").isNotNull())
     parts = source.transactions.filter(F.col("parent_receipt_no").isNotNull()).select(
         "id", "merchant_id", "outlet_id", F.col("parent_receipt_no").alias("receipt_no"), "total")
     parts = parts.join(heads.select(*BILL).distinct(), list(BILL), "left_semi")
@@ -38,7 +38,7 @@ def split_bill_children(source: Source, parents: DataFrame) -> DataFrame:
 
 def sales_net_raw(source: Source, transactions: DataFrame | None = None) -> DataFrame:
     """One row per active transaction that settles its own bill, with the parts of a split bill added to the parent."""
-    window = changed_transactions(source) if transactions is None else transactions
+    window = (source.transactions if transactions is None else transactions).filter(is_sale())
     chosen = window.filter(rules.is_active() & rules.settles_own_bill())
     joined = star(children_of(source, None if transactions is None else chosen), chosen)
     parts = split_bill_children(source, window).select(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyspark.functions import rules
 from tallyspark.functions.money import money, money_or_zero, total, total_or_zero
 from tallyspark.operators.aggregate import roll_up
-from tallyspark.plans.sales import changed_transactions, children_of
+from tallyspark.plans.sales import changed_transactions, children_of, is_sale
 from tallyspark.schema import TAX_MEASURES, TAX_RAW
 from tallyspark.sources.tables import Source
 
@@ -48,8 +48,8 @@ def line_taxes(details: DataFrame, extends: DataFrame) -> DataFrame:
 
 def tax_raw(source: Source, transactions: DataFrame | None = None) -> DataFrame:
     """The raw mart. Line taxes replace the tax of the receipt as soon as one line is extended."""
-    chosen = (changed_transactions(source) if transactions is None else transactions)
-    chosen = chosen.filter(rules.is_active() & taxable())
+    chosen = source.transactions if transactions is None else transactions
+    chosen = chosen.filter(is_sale() & rules.is_active() & taxable())
     children = children_of(source, None if transactions is None else chosen)
     taxes = line_taxes(children.details, children.detail_extends)
     joined = chosen.join(taxes, chosen.id == taxes.transaction_id, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session options every plan here relies on. Skewed shuffle partitions are split even where that costs one more
 # exchange, so that a key holding a large share of the rows never lands in a single task.
@@ -48,3 +48,40 @@ def shared_dir(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="tallyspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tallyspark-{uuid.uuid4().hex}"
+
+
+class Scratch:
+    """Intermediate results as tables in the shared folder.
+
+    A result that several steps need is written once and read back, which also cuts its lineage. The tables outlive lost
+    executors; ``clean`` removes them.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._folder = spark, None
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self._folder = self._folder or shared_dir(self.spark)
+        path = f"{self._folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clean(self) -> None:
+        if self._folder:
+            delete_path(self.spark, self._folder)
+            self._folder = None
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)

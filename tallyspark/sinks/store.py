@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyspark.operators.keys import lacking_keys
 from tallyspark.schema import HISTORY, MartTable
-from tallyspark.session import shared_dir
+from tallyspark.session import delete_path, path_exists
 
 
 class MartStore:
@@ -26,7 +26,6 @@ class MartStore:
 
     def __init__(self, spark: SparkSession, root: str, grain: str = "day"):
         self.spark, self.root, self.grain = spark, root.rstrip("/"), grain
-        self._scratch = None
 
     # -- reading ---------------------------------------------------------------------------------------------------
 
@@ -36,7 +35,7 @@ class MartStore:
     def load(self, table: MartTable, parts: Sequence[Row] | None = None) -> DataFrame:
         """The table with its partition columns, limited to some partitions if given; empty before the first write."""
         schema = self._stored_schema(table)
-        if not self._exists(self.path(table)):
+        if not path_exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
         stored = self.spark.read.schema(schema).parquet(self.path(table))
         return stored if parts is None else stored.filter(_in_partitions(parts))
@@ -72,7 +71,7 @@ class MartStore:
         if parts:
             kept = keep(self.load(table, parts)).select(*rows.columns)
             staged = f"{self.root}/_staged/{table.name}"
-            self._delete(staged)
+            delete_path(self.spark, staged)
             self.spark.createDataFrame(parts).coalesce(1).write.json(f"{staged}/parts")
             self._write(kept.unionByName(rows), table, f"{staged}/rows")
             self._publish(table)
@@ -86,13 +85,13 @@ class MartStore:
         self._write(rows, table, self.path(table), mode="overwrite")
         # Dynamic overwrite leaves alone what it brings no rows for, so partitions that became empty go by name.
         for emptied in lacking_keys(parts, rows.select(*places).distinct(), places).collect():
-            self._delete(self.path(table) + "".join(f"/{p}={emptied[p]}" for p in places))
-        self._delete(staged)
+            delete_path(self.spark, self.path(table) + "".join(f"/{p}={emptied[p]}" for p in places))
+        delete_path(self.spark, staged)
 
     def resume(self, *tables: MartTable) -> None:
         """Finish changes that were staged completely but not published."""
         for table in tables:
-            if self._exists(f"{self.root}/_staged/{table.name}/rows/_SUCCESS"):
+            if path_exists(self.spark, f"{self.root}/_staged/{table.name}/rows/_SUCCESS"):
                 self._publish(table)
 
     def _write(self, df: DataFrame, table: MartTable, path: str, mode: str = "errorifexists") -> None:
@@ -102,43 +101,16 @@ class MartStore:
         (df.hint("rebalance", *(F.col(p) for p in places)).sortWithinPartitions(*places, *within)
          .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(path))
 
-    # -- intermediate tables and the run log -----------------------------------------------------------------------
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate result to the shared folder and go on from the file."""
-        self._scratch = self._scratch or shared_dir(self.spark)
-        path = f"{self._scratch}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def clean(self) -> None:
-        if self._scratch:
-            self._delete(self._scratch)
-            self._scratch = None
+    # -- the run log -----------------------------------------------------------------------------------------------
 
     def history(self, job: str) -> DataFrame:
         path = f"{self.root}/history_{job}"
-        return (self.spark.read.schema(HISTORY).parquet(path) if self._exists(path)
+        return (self.spark.read.schema(HISTORY).parquet(path) if path_exists(self.spark, path)
                 else self.spark.createDataFrame([], HISTORY))
 
     def log(self, job: str, row: DataFrame) -> None:
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/history_{job}")
 
-    # -- file system -----------------------------------------------------------------------------------------------
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
-
-    def _exists(self, path: str) -> bool:
-        fs, target = self._fs(path)
-        return fs.exists(target)
-
-    def _delete(self, path: str) -> None:
-        fs, target = self._fs(path)
-        fs.delete(target, True)
-
 
 def _in_partitions(parts: Sequence[Row]) -> Column:
     """Literal partition filter, so that only those folders are listed and read."""

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyspark.operators.changes import decode_changes, latest_changes
 from tallyspark.plans.jobs import close_periods, run_changes, write_log
 from tallyspark.plans.refresh import Mart
+from tallyspark.session import Scratch
 from tallyspark.sinks.store import MartStore
 from tallyspark.sources.tables import Source
 
@@ -19,16 +20,13 @@ from tallyspark.sources.tables import Source
 def read_feed(spark: SparkSession, kind: str, options: Mapping[str, str], max_events: int = 20_000) -> DataFrame:
     """Raw change events with ``value``, ``partition`` and ``offset``.
 
-    ``kafka`` reads a topic; ``text`` reads a folder of JSON lines, whose file path and line order stand in for
-    partition and offset.
+    ``kafka`` reads a topic; any file format reads a folder of exported events with the same three columns.
     """
-    reader = spark.readStream.format(kind)
+    reader = spark.readStream.format(kind).options(**options)
     if kind == "kafka":
-        reader = reader.option("maxOffsetsPerTrigger", str(max_events))
-        return reader.options(**options).load().select(F.col("value").cast("string"), "partition", "offset")
-    lines = reader.options(**options).load()
-    return lines.select("value", F.col("_metadata.file_path").alias("partition"),
-                        F.monotonically_increasing_id().alias("offset"))
+        events = reader.option("maxOffsetsPerTrigger", str(max_events)).load()
+        return events.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+    return reader.schema("value string, partition int, offset bigint").load()
 
 
 def maintain(store: MartStore, mart: Mart, load_source: Callable[[], Source], feed: DataFrame, checkpoint: str, *,
@@ -42,8 +40,10 @@ def maintain(store: MartStore, mart: Mart, load_source: Callable[[], Source], fe
     def on_batch(events: DataFrame, batch_id: int) -> None:
         started = time.time()
         store.resume(*mart.tables)
-        changes = store.keep(latest_changes(decode_changes(events, id_field)), f"{mart.name}_changes")
+        scratch = Scratch(store.spark)
+        changes = scratch.keep(latest_changes(decode_changes(events, id_field)), "changes")
         batch = run_changes(store, mart, load_source(), changes, clock())
+        scratch.clean()
         finish(batch, batch_id, started)
 
     def finish(batch, batch_id: int, started: float) -> None:
