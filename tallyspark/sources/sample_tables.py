@@ -5,24 +5,92 @@ Every derivation is a plain expression on the row, so SQL on the same files can
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.sources.tables import Source
 
-PRICE = "decimal(12,2)"
 
-
-def _hundredths(column: str) -> Column:
+def _hundredths(column: str) -> str:
     """A two-digit double as a whole number of hundredths; exact, and cheaper than a cast to decimal."""
-    return F.floor(F.col(column) * 100 + 0.5)
-
-
-def _price(hundredths: Column) -> Column:
-    return (hundredths.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(PRICE)
-
-
-def _amount(ten_thousandths: Column) -> Column:
-    return (ten_thousandths.cast("decimal(16,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(18,4)")
+    return f"floor({column} * 100 + 0.5D)"
+
+
+def _price(hundredths: str) -> str:
+    return f"cast(cast({hundredths} AS decimal(12,0)) * 0.01 AS decimal(12,2))"
+
+
+def _amount(ten_thousandths: str) -> str:
+    return f"cast(cast({ten_thousandths} AS decimal(16,0)) * 0.0001 AS decimal(18,4))"
+
+
+SOLD_AT = "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 AS int))"
+TRANSACTION = (
+    "o_orderkey AS id",
+    "cast(n_regionkey AS bigint) AS merchant_id",
+    "cast(c_nationkey AS bigint) AS outlet_id",
+    f"{SOLD_AT} AS sold_at",
+    "o_orderdate + make_dt_interval(cast(o_orderkey % 5 AS int)) AS updated_at",
+    f"if(o_orderkey % 17 <> 0, {SOLD_AT}, NULL) AS paid_at",
+    "CASE WHEN o_orderstatus IN ('F', 'O') THEN '1' WHEN o_orderkey % 2 = 0 THEN '4' ELSE '9' END AS status",
+    "CASE o_orderkey % 10 WHEN 0 THEN '1' WHEN 9 THEN '9' ELSE '5' END AS purpose",
+    "if(o_orderpriority <> '4-NOT SPECIFIED', cast(substring(o_orderpriority, 1, 1) AS int), NULL) AS order_type",
+    """CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 2 THEN '{"tax_base_type": 0}' WHEN 3 THEN '{"tax_base_type": 2}'
+       WHEN 4 THEN '{bad' WHEN 5 THEN '{}' END AS type_detail""",
+    f"{_price(_hundredths('o_totalprice'))} AS total",
+    f"{_price('if(o_orderkey % 7 = 0, ' + _hundredths('o_totalprice') + ', 0)')} AS refund",
+    "CASE WHEN o_orderkey % 11 = 0 THEN 'cancel' WHEN o_orderkey % 2 <> 0 THEN '' END AS refund_reason",
+    f"cast({_amount(_hundredths('o_totalprice') + ' * 11')} AS decimal(12,2)) AS tax_nominal",
+    "cast(o_orderkey % 1000 AS decimal(12,2)) AS cash_change",
+    # The first order of a customer heads that customer's split bills; some later ones are parts of it.
+    "CASE WHEN o_orderkey = head OR o_orderkey % 13 = 1 THEN 1 WHEN o_orderkey % 5 <> 0 THEN 0 END AS split_flag",
+    "CASE WHEN o_orderkey = head THEN 1 WHEN o_orderkey % 13 = 1 THEN 2 ELSE 0 END AS payment_no",
+    "if(o_orderkey % 101 <> 50, concat('N', o_orderkey), NULL) AS receipt_no",
+    "if(o_orderkey <> head AND o_orderkey % 13 = 1, concat('N', head), NULL) AS parent_receipt_no",
+    "if(o_orderkey % 19 <> 0, o_orderkey % 31, NULL) AS cashier_id",
+    "if(o_orderkey % 3 <> 0, o_orderkey % 37, NULL) AS auth_id",
+    "if(o_orderkey % 4 <> 0, concat('note ', o_orderkey), NULL) AS note",
+    "if(o_orderkey % 23 <> 0, o_orderkey % 9, NULL) AS item_count",
+)
+LINE = (
+    # (order, line number) repeats in the files; the line is told apart by all its columns.
+    f"""named_struct('o', l_orderkey, 'n', l_linenumber, 'p', l_partkey, 's', l_suppkey,
+        'q', {_hundredths('l_quantity')}, 'x', {_hundredths('l_extendedprice')}) AS detail_id""",
+    "l_orderkey AS transaction_id", "l_linenumber AS line", "l_partkey AS part",
+    f"{_hundredths('l_quantity')} AS quantity", f"{_hundredths('l_extendedprice')} AS price",
+    f"{_hundredths('l_discount')} AS discount", f"{_hundredths('l_tax')} AS tax", "l_returnflag", "l_linestatus",
+)
+DETAIL = (
+    "detail_id", "transaction_id", f"{_price('quantity')} AS quantity", "unit_cost", f"{_price('price')} AS total_price",
+    f"{_amount('price * tax')} AS product_tax", f"{_amount('price * tax')} AS total_product_tax",
+)
+RESERVATION = (
+    "event_id AS id", "concat('R', event_id) AS reservation_no", "user_id % 10 AS merchant_id",
+    "user_id % 3 AS outlet_id", "user_id AS customer_id",
+    "CASE event_type WHEN 'purchase' THEN 700 WHEN 'signup' THEN 9 WHEN 'error' THEN 15 ELSE 100 END AS status",
+    "ts AS updated_at", "to_date(ts) AS reserved_on", "cast(event_id % 3 AS int) AS type",
+)
+SERVICE = (
+    "event_id AS id", "event_id AS reservation_id", "event_id % 40 AS product_id", "to_date(ts) AS service_date",
+    "date_format(ts, 'HH:mm:ss') AS start_time",
+    # The end is taken from the clock alone, so a service over midnight ends "before" it starts.
+    "date_format(ts + make_dt_interval(0, 0, cast(floor(value) AS int)), 'HH:mm:ss') AS end_time",
+    "user_id % 20 AS employee_id", f"{_price(_hundredths('value'))} AS total_price",
+    "if(event_id % 4 <> 0, 1, 0) AS is_parent",
+)
+
+
+# Columns of the sample files. Stating them spares a Spark job per file.
+FILES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 class SampleTables:
@@ -33,9 +101,8 @@ class SampleTables:
         self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """Open a file once: finding out its schema takes a Spark job."""
         if name not in self._opened:
-            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._opened[name] = self.spark.read.schema(FILES[name]).parquet(f"{self.folder}/{name}.parquet")
         return self._opened[name]
 
     def source(self) -> Source:
@@ -48,120 +115,47 @@ class SampleTables:
 
     def transactions(self) -> DataFrame:
         orders = self.table("orders")
-        key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        # First order of a customer heads the split bills of that customer.
-        heads = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("head"))
+        heads = orders.groupBy(F.col("o_custkey").alias("customer")).agg(F.min("o_orderkey").alias("head"))
         place = (self.table("customer").select("c_custkey", "c_nationkey")
-                 .join(self.table("nation").select("n_nationkey", "n_regionkey"),
-                       F.col("c_nationkey") == F.col("n_nationkey"))
-                 .join(heads, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey"))
-        is_head = key == F.col("head")
-        is_child = ~is_head & (key % 13 == 1)
-        joined = orders.join(place, F.col("o_custkey") == F.col("c_custkey"))
-        sold_at = day + F.make_dt_interval(F.lit(0), (key % 24).cast("int"))
-        return joined.select(
-            key.alias("id"),
-            F.col("n_regionkey").cast("bigint").alias("merchant_id"),
-            F.col("c_nationkey").cast("bigint").alias("outlet_id"),
-            sold_at.alias("sold_at"),
-            (day + F.make_dt_interval((key % 5).cast("int"))).alias("updated_at"),
-            F.when(key % 17 != 0, sold_at).alias("paid_at"),
-            F.when(F.col("o_orderstatus").isin("F", "O"), "1").when(key % 2 == 0, "4").otherwise("9").alias("status"),
-            F.when(key % 10 == 0, "1").when(key % 10 == 9, "9").otherwise("5").alias("purpose"),
-            F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED",
-                   F.substring("o_orderpriority", 1, 1).cast("int")).alias("order_type"),
-            _by_remainder(key, 6, "", None, '{"tax_base_type": 0}', '{"tax_base_type": 2}', "{bad", "{}")
-            .alias("type_detail"),
-            _price(_hundredths("o_totalprice")).alias("total"),
-            _price(F.when(key % 7 == 0, _hundredths("o_totalprice")).otherwise(0)).alias("refund"),
-            F.when(key % 11 == 0, "cancel").when(key % 2 != 0, "").alias("refund_reason"),
-            _amount(_hundredths("o_totalprice") * 11).cast(PRICE).alias("tax_nominal"),
-            (key % 1000).cast(PRICE).alias("cash_change"),
-            F.when(is_head | is_child, 1).when(key % 5 != 0, 0).alias("split_flag"),
-            F.when(is_head, 1).when(is_child, 2).otherwise(0).alias("payment_no"),
-            F.when(key % 101 != 50, F.concat(F.lit("N"), key)).alias("receipt_no"),
-            F.when(is_child, F.concat(F.lit("N"), F.col("head"))).alias("parent_receipt_no"),
-            F.when(key % 19 != 0, key % 31).alias("cashier_id"),
-            F.when(key % 3 != 0, key % 37).alias("auth_id"),
-            F.when(key % 4 != 0, F.concat(F.lit("note "), key)).alias("note"),
-            F.when(key % 23 != 0, key % 9).alias("item_count"),
-        )
-
-    def _lines(self) -> DataFrame:
-        # (order, line number) repeats in the files; the line is told apart by all its columns.
-        line_id = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-        return self.table("lineitem").select(
-            line_id.alias("detail_id"), F.col("l_orderkey").alias("transaction_id"),
-            F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"),
-            _hundredths("l_quantity").alias("quantity"), _hundredths("l_extendedprice").alias("price"),
-            _hundredths("l_discount").alias("discount"), _hundredths("l_tax").alias("tax"),
-            "l_returnflag", "l_linestatus",
-        )
+                 .join(self.table("nation").select("n_nationkey", "n_regionkey"), F.expr("c_nationkey = n_nationkey"))
+                 .join(heads, F.expr("c_custkey = customer")))
+        return orders.join(place, F.expr("o_custkey = c_custkey")).selectExpr(*TRANSACTION)
+
+    def _lines(self, condition: str = "true") -> DataFrame:
+        return self.table("lineitem").filter(condition).selectExpr(*LINE)
 
     def details(self) -> DataFrame:
-        part = self.table("part").select("p_partkey", _price(_hundredths("p_retailprice")).alias("unit_cost"))
-        tax = _amount(F.col("price") * F.col("tax"))
-        return self._lines().join(part, F.col("part") == F.col("p_partkey"), "left").select(
-            "detail_id", "transaction_id", _price(F.col("quantity")).alias("quantity"), "unit_cost",
-            _price(F.col("price")).alias("total_price"), tax.alias("product_tax"), tax.alias("total_product_tax"),
-        )
+        part = self.table("part").selectExpr("p_partkey", f"{_price(_hundredths('p_retailprice'))} AS unit_cost")
+        return self._lines().join(part, F.expr("part = p_partkey"), "left").selectExpr(*DETAIL)
 
     def addons(self) -> DataFrame:
-        part = self.table("part").filter("p_type = 'PROMO'").select(
-            "p_partkey", F.lit(1).cast("decimal(6,2)").alias("quantity"),
-            F.col("p_size").cast("decimal(6,2)").alias("material_quantity"),
-            _amount(_hundredths("p_retailprice")).alias("unit_cost"))
-        return (self._lines().select("detail_id", "part").join(part, F.col("part") == F.col("p_partkey"))
-                .drop("part", "p_partkey"))
+        part = self.table("part").filter("p_type = 'PROMO'").selectExpr(
+            "p_partkey", "cast(1 AS decimal(6,2)) AS quantity", "cast(p_size AS decimal(6,2)) AS material_quantity",
+            f"{_amount(_hundredths('p_retailprice'))} AS unit_cost")
+        return self._lines().join(part, F.expr("part = p_partkey")).select(
+            "detail_id", part.quantity, "material_quantity", "unit_cost")
 
     def commissions(self) -> DataFrame:
-        return self._lines().filter("l_returnflag = 'A'").select(
-            "transaction_id", _amount(F.col("price") * F.col("discount")).alias("nominal"))
+        return self._lines("l_returnflag = 'A'").selectExpr(
+            "transaction_id", f"{_amount('price * discount')} AS nominal")
 
     def payments(self) -> DataFrame:
-        return self._lines().filter("line <= 2").select(
-            "transaction_id", F.col("line").alias("method_id"),
-            _amount(F.col("price") * (100 - F.col("discount"))).alias("value"),
-            _amount(F.col("price") * F.col("tax")).alias("mdr"))
+        return self._lines("l_linenumber <= 2").selectExpr(
+            "transaction_id", "line AS method_id", f"{_amount('price * (100 - discount)')} AS value",
+            f"{_amount('price * tax')} AS mdr")
 
     def promos(self) -> DataFrame:
-        return self._lines().select(
-            "transaction_id", F.col("line").alias("category_id"),
-            _amount(F.col("price") * F.col("discount")).alias("value"))
+        return self._lines().selectExpr("transaction_id", "line AS category_id", f"{_amount('price * discount')} AS value")
 
     def detail_extends(self) -> DataFrame:
-        return self._lines().filter("l_linestatus = 'F'").select(F.col("detail_id").alias("id"), "detail_id")
+        return self._lines("l_linestatus = 'F'").selectExpr("detail_id AS id", "detail_id")
 
     def accounts(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").select(
-            key.alias("id"), F.when(key % 3 == 0, F.lit(0)).otherwise(key - key % 3).alias("parent_id"),
-            F.col("c_name").alias("email"))
+        return self.table("customer").selectExpr(
+            "c_custkey AS id", "if(c_custkey % 3 = 0, 0, c_custkey - c_custkey % 3) AS parent_id", "c_name AS email")
 
     def reservations(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_id").alias("id"), F.concat(F.lit("R"), "event_id").alias("reservation_no"),
-            (F.col("user_id") % 10).alias("merchant_id"), (F.col("user_id") % 3).alias("outlet_id"),
-            F.col("user_id").alias("customer_id"),
-            F.when(F.col("event_type") == "purchase", 700).when(F.col("event_type") == "signup", 9)
-            .when(F.col("event_type") == "error", 15).otherwise(100).alias("status"),
-            F.col("ts").alias("updated_at"), F.to_date("ts").alias("reserved_on"),
-            (F.col("event_id") % 3).cast("int").alias("type"))
+        return self.table("events").selectExpr(*RESERVATION)
 
     def services(self) -> DataFrame:
-        # The end is taken from the clock alone, so a service over midnight ends "before" it starts.
-        end = F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int"))
-        return self.table("events").select(
-            F.col("event_id").alias("id"), F.col("event_id").alias("reservation_id"),
-            (F.col("event_id") % 40).alias("product_id"), F.to_date("ts").alias("service_date"),
-            F.date_format("ts", "HH:mm:ss").alias("start_time"), F.date_format(end, "HH:mm:ss").alias("end_time"),
-            (F.col("user_id") % 20).alias("employee_id"), _price(_hundredths("value")).alias("total_price"),
-            F.when(F.col("event_id") % 4 != 0, 1).otherwise(0).alias("is_parent"))
-
-
-def _by_remainder(key: Column, modulus: int, *values: str | None) -> Column:
-    chosen = F.lit(None).cast("string")
-    for remainder, value in enumerate(values):
-        if value is not None:
-            chosen = F.when(key % modulus == remainder, F.lit(value)).otherwise(chosen)
-    return chosen
+        return self.table("events").selectExpr(*SERVICE)
