@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DecimalType, DoubleType, StructField, StructType
 
 # 18 digits still fit a machine word in Spark rows and parquet. A larger amount is an error in ANSI mode, never a wrap.
 MONEY = DecimalType(18, 4)
@@ -34,7 +34,5 @@ def total_where(condition: Column, column: Column | str) -> Column:
 
 def as_doubles(df: DataFrame) -> DataFrame:
     """Expose decimal columns as doubles, the type the mart tables are read back with."""
-    return df.select(
-        *(F.col(f.name).cast(DoubleType()).alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
-          for f in df.schema.fields)
-    )
+    return df.to(StructType([
+        StructField(f.name, DoubleType() if isinstance(f.dataType, DecimalType) else f.dataType) for f in df.schema]))

@@ -55,7 +55,7 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
         doomed = doomed.unionByName(stored.filter(also_doomed))
     doomed = scratch.keep(doomed, "doomed")
     touched = scratch.keep(touched_keys(mart, doomed, rows), "touched") if mart.levels else None
-    refresh(mart, _apply_to(store), doomed, rows, before=before, touched=touched)
+    refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched)
     scratch.clean()
 
 

@@ -113,18 +113,19 @@ def touched_keys(mart: Mart, *raw_rows: DataFrame) -> DataFrame:
     return distinct_keys(*(steer(rows) for rows in raw_rows), key=wanted)
 
 
-def level_keys(touched: DataFrame, table: MartTable, before: date | None = None) -> DataFrame:
+def level_keys(touched: DataFrame, table: MartTable, before: date | None = None,
+               current: DataFrame | None = None) -> DataFrame:
     """Keys of one level.
 
-    With ``before``, months and years that are still running at that day are left out: they are built once, when they
-    are closed.
+    With ``before``, months and years still running at that day wait until they are closed, unless the ``current`` table
+    has a row for the key already: what is published stays right.
     """
-    keys = touched
-    if before is not None and table.calendar == ("year", "month"):
-        keys = keys.filter(before_month("year", "month", before))
-    elif before is not None and table.calendar == ("year",):
-        keys = keys.filter(before_year("year", before))
-    return keys.select(*dict.fromkeys((*table.key, *table.calendar))).distinct()
+    keys = touched.select(*dict.fromkeys((*table.key, *table.calendar))).distinct()
+    if before is None or table.calendar == ("date",):
+        return keys
+    over = before_month("year", "month", before) if "month" in table.calendar else before_year("year", before)
+    closed, running = keys.filter(over), keys.filter(~over)
+    return closed.unionByName(having_keys(running, current.filter(~over), table.key))
 
 
 def rebuild(level: Level, parent: DataFrame, keys: DataFrame) -> DataFrame:
@@ -132,8 +133,8 @@ def rebuild(level: Level, parent: DataFrame, keys: DataFrame) -> DataFrame:
     return level.build(having_keys(steer(parent), keys, level.table.key))
 
 
-def refresh(mart: Mart, apply: Apply, doomed: DataFrame, rows: DataFrame, *, before: date | None = None,
-            touched: DataFrame | None = None) -> dict[str, DataFrame]:
+def refresh(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply, doomed: DataFrame, rows: DataFrame, *,
+            before: date | None = None, touched: DataFrame | None = None) -> dict[str, DataFrame]:
     """Carry one batch through a raw mart and its levels; returns every table after the change.
 
     ``doomed`` are stored raw rows to go, ``rows`` the raw rows that take their place. Keys of both are rebuilt from
@@ -144,7 +145,7 @@ def refresh(mart: Mart, apply: Apply, doomed: DataFrame, rows: DataFrame, *, bef
     after = {mart.raw.name: apply(mart.raw, places, rows)}
     touched = touched_keys(mart, doomed, rows) if touched is None and mart.levels else touched
     for level in mart.levels:
-        keys = level_keys(touched, level.table, before)
+        keys = level_keys(touched, level.table, before, current(level.table))
         built = rebuild(level, after[level.parent.name], keys)
         after[level.table.name] = apply(level.table, keys, built)
     return after
@@ -191,7 +192,7 @@ def _refreshed(mart: Mart, tables: Mapping[str, DataFrame], source: Source, enti
         doomed = doomed.unionByName(stored.filter(cleared))
     doomed = kept(doomed, "doomed")
     rows = kept(mart.raw_rows(source, entity), "rows")
-    return refresh(mart, in_memory(tables, keep), doomed, rows, before=before)
+    return refresh(mart, lambda table: tables[table.name], in_memory(tables, keep), doomed, rows, before=before)
 
 
 def full(mart: Mart, source: Source, keep: Keep | None = None) -> dict[str, DataFrame]:

@@ -60,7 +60,8 @@ class MartTable:
         return df.select(*(F.col(self.published_name(c)).cast(kind).alias(c) for c, kind in self.columns))
 
     def conform(self, df: DataFrame) -> DataFrame:
-        return df.select(*(F.col(c).cast(kind).alias(c) for c, kind in self.columns))
+        """Columns, order and types of the table."""
+        return df.to(self.schema)
 
     def partitions(self, grain: str) -> dict[str, Column]:
         """Storage partition columns for a grain of ``day`` or ``month``."""

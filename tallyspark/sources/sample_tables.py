@@ -16,7 +16,8 @@ def _hundredths(column: str) -> str:
 
 
 def _price(hundredths: str) -> str:
-    return f"cast(cast({hundredths} AS decimal(12,0)) * 0.01 AS decimal(12,2))"
+    """Amounts of the files have at most eight digits; Spark sums decimals that narrow as plain integers."""
+    return f"cast(cast({hundredths} AS decimal(8,0)) * 0.01 AS decimal(8,2))"
 
 
 def _amount(ten_thousandths: str) -> str:
@@ -39,7 +40,7 @@ TRANSACTION = (
     f"{_price(_hundredths('o_totalprice'))} AS total",
     f"{_price('if(o_orderkey % 7 = 0, ' + _hundredths('o_totalprice') + ', 0)')} AS refund",
     "CASE WHEN o_orderkey % 11 = 0 THEN 'cancel' WHEN o_orderkey % 2 <> 0 THEN '' END AS refund_reason",
-    f"cast({_amount(_hundredths('o_totalprice') + ' * 11')} AS decimal(12,2)) AS tax_nominal",
+    f"cast({_amount(_hundredths('o_totalprice') + ' * 11')} AS decimal(8,2)) AS tax_nominal",
     "cast(o_orderkey % 1000 AS decimal(12,2)) AS cash_change",
     # The first order of a customer heads that customer's split bills; some later ones are parts of it.
     "CASE WHEN o_orderkey = head OR o_orderkey % 13 = 1 THEN 1 WHEN o_orderkey % 5 <> 0 THEN 0 END AS split_flag",
