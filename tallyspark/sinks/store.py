@@ -82,7 +82,7 @@ class MartStore:
         schema = self._stored_schema(table)
         rows = self.spark.read.schema(schema).parquet(f"{staged}/rows")
         parts = self.spark.read.schema(StructType([StructField(p, StringType()) for p in places])).json(f"{staged}/parts")
-        self._write(rows, table, self.path(table), mode="overwrite")
+        self._write(rows, table, self.path(table), mode="overwrite", balanced=True)
         # Dynamic overwrite leaves alone what it brings no rows for, so partitions that became empty go by name.
         for emptied in lacking_keys(parts, rows.select(*places).distinct(), places).collect():
             delete_path(self.spark, self.path(table) + "".join(f"/{p}={emptied[p]}" for p in places))
@@ -94,12 +94,14 @@ class MartStore:
             if path_exists(self.spark, f"{self.root}/_staged/{table.name}/rows/_SUCCESS"):
                 self._publish(table)
 
-    def _write(self, df: DataFrame, table: MartTable, path: str, mode: str = "errorifexists") -> None:
-        """Write by partition, in files of even size: a rebalance splits hot partitions and merges tiny ones."""
+    def _write(self, df: DataFrame, table: MartTable, path: str, mode: str = "errorifexists",
+               balanced: bool = False) -> None:
+        """Write by partition. A rebalance splits hot partitions and merges tiny ones, unless the rows come balanced."""
         places = list(table.partitions(self.grain))
         within = [c for c in ("merchant_id", "outlet_id") if c in df.columns]
-        (df.hint("rebalance", *(F.col(p) for p in places)).sortWithinPartitions(*places, *within)
-         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(path))
+        spread = df if balanced else df.hint("rebalance", *(F.col(p) for p in places))
+        (spread.sortWithinPartitions(*places, *within).write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(path))
 
     # -- the run log -----------------------------------------------------------------------------------------------
 
