@@ -55,7 +55,7 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
         doomed = doomed.unionByName(stored.filter(also_doomed))
     doomed = scratch.keep(doomed, "doomed")
     touched = scratch.keep(touched_keys(mart, doomed, rows), "touched") if mart.levels else None
-    refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched)
+    refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched, near=store.near)
     scratch.clean()
 
 
@@ -122,7 +122,8 @@ def resum_periods(store: MartStore, mart: Mart, start: date, end: date, *, merch
 def resum_period(store: MartStore, level: Level, year: int, month: int | None = None, merchants=None,
                  outlet: int | None = None) -> None:
     """Replace one month or year of a level, partition by partition."""
-    parent = store.load(level.parent).filter(_partition_prefix(level.parent, year, month))
+    finer = level.by_key_from or level.parent
+    parent = store.load(finer).filter(_partition_prefix(finer, year, month))
     rows = close_period(level, parent, year, month, merchants, outlet)
     part = Row(p_year=str(year)) if month is None else Row(p_month=f"{year:04d}-{month:02d}")
     doomed = in_period(year, month) & rules.merchant_scope(merchants, outlet)

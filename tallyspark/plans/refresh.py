@@ -26,11 +26,16 @@ Keep = Callable[[DataFrame, str], DataFrame]
 
 @dataclass(frozen=True)
 class Level:
-    """An aggregate mart and the table it is summed from."""
+    """An aggregate mart and the table it is summed from.
+
+    A batch rebuilds single keys. Years take those from the days (``by_key_from``): the months of a running year may not
+    be published yet, so their sum could be short.
+    """
 
     table: MartTable
     parent: MartTable
     build: Callable[[DataFrame], DataFrame]
+    by_key_from: MartTable | None = None
 
 
 @dataclass(frozen=True)
@@ -66,13 +71,13 @@ class Mart:
 SALES = Mart(
     "sales", "transactions", SALES_RAW, sales.sales_raw,
     (Level(SALES_HOURLY, SALES_RAW, sales.sales_hourly), Level(SALES_DAILY, SALES_HOURLY, sales.sales_daily_from_hourly),
-     Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly), Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly)),
+     Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly), Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly, SALES_DAILY)),
     {"etl": "updated_at", "recovery": "sold_at"}, True,
 )
 TAX = Mart(
     "tax", "transactions", TAX_RAW, tax.tax_raw,
     (Level(TAX_DAILY, TAX_RAW, tax.tax_daily), Level(TAX_MONTHLY, TAX_DAILY, tax.tax_monthly),
-     Level(TAX_YEARLY, TAX_MONTHLY, tax.tax_yearly)),
+     Level(TAX_YEARLY, TAX_MONTHLY, tax.tax_yearly, TAX_DAILY)),
     {"etl": "updated_at", "recovery": "sold_at"}, True,
 )
 COMPLIMENT = Mart(
@@ -129,14 +134,17 @@ def level_keys(touched: DataFrame, table: MartTable, before: date | None = None,
 
 
 def rebuild(level: Level, parent: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of a level for some keys, from the level below."""
+    """Rows of a level for some keys, from a finer one."""
     return level.build(having_keys(steer(parent), keys, level.table.key))
 
 
 def refresh(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply, doomed: DataFrame, rows: DataFrame, *,
-            before: date | None = None, touched: DataFrame | None = None) -> dict[str, DataFrame]:
+            before: date | None = None, touched: DataFrame | None = None,
+            near: Callable[[MartTable, DataFrame, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Carry one batch through a raw mart and its levels; returns every table after the change.
 
+    ``near`` may narrow a table to the periods of some keys before it is searched for them.
+
     ``doomed`` are stored raw rows to go, ``rows`` the raw rows that take their place. Keys of both are rebuilt from
     what remains, so a key that lost its last row disappears and a key that lost one of several does not.
     """
@@ -146,7 +154,9 @@ def refresh(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply,
     touched = touched_keys(mart, doomed, rows) if touched is None and mart.levels else touched
     for level in mart.levels:
         keys = level_keys(touched, level.table, before, current(level.table))
-        built = rebuild(level, after[level.parent.name], keys)
+        finer = level.by_key_from or level.parent
+        parent = near(finer, after[finer.name], keys) if near else after[finer.name]
+        built = rebuild(level, parent, keys)
         after[level.table.name] = apply(level.table, keys, built)
     return after
 

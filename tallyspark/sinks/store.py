@@ -43,6 +43,20 @@ class MartStore:
     def _stored_schema(self, table: MartTable) -> StructType:
         return StructType(table.schema.fields + [StructField(p, StringType()) for p in table.partitions(self.grain)])
 
+    def near(self, table: MartTable, stored: DataFrame, keys: DataFrame) -> DataFrame:
+        """A loaded table limited to the storage partitions that rows of the keys' days, months or years can be in.
+
+        The periods are collected: there are as many as the calendar has, whatever the number of keys.
+        """
+        if "date" in keys.columns:
+            places = keys.select(*(e.alias(p) for p, e in table.partitions(self.grain).items())).distinct().collect()
+            return stored.filter(_in_partitions(places))
+        if "month" in keys.columns:
+            months = keys.select(F.format_string("%04d-%02d", "year", "month").alias("p_month")).distinct().collect()
+            return stored.filter(_in_partitions(months))
+        years = [str(row["year"]) for row in keys.select("year").distinct().collect()]
+        return stored.filter(F.substring("p_month", 1, 4).isin(*years) if years else F.lit(False))
+
     # -- writing ---------------------------------------------------------------------------------------------------
 
     def replace(self, table: MartTable, keys: DataFrame, rows: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from tallyspark.plans import jobs, refresh
-from tallyspark.schema import SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, TAX_DAILY
+from tallyspark.schema import SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, TAX_DAILY
 from tallyspark.session import Scratch
 from tallyspark.sinks.store import MartStore
 from tests.shop import at, rows, shop
@@ -65,6 +65,8 @@ def test_running_month_waits_for_its_closing(spark, folder):
     store = loaded(spark, folder, refresh.SALES, before)
     jobs.run_increment(store, refresh.SALES, after, *JUNE, NOW)
     assert rows(store.load(SALES_MONTHLY), "month", "sales_value") == [(5, 109.0)]
+    # The published year is right although June is not published.
+    assert rows(store.load(SALES_YEARLY), "year", "sales_value") == [(2023, 116.0)]
     batch = jobs.Batch(at("2023-07-01"), at("2023-07-01", 13), 1)
     assert jobs.close_periods(store, refresh.SALES, batch, False, True) == (True, True)
     assert rows(store.load(SALES_MONTHLY), "month", "sales_value") == [(5, 109.0), (6, 7.0)]

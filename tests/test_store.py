@@ -86,6 +86,19 @@ def test_reads_are_limited_to_partitions(spark, folder):
     assert "PartitionFilters: [isnotnull(p_day" in plan or "p_day" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+def test_searches_are_limited_to_the_periods_of_the_keys(spark, folder):
+    store = MartStore(spark, folder, "day")
+    stored = store.append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-05-02", 2), ("2023-06-01", 3), ("2022-05-02", 4)))
+    by_day = store.near(TAX_DAILY, stored, daily(spark, ("2023-05-02", 0)))
+    by_month = store.near(TAX_DAILY, stored, spark.createDataFrame([(2023, 5)], "year int, month int"))
+    by_year = store.near(TAX_DAILY, stored, spark.createDataFrame([(2023,)], "year int"))
+    none = store.near(TAX_DAILY, stored, spark.createDataFrame([], "year int"))
+    assert [df.count() for df in (by_day, by_month, by_year, none)] == [1, 2, 3, 0]
+    for df in (by_day, by_month, by_year):
+        scan = df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1]
+        assert scan.startswith("[") and not scan.startswith("[]")
+
+
 def test_published_layout_round_trip(spark):
     df = daily(spark, ("2023-05-01", 1))
     published = TAX_DAILY.publish(df)
