@@ -437,6 +437,7 @@ ORACLE: dict[str, str] = {
     "sales_daily_after_batch": sales_full("daily"),
     "sales_monthly_after_batch": sales_kept_right("monthly", "year < 2001"),
     "sales_yearly_after_batch": sales_kept_right("yearly", "year < 2001"),
+    "sales_net_daily_after_batch": with_(*NET, net_level("daily")) + f"SELECT {sales_out('daily')} FROM lvl",
     "tax_daily_after_batch": tax_full("daily"),
     "tax_monthly_after_batch": tax_kept_right("monthly", "year < 2001"),
     "compliment_raw_after_batch": COMPLIMENT,

@@ -11,8 +11,8 @@ from tallyspark.functions import rules, times
 from tallyspark.functions.money import as_doubles
 from tallyspark.operators import changes, progress
 from tallyspark.operators.aggregate import aggregate
-from tallyspark.operators.keys import delete_range, distinct_keys, having_keys, replace_keys, upsert
-from tallyspark.plans import compliment, jobs, refresh, reservation, sales, sales_net, tax
+from tallyspark.operators.keys import delete_range, distinct_keys, having_keys, upsert
+from tallyspark.plans import compliment, jobs, refresh, reservation, sales, sales_net
 from tallyspark.schema import (
     MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY,
     TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY,
@@ -292,6 +292,7 @@ for _name, _mart, _table, _start in (
     ("sales_daily_after_batch", refresh.SALES, SALES_DAILY, BATCH_START),
     ("sales_monthly_after_batch", refresh.SALES, SALES_MONTHLY, BATCH_START),
     ("sales_yearly_after_batch", refresh.SALES, SALES_YEARLY, BATCH_START),
+    ("sales_net_daily_after_batch", refresh.SALES_NET, SALES_DAILY, BATCH_START),
     ("tax_daily_after_batch", refresh.TAX, TAX_DAILY, BATCH_START),
     ("tax_monthly_after_batch", refresh.TAX, TAX_MONTHLY, BATCH_START),
     ("compliment_raw_after_batch", refresh.COMPLIMENT, refresh.COMPLIMENT.raw, BATCH_START),

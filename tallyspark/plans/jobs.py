@@ -67,7 +67,8 @@ def run_increment(store: MartStore, mart: Mart, source: Source, start: datetime,
         rules.within(clock, start, end) & rules.merchant_scope(merchants, outlet))
     mark = progress.batch_watermark(changed, start, end, now, clock).first()
     if mark["num_row"]:
-        refresh_stored(store, mart, source, changed, changed, before=start.date())
+        batch = mart.batch(source, changed)
+        refresh_stored(store, mart, source, batch, batch, before=start.date())
     return Batch(mark["ts_current"], mark["ts_end"], mark["num_row"])
 
 
@@ -80,7 +81,8 @@ def run_changes(store: MartStore, mart: Mart, source: Source, changes: DataFrame
     entity = mart.source_rows(source).join(living, "id", "left_semi")
     clock = mart.clocks["etl"]
     first, last, count = entity.agg(F.min(clock), F.max(clock), F.count("*")).first()
-    refresh_stored(store, mart, source, entity, ids, before=(first or now).date())
+    entity = mart.batch(source, entity)
+    refresh_stored(store, mart, source, entity, ids.union(entity.select("id")), before=(first or now).date())
     return Batch(first, last, count)
 
 
@@ -94,6 +96,7 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
     entity = mart.source_rows(source).filter(rules.within(mart.clocks["recovery"], start, end) & scope)
     count = entity.count()
     also = in_recovery(mart, start, end, scope, source_is_empty=count == 0)
+    entity = mart.batch(source, entity)
     refresh_stored(store, mart, source, entity, entity, also_doomed=also)
     if count == 0:
         resum_periods(store, mart, start.date(), end.date(), merchants=merchants, outlet=outlet)

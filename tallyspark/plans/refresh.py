@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyspark.functions.rules import merchant_scope, within
 from tallyspark.functions.times import before_month, before_year
 from tallyspark.operators.keys import distinct_keys, having_keys, replace_keys
-from tallyspark.plans import compliment, reservation, sales, tax
+from tallyspark.plans import compliment, reservation, sales, sales_net, tax
 from tallyspark.schema import (
     COMPLIMENT_RAW, MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, SUMMARY_DAILY,
     SUMMARY_RAW, TAX_DAILY, TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY, UTILIZATION_RAW,
@@ -44,7 +44,8 @@ class Mart:
 
     ``raw_rows`` turns source rows into raw mart rows, keeping only what belongs there. ``clocks`` names the source
     column that each kind of window selects on; ``clears_range`` says whether a recovery selects on the time that the
-    raw mart is dated by, so that stored rows of the range which the source no longer has can be recognised.
+    raw mart is dated by, so that stored rows of the range which the source no longer has can be recognised. ``widen``
+    adds source rows whose raw rows depend on those of a batch.
     """
 
     name: str
@@ -54,6 +55,7 @@ class Mart:
     levels: tuple[Level, ...]
     clocks: Mapping[str, str]
     clears_range: bool
+    widen: Callable[[Source, DataFrame], DataFrame] | None = None
 
     @property
     def tables(self) -> list[MartTable]:
@@ -67,6 +69,9 @@ class Mart:
     def source_rows(self, source: Source) -> DataFrame:
         return getattr(source, self.entity)
 
+    def batch(self, source: Source, changed: DataFrame) -> DataFrame:
+        return self.widen(source, changed) if self.widen else changed
+
 
 SALES = Mart(
     "sales", "transactions", SALES_RAW, sales.sales_raw,
@@ -74,6 +79,15 @@ SALES = Mart(
      Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly), Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly, SALES_DAILY)),
     {"etl": "updated_at", "recovery": "sold_at"}, True,
 )
+# The net variant in the same tables; a store holds one of the two.
+SALES_NET = Mart(
+    "sales_net", "transactions", SALES_RAW, sales_net.stored_net_raw,
+    (Level(SALES_HOURLY, SALES_RAW, sales_net.sales_net_hourly),
+     Level(SALES_DAILY, SALES_HOURLY, sales.sales_daily_from_hourly),
+     Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly),
+     Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly, SALES_DAILY)),
+    {"etl": "updated_at", "recovery": "sold_at"}, True, sales_net.with_parents,
+)
 TAX = Mart(
     "tax", "transactions", TAX_RAW, tax.tax_raw,
     (Level(TAX_DAILY, TAX_RAW, tax.tax_daily), Level(TAX_MONTHLY, TAX_DAILY, tax.tax_monthly),
@@ -94,7 +108,7 @@ SUMMARY = Mart(
     (Level(SUMMARY_DAILY, SUMMARY_RAW, reservation.summary_daily),),
     {"etl": "updated_at", "recovery": "updated_at"}, False,
 )
-MARTS = {mart.name: mart for mart in (SALES, TAX, COMPLIMENT, UTILIZATION, SUMMARY)}
+MARTS = {mart.name: mart for mart in (SALES, SALES_NET, TAX, COMPLIMENT, UTILIZATION, SUMMARY)}
 
 
 def steer(df: DataFrame) -> DataFrame:
@@ -197,6 +211,7 @@ def increment(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start
 def _refreshed(mart: Mart, tables: Mapping[str, DataFrame], source: Source, entity: DataFrame, cleared: Column | None,
                before: date | None, keep: Keep | None) -> dict[str, DataFrame]:
     stored, kept = tables[mart.raw.name], keep or (lambda df, name: df)
+    entity = mart.batch(source, entity)
     doomed = stored_rows(stored, mart, entity)
     if cleared is not None:
         doomed = doomed.unionByName(stored.filter(cleared))

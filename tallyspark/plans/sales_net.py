@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.functions import rules
-from tallyspark.functions.money import MONEY, money, money_or_zero, total, total_or_zero, total_where
-from tallyspark.operators.keys import distinct_keys, lacking_keys
+from tallyspark.functions.money import MONEY, money_or_zero, total, total_or_zero, total_where
+from tallyspark.operators.keys import distinct_keys, having_keys, lacking_keys
 from tallyspark.plans.sales import children_of, is_sale, paid_value, settled_commission, star
+from tallyspark.schema import SALES_RAW
 from tallyspark.sources.tables import Source
 
 BILL = ("merchant_id", "outlet_id", "receipt_no")
@@ -57,6 +58,20 @@ def sales_net_raw(source: Source, transactions: DataFrame | None = None) -> Data
     )
 
 
+def with_parents(source: Source, transactions: DataFrame) -> DataFrame:
+    """Transactions of a batch together with the heads of the split bills they are parts of."""
+    bills = transactions.filter(F.col("parent_receipt_no").isNotNull()).select(
+        "merchant_id", "outlet_id", F.col("parent_receipt_no").alias("receipt_no")).distinct()
+    heads = having_keys(source.transactions, bills, list(BILL))
+    return transactions.unionByName(lacking_keys(heads, transactions, ["id"]))
+
+
+def stored_net_raw(source: Source, transactions: DataFrame | None = None) -> DataFrame:
+    """The net raw rows in the layout of the raw mart; every sale counts as a transaction, a refund as none."""
+    counted = F.when(F.col("is_refund"), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
+    return SALES_RAW.conform(sales_net_raw(source, transactions).withColumn("count_transaction", counted))
+
+
 def _net_rollup(raw: DataFrame, **when: Column | str) -> DataFrame:
     """Sales and refunds of a key in one pass.
 

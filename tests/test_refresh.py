@@ -176,3 +176,12 @@ def test_compliments_follow_cancellations(spark, folder):
     after = shop(spark, promos=promos, transactions=[sale(1, status="9"), sale(2)])
     jobs.run_increment(store, refresh.COMPLIMENT, after, *JUNE, NOW)
     assert rows(store.load(refresh.COMPLIMENT.raw), "transaction_id") == [(2,)]
+
+
+def test_a_changed_part_refreshes_the_head_of_its_bill(spark, folder):
+    head, part = dict(split_flag=1, payment_no=1), dict(split_flag=1, payment_no=2, parent_receipt_no="N1")
+    before = shop(spark, transactions=[sale(1, total=50, changed="2023-05-10", **head), sale(2, total=30, **part)])
+    after = shop(spark, transactions=[sale(1, total=50, changed="2023-05-10", **head), sale(2, total=35, **part)])
+    tables = refresh.full(refresh.SALES_NET, before)
+    got = refresh.increment(refresh.SALES_NET.up_to(SALES_DAILY), tables, after, JUNE[0])[SALES_DAILY.name]
+    assert rows(got, "sales_value", "transaction") == [(85.0, 1)]

@@ -32,7 +32,8 @@ def test_replacing_keys(spark, folder, grain):
     store.append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-05-02", 2), ("2023-06-01", 3)))
     store.replace(TAX_DAILY, daily(spark, ("2023-05-02", 0), ("2023-06-01", 0)), daily(spark, ("2023-07-01", 7)))
     assert held(store) == [("2023-05-01", 1.0), ("2023-07-01", 7.0)]
-    assert not path_exists(spark, f"{folder}/{TAX_DAILY.name}/p_month=2023-06")  if grain == "month" else True
+    emptied = "/p_month=2023-06" + ("/p_day=2023-06-01" if grain == "day" else "")
+    assert not path_exists(spark, f"{folder}/{TAX_DAILY.name}{emptied}")
     assert not path_exists(spark, f"{folder}/_staged/{TAX_DAILY.name}")
 
 
