@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,21 +34,10 @@ def session(app: str = "tallyspark", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
-_local_dir: str | None = None
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``.
-
-    A machine-local folder is only taken where the session has no such setting *and* runs in local mode; on a cluster
-    the executors would not see it, so the missing setting is an error there.
-    """
-    global _local_dir
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = _local_dir = _local_dir or tempfile.mkdtemp(prefix="tallyspark-")
+    """A fresh folder under ``spark.checkpoint.dir``, or under the session's warehouse where that is unset: both are
+    shared by the driver and all executors."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tallyspark-{uuid.uuid4().hex}"
 
 
