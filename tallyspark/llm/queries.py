@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, mixing, sharding
+from tallyspark.llm import exact_dedup, mixing, sharding, simhash
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_simhash": simhash.op4_simhash,
     "op8_jump_sharding": sharding.op8_jump_sharding,
     "op10_source_mix": mixing.op10_source_mix,
 }
