@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, mixing, sharding, simhash
+from tallyspark.llm import exact_dedup, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op5_quality_voting": quality.op5_quality_voting,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_jump_sharding": sharding.op8_jump_sharding,
     "op10_source_mix": mixing.op10_source_mix,
 }
