@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, mixing, quality, sharding, simhash, toxicity
+from tallyspark.llm import bpe, exact_dedup, mixing, quality, sharding, simhash, toxicity, vp_trees
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_voting": quality.op5_quality_voting,
+    "op6_vp_trees": vp_trees.op6_vp_trees,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_jump_sharding": sharding.op8_jump_sharding,
+    "op9_bpe_chunks": bpe.op9_bpe_chunks,
     "op10_source_mix": mixing.op10_source_mix,
 }
 ORACLE = {
     "op3_exact_dedup": exact_dedup.SQL,
+    "op6_vp_trees": vp_trees.SQL,
 }
