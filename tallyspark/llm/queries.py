@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import bpe, exact_dedup, mixing, quality, sharding, simhash, toxicity, vp_trees
+from tallyspark.llm import bpe, chat, exact_dedup, mixing, pii, quality, sharding, simhash, toxicity, vp_trees
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
+    "op2_chat_rotation": chat.op2_chat_rotation,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_voting": quality.op5_quality_voting,
@@ -15,6 +17,7 @@ QUERIES = {
     "op10_source_mix": mixing.op10_source_mix,
 }
 ORACLE = {
+    "op2_chat_rotation": chat.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
     "op6_vp_trees": vp_trees.SQL,
 }
