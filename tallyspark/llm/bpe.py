@@ -208,12 +208,13 @@ def shared_chunks(docs: DataFrame, how: Bpe, scratch: Scratch) -> dict[str, Enco
 def ids_of(text: Column, dictionary: dict[str, Encoded], how: Bpe) -> Column:
     """Ids (array of int) of a text column; null counts as empty."""
     shared = SparkSession.active().sparkContext.broadcast(dictionary)  # at most how.dictionary chunks of how.most bytes
+    held: list[Chunks] = []  # of the task: filled when its first batch comes
 
     @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lookup = Chunks(shared.value, how)
-        for texts in batches:
-            yield pd.Series([encode(t or "", how, lookup).astype(np.int32) for t in texts])
+    def of(texts: pd.Series) -> pd.Series:
+        if not held:
+            held.append(Chunks(shared.value, how))
+        return pd.Series([encode(t or "", how, held[0]).astype(np.int32) for t in texts], index=texts.index)
 
     return of(text)
 
@@ -233,7 +234,8 @@ def text_of(ids: Column, how: Bpe) -> Column:
 
 
 def digests(ids: Column, how: Bpe) -> Column:
-    """``n_tokens, ids_sha256, decoded_sha256`` of a column of ids, so that long id lists needn't leave the worker."""
+    """``n_tokens, ids_sha256, decoded_sha256`` of a column of ids. Applied to ``ids_of`` directly, both run in one worker and
+    the ids never leave it."""
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def of(rows: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"n_tokens": [len(r) for r in rows],
