@@ -19,10 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.tables import n_words, table
+from tallyspark.llm.tables import WORD, n_words, table
 from tallyspark.session import Scratch
 
 
+SLOT = "shard long, rank int, pass long, block long, words long, cut boolean"
+
+
 @dataclass(frozen=True)
 class Mix:
     weights: tuple[float, ...] = (1.0, 2.0, 3.0)  # by the sources' order, repeating
@@ -90,9 +93,9 @@ def permuted(index: np.ndarray, n: int, key: tuple[int, ...]) -> np.ndarray:
 
 
 def slot_table(sources: DataFrame, mix: Mix) -> DataFrame:
-    """The mix itself: ``shard, source rank, pass, block, words`` of every slot.
+    """The mix itself: ``shard, rank`` (of the source), ``pass, block, words, cut`` of every slot.
 
-    ``words`` is the block's length, or less for the last slot of a source. The short block at a source's end closes each
+    ``words`` is the block's length, or less where ``cut`` is set: for the last slot of a source. The short block at a source's end closes each
     pass, so that whole passes add up to the source's size.
     """
     spark = sources.sparkSession
@@ -102,7 +105,7 @@ def slot_table(sources: DataFrame, mix: Mix) -> DataFrame:
     shards = -(-total // mix.slots_per_shard)
     schema = "shard long, rank int, n long"
     if not total:
-        return spark.createDataFrame([], "shard long, rank int, pass long, block long, words long")
+        return spark.createDataFrame([], SLOT)
     share = need / total
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,7 +136,7 @@ def slot_table(sources: DataFrame, mix: Mix) -> DataFrame:
                 yield slots_of(int(shard), plan[rank], int(first), int(n), mix)
 
     spread = placed.unionByName(left).repartition(F.col("shard"), F.col("rank"))
-    return spread.mapInPandas(fill, "shard long, rank int, pass long, block long, words long")
+    return spread.mapInPandas(fill, SLOT)
 
 
 def slots_of(shard: int, source: dict, first: int, n: int, mix: Mix) -> pd.DataFrame:
@@ -146,9 +149,10 @@ def slots_of(shard: int, source: dict, first: int, n: int, mix: Mix) -> pd.DataF
         mine = (passes == one) & (at < full)
         block[mine] = permuted(at[mine], full, (mix.seed, source["rank"], int(one)))
     words = np.where(block < full, mix.block, source["source_size"] - full * mix.block)
-    if source["head"]:
-        words[slots == source["passes"] * source["blocks"] + source["extra"]] = source["head"]
-    return pd.DataFrame({"shard": shard, "rank": np.int32(source["rank"]), "pass": passes, "block": block, "words": words})
+    cut = (slots == source["passes"] * source["blocks"] + source["extra"]) & (source["head"] > 0)
+    words[cut] = source["head"]
+    return pd.DataFrame({"shard": shard, "rank": np.int32(source["rank"]), "pass": passes, "block": block, "words": words,
+                         "cut": cut})
 
 
 def laid_out(docs: DataFrame, sources: DataFrame, mix: Mix, parts: int) -> DataFrame:
@@ -170,35 +174,38 @@ def laid_out(docs: DataFrame, sources: DataFrame, mix: Mix, parts: int) -> DataF
 
 
 def taken_of_blocks(sources: DataFrame, mix: Mix) -> DataFrame:
-    """``rank, block, cuts``: how often the mix takes each block, as a map from words taken to times."""
-    return (slot_table(sources, mix).groupBy("rank", "block")
-            .agg(F.sum(F.when(F.col("words") < mix.block, 0).otherwise(1)).alias("whole"),
-                 F.collect_list(F.when(F.col("words") < mix.block, F.col("words"))).alias("heads")))
+    """``rank, block, whole, head``: how often the mix takes each block as a whole, and how many of its first words once more
+    (null: none)."""
+    return slot_table(sources, mix).groupBy("rank", "block").agg(
+        F.count_if(~F.col("cut")).alias("whole"), F.max(F.when(F.col("cut"), F.col("words"))).alias("head"))
+
+
+def sized(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``uid, doc_id, source, size, text_hash`` of every row, written once; ``uid`` tells rows apart."""
+    return scratch.keep(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
+                                    n_words(docs["text"]).alias("size"), F.xxhash64("text").alias("text_hash")), "sized")
 
 
-def pieces(docs: DataFrame, mix: Mix, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The sources, and for every row and block that it lies in: ``uid, doc_id, size, rank, lo, hi, whole, heads``.
+def pieces(narrow: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
+    """The sources, and for every row of ``sized`` and block that it lies in: ``uid, doc_id, size, text_hash, rank, lo, hi,
+    whole, head``.
 
     ``lo`` and ``hi`` are the row's words in that block (0-based within the row, end exclusive), ``whole`` counts the
-    slots that take the full-length block, and ``heads`` has, for each slot that takes only the block's first words, how
-    many of the row's words in the block that is.
+    slots that take the whole block, and ``head`` is how many of these words from ``lo`` on one more slot takes.
     """
-    narrow = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "source", n_words(docs["text"]).alias("size"),
-                         F.xxhash64("text").alias("text_hash"))
-    narrow = scratch.keep(narrow, "sized")
     sources = source_table(narrow, mix)
     parts = max(1, -(-narrow.count() // mix.rows_per_part))
     laid = laid_out(narrow, sources, mix, parts)
     last = F.greatest(F.col("start") + F.col("size") - 1, F.col("start"))
     spread = laid.withColumn("block", F.explode(F.sequence(F.expr(f"start div {mix.block}"), (last / mix.block).cast("long"))))
-    taken = taken_of_blocks(sources, mix)
     at = F.col("block") * mix.block - F.col("start")  # of the block's first word, within the row
-    return sources, (spread.join(taken, ["rank", "block"], "left")
+    return sources, (spread.join(taken_of_blocks(sources, mix), ["rank", "block"], "left")
                      .withColumn("lo", F.greatest(at, F.lit(0)))
                      .withColumn("hi", F.least(at + mix.block, F.col("size")))
-                     .withColumn("heads", F.transform(F.coalesce("heads", F.array().cast("array<bigint>")), lambda h: F.least(
-                         F.greatest(h + at - F.col("lo"), F.lit(0)), F.col("hi") - F.col("lo"))))
-                     .select("uid", "doc_id", "size", "rank", "lo", "hi", F.coalesce("whole", F.lit(0)).alias("whole"), "heads"))
+                     .withColumn("head", F.least(F.greatest(F.coalesce("head", F.lit(0)) + at - F.col("lo"), F.lit(0)),
+                                                 F.col("hi") - F.col("lo")))
+                     .select("uid", "doc_id", "size", "text_hash", "rank", "lo", "hi", F.coalesce("whole", F.lit(0)).alias("whole"),
+                             "head"))
 
 
 def mix_documents(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
@@ -209,12 +216,45 @@ def mix_documents(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
     0. The result depends on the rows alone, not on their order or partitions; identical rows may swap. Empty input gives
     no rows; other columns play no part.
     """
-    sources, parts = pieces(docs, mix, scratch)
-    words = F.col("whole") * (F.col("hi") - F.col("lo")) + F.aggregate("heads", F.lit(0).cast("long"), lambda a, b: a + b)
+    sources, parts = pieces(sized(docs, scratch), mix)
+    words = F.col("whole") * (F.col("hi") - F.col("lo")) + F.col("head")
     rows = parts.groupBy("uid", "doc_id", "size", "rank").agg(F.sum(words).alias("taken"))
     return rows.join(F.broadcast(sources.select("rank", "source_size", "target")), "rank").select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed_documents(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
+    """The mix as documents: for every row, one row for each time that words of it are taken, with its own columns.
+
+    Passes that take the whole row repeat it unchanged. A pass that takes a part has the words taken as ``text``, joined by
+    single spaces, and ``n_chars``, where there is such a column, counts them. Rows that the mix doesn't touch are left
+    out, rows without words too. Rows that are alike in doc_id and text share one choice, made for one of them, and are
+    repeated each.
+    """
+    _, parts = pieces(sized(docs, scratch), mix)
+    # Per row: the passes that take all of it, and its stretches with what one more pass takes of each.
+    rows = parts.filter("size > 0").groupBy("uid", "doc_id", "text_hash").agg(
+        F.min("whole").alias("passes"), F.collect_list(F.struct("lo", "hi", "whole", "head")).alias("stretches"))
+    more = F.transform(F.array_sort("stretches"), lambda s: F.struct(
+        (s["lo"] + 1).cast("int").alias("first"),
+        F.when(s["whole"] > F.col("passes"), s["hi"] - s["lo"]).otherwise(s["head"]).cast("int").alias("n")))
+    rows = rows.select("doc_id", "text_hash", "passes", F.filter(more, lambda s: s["n"] > 0).alias("more"))
+    chosen = scratch.keep(rows.groupBy("doc_id", "text_hash").agg(F.min(F.struct("passes", "more")).alias("c"))
+                          .select(F.col("doc_id").alias("_id"), "text_hash", "c.*").filter("passes > 0 OR size(more) > 0"), "chosen")
+    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    met = marked.join(chosen, marked["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash")))
+    # One row for every whole pass, then one for the part; the text of whole passes is left as it is.
+    passes = F.concat(F.array_repeat(F.lit(False), F.col("passes").cast("int")),
+                      F.when(F.size("more") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    part = F.element_at(F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
+        "more", lambda s: F.slice(w, s["first"], s["n"]))), " ")), 1)
+    out = met.withColumn("_part", F.explode(passes)).withColumn("text", F.when(F.col("_part"), part).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("_part"), counted).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_documents(table(spark, folder, "documents"), Mix(), Scratch(spark))
