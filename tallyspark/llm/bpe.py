@@ -184,7 +184,8 @@ def shared_chunks(docs: DataFrame, how: Bpe, scratch: Scratch) -> dict[str, Enco
                     seen[digest] += 1
                     if seen[digest] == 2:
                         again[digest] = part
-            yield pd.DataFrame({"digest": list(seen), "n": list(seen.values()), "text": [again.get(d) for d in seen]})
+            if seen:
+                yield pd.DataFrame({"digest": list(seen), "n": list(seen.values()), "text": [again.get(d) for d in seen]})
 
     counted = docs.select(whole_text("text").alias("text")).mapInPandas(count, "digest binary, n long, text string")
     shared = scratch.keep(counted.groupBy("digest").agg(F.sum("n").alias("n"), F.max("text").alias("text"))
