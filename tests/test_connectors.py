@@ -122,14 +122,11 @@ def test_clock_text(spark):
 class Settings:
     """A session as far as the shared folder looks at it."""
 
-    def __init__(self, master, **conf):
-        self.conf, self.sparkContext = conf, type("Context", (), {"master": master})
+    def __init__(self, **conf):
+        self.conf = conf
 
 
 def test_shared_folder_comes_from_the_session():
-    setting = {"spark.checkpoint.dir": "hdfs://shared/"}
-    assert shared_dir(Settings("yarn", **setting)).startswith("hdfs://shared/tallyspark-")
-    assert shared_dir(Settings("local[2]", **setting)).startswith("hdfs://shared/tallyspark-")
-    assert "tallyspark-" in shared_dir(Settings("local[2]"))
-    with pytest.raises(ValueError):
-        shared_dir(Settings("yarn"))
+    warehouse = {"spark.sql.warehouse.dir": "hdfs://warehouse"}
+    assert shared_dir(Settings(**warehouse, **{"spark.checkpoint.dir": "hdfs://shared/"})).startswith("hdfs://shared/tallyspark-")
+    assert shared_dir(Settings(**warehouse)).startswith("hdfs://warehouse/tallyspark-")
