@@ -22,11 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import tiktoken
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from tallyspark.llm.tables import table, whole_text
 from tallyspark.session import Scratch
@@ -41,6 +43,7 @@ class Bpe:
     most: int = 4096
     dictionary: int = 4096       # chunks broadcast
     cache_chars: int = 4_000_000  # of a task
+    rows_out: int = 500
 
 
 @functools.lru_cache(maxsize=4)
@@ -248,11 +251,29 @@ def digests(ids: Column, how: Bpe) -> Column:
 
 
 def encode_documents(docs: DataFrame, scratch: Scratch, how: Bpe = Bpe()) -> DataFrame:
-    """``docs`` with ``ids``: one row per row, its other columns untouched (a column of that name is replaced).
+    """``docs`` with ``ids`` and ``exact`` (whether the ids decode to the text): one row per row, its other columns
+    untouched (columns of these names are replaced).
 
-    Null and empty texts give an empty list. Repeated rows are encoded each. Empty input gives no rows.
+    Null and empty texts give an empty list. Repeated rows are encoded each. Empty input gives no rows. Rows go out in
+    small batches, so that a task holds few id lists at once.
     """
-    return docs.withColumn("ids", ids_of(docs["text"], shared_chunks(docs, how, scratch), how))
+    docs = docs.drop("ids", "exact")
+    shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, how, scratch))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Chunks(shared.value, how)
+        for batch in batches:
+            for at in range(0, batch.num_rows, how.rows_out):
+                part = batch.slice(at, how.rows_out)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                found = [encode(t, how, lookup).astype(np.int32) for t in texts]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                exact = pa.array([decode(i, how) == t for i, t in zip(found, texts)])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, exact], [*part.schema.names, "ids", "exact"])
+
+    schema = StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("exact", BooleanType())])
+    return docs.mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, scratch: Scratch, how: Bpe = Bpe()) -> DataFrame:
