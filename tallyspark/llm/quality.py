@@ -103,22 +103,31 @@ def fit(docs: DataFrame, labels: DataFrame, how: Voting) -> Space:
             for text, y in batch.itertuples(index=False):
                 vector = term_vector(text)
                 at = np.flatnonzero(vector)
-                yield pd.DataFrame({"y": [y], "at": [at.astype(np.int32)], "value": [vector[at]]})
+                yield pd.DataFrame({"y": [y], "at": [at.astype(np.int32).tobytes()], "value": [vector[at].tobytes()]})
 
     rows = labelled.sample(docs, labels, "quality", how.sample).mapInPandas(
-        terms, "y int, at array<int>, value array<float>").collect()
+        terms, "y int, at binary, value binary").collect()
     rows.sort(key=lambda r: (r["y"], r["at"], r["value"]))  # the same space whatever order the rows come in
-    counts = np.zeros((len(rows), TERMS), dtype=np.float32)
+    scaled = np.zeros((len(rows), TERMS), dtype=np.float32)
     for i, row in enumerate(rows):
-        counts[i, row["at"]] = row["value"]
+        scaled[i, np.frombuffer(row["at"], dtype=np.int32)] = np.frombuffer(row["value"], dtype=np.float32)
     y = np.array([r["y"] for r in rows], dtype=np.float64)
-    weights = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    scaled = unit(counts * weights)
-    rank = min(how.rank, max(len(rows), 1))
-    _, axes = np.linalg.eigh(scaled.T @ scaled)
-    space = Space(weights, np.ascontiguousarray(axes[:, ::-1][:, :rank]).astype(np.float32), np.empty((0, rank)), y)
-    space.vectors = space.project(counts).astype(np.float32)
-    return space
+    del rows
+    weights = np.log((1 + len(y)) / (1 + np.count_nonzero(scaled, axis=0))).astype(np.float32) + 1
+    scaled *= weights
+    for row in scaled:
+        row /= np.linalg.norm(row) or 1
+    axes = principal_axes(scaled, min(how.rank, max(len(y), 1)))
+    return Space(weights, axes, unit(scaled @ axes).astype(np.float32), y)
+
+
+def principal_axes(rows: np.ndarray, rank: int) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration: no square matrix of the terms is built."""
+    axes = np.random.Generator(np.random.PCG64(5)).normal(size=(rows.shape[1], 2 * rank)).astype(np.float32)
+    for _ in range(12):
+        axes, _ = np.linalg.qr(rows.T @ (rows @ axes))
+    _, _, turn = np.linalg.svd(rows @ axes, full_matrices=False)
+    return np.ascontiguousarray((axes @ turn.T)[:, :rank])
 
 
 def score(docs: DataFrame, space: Space, how: Voting) -> DataFrame:
