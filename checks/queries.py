@@ -415,7 +415,7 @@ def covered_months(t: SampleTables) -> DataFrame:
 @query
 def account_lookup(t: SampleTables) -> DataFrame:
     accounts = t.accounts()
-    return jobs.owner_of(accounts, accounts.filter(F.col("parent_id") != 0))
+    return jobs.owner_of(accounts, accounts)
 
 
 # -- progress --------------------------------------------------------------------------------------------------------

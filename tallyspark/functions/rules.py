@@ -77,19 +77,27 @@ def tax_base_type(detail: str = "type_detail") -> Column:
     return F.when(found.isNull() | (found == 0), F.lit(DEFAULT_TAX_BASE)).otherwise(found).cast("int")
 
 
-def merchant_scope(merchants: Sequence[int] | int | None, outlet: int | None = None,
+def merchant_list(merchants: Sequence[int] | int | str) -> list[int]:
+    """Merchants given as one number, a list, or comma-separated text."""
+    if isinstance(merchants, str):
+        return [int(m) for m in merchants.split(",")]
+    return [merchants] if isinstance(merchants, int) else [int(m) for m in merchants]
+
+
+def merchant_scope(merchants: Sequence[int] | int | str | None, outlet: int | None = None,
                    merchant_column: str = "merchant_id", outlet_column: str = "outlet_id") -> Column:
     """One merchant, a list of merchants, or everything; the outlet only narrows a given merchant."""
     if merchants is None:
         return F.lit(True)
-    listed = [merchants] if isinstance(merchants, int) else list(merchants)
+    listed = merchant_list(merchants)
     scope = F.col(merchant_column).isin(*listed)
     return scope & (F.col(outlet_column) == outlet) if outlet is not None else scope
 
 
 def reservation_class(status: str = "status") -> Column:
     """1 = completed, 3 = cancelled by error, 2 = anything else."""
-    return F.when(F.col(status) == 700, 1).when(F.col(status) == 15, 3).otherwise(2).cast("int")
+    code = F.col(status).try_cast("int")
+    return F.when(code == 700, 1).when(code == 15, 3).otherwise(2).cast("int")
 
 
 def account_owner() -> Column:

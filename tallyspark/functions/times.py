@@ -47,9 +47,9 @@ def months_covered(start: Column | str, end: Column | str) -> Column:
 
 
 def seconds_of_day(clock: Column | str) -> Column:
-    """Seconds in an ``HH:MM:SS`` text."""
-    parts = F.split(_column(clock), ":")
-    return sum((F.element_at(parts, i + 1).cast("int") * unit for i, unit in enumerate((3600, 60, 1))), F.lit(0))
+    """Seconds in an ``HH:MM:SS`` text; null where the text is none."""
+    parts = F.split(_column(clock).cast("string"), ":")
+    return sum((F.try_element_at(parts, F.lit(i + 1)).try_cast("int") * unit for i, unit in enumerate((3600, 60, 1))), F.lit(0))
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:

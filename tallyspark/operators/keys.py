@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.functions.rules import merchant_scope
 
@@ -15,14 +15,21 @@ def distinct_keys(*frames: DataFrame, key: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, (f.select(*key) for f in frames)).distinct()
 
 
+def _by_key(df: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """A key with nulls in it is a key like any other, as it is to a grouping."""
+    listed = keys.select(*(F.col(k).alias(f"_key_{k}") for k in key))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in key))
+    return df.join(listed, same, how).select(*df.columns)
+
+
 def having_keys(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is listed."""
-    return df.join(keys.select(*key), list(key), "left_semi").select(*df.columns)
+    return _by_key(df, keys, key, "left_semi")
 
 
 def lacking_keys(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is not listed."""
-    return df.join(keys.select(*key), list(key), "left_anti").select(*df.columns)
+    return _by_key(df, keys, key, "left_anti")
 
 
 def replace_keys(current: DataFrame, keys: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:

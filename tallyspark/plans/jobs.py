@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from tallyspark.functions import rules, times
 from tallyspark.operators import progress
 from tallyspark.plans.refresh import (
-    Level, Mart, close_period, in_period, in_recovery, refresh, stored_rows, touched_keys,
+    Level, Mart, carry_up, close_period, in_period, in_recovery, recovered_rows, refresh, stored_rows, touched_keys,
 )
 from tallyspark.schema import MartTable
 from tallyspark.session import Scratch
 from tallyspark.sinks.store import MartStore
-from tallyspark.sources.tables import Source
+from tallyspark.sources.tables import RESERVATION_CHILDREN, TRANSACTION_CHILDREN, Source, in_ranges
 
 
 @dataclass(frozen=True)
@@ -33,30 +33,67 @@ def _apply_to(store: MartStore):
     return lambda table, keys, rows: store.replace(table, keys, rows)
 
 
-def _id_range(ids: DataFrame, column: str) -> Column:
-    """Bounds of the ids as a literal filter, which parquet row groups can be skipped by. One row on the driver."""
+#: Literal ranges that a batch's ids are summed up by at most.
+ID_RANGES = 16
+
+
+def id_ranges(ids: DataFrame) -> list[tuple[int, int]]:
+    """A few disjoint ranges that hold all ids, cut where they lie apart, so that one old id doesn't open everything."""
     low, high = ids.agg(F.min("id"), F.max("id")).first()
-    return F.lit(False) if low is None else F.col(column).between(low, high)
+    if low is None:
+        return []
+    width = (high - low) // ID_RANGES + 1
+    found = ids.groupBy(F.floor((F.col("id") - low) / width)).agg(F.min("id").alias("low"), F.max("id").alias("high")).collect()
+    return sorted((row["low"], row["high"]) for row in found)
+
+
+def settle(store: MartStore, mart: Mart) -> None:
+    """Finish what a run that died has left: staged tables are published, and the levels of its keys rebuilt.
+
+    The raw mart may be that of before or after the batch; either way the levels agree with it afterwards. Months and years
+    are rebuilt where they are published already; the others wait for their closing.
+    """
+    store.resume(*mart.tables)
+    touched = store.journal(mart.name)
+    if touched is not None:
+        start = touched.agg(F.min("before")).first()[0]
+        carry_up(mart, store.load, _apply_to(store), touched.drop("before"), {mart.raw.name: store.load(mart.raw)},
+                 before=start, near=store.near)
+        store.close_journal(mart.name)
 
 
 def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFrame, ids: DataFrame, *,
                    also_doomed: Column | None = None, before: date | None = None) -> None:
     """Bring the stored tables of a mart up to date for one batch of source rows.
 
-    ``entity`` holds the source rows as they are now, ``ids`` everything that changed, deleted rows included. Ids, new
-    raw rows, old raw rows and touched keys are each written once and read by all levels.
+    ``entity`` holds the source rows as they are now, ``ids`` everything that changed, deleted rows included. Both, the new
+    raw rows, the old raw rows and the touched keys are each written once and read by all levels. The touched keys go to
+    the store's journal before the raw mart changes, and leave it after the last level: a run that dies in between is
+    finished by ``settle``.
     """
+    settle(store, mart)
     scratch = Scratch(store.spark)
-    ids = scratch.keep(ids.select("id").distinct(), "ids")
-    rows = scratch.keep(mart.raw_rows(source, entity), "rows")
-    stored = store.load(mart.raw)
-    doomed = stored_rows(stored.filter(_id_range(ids, mart.raw.key[0])), mart, ids)
-    if also_doomed is not None:
-        doomed = doomed.unionByName(stored.filter(also_doomed))
-    doomed = scratch.keep(doomed, "doomed")
-    touched = scratch.keep(touched_keys(mart, doomed, rows), "touched") if mart.levels else None
-    refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched, near=store.near)
-    scratch.clean()
+    try:
+        entity = scratch.keep(entity, "entity")
+        ids = scratch.keep(ids.select("id").distinct(), "ids")
+        ranges = id_ranges(ids)
+        if mart.widen is None:  # else a batch needs children of rows beside its own
+            children = RESERVATION_CHILDREN if mart.entity == "reservations" else TRANSACTION_CHILDREN
+            source = source.near_ids(ranges, children)
+        rows = scratch.keep(mart.raw_rows(source, entity), "rows")
+        stored = store.load(mart.raw)
+        doomed = stored_rows(stored.filter(in_ranges(mart.raw.key[0], ranges)), mart, ids)
+        if also_doomed is not None:
+            doomed = doomed.unionByName(stored.filter(also_doomed))
+        doomed = scratch.keep(doomed, "doomed")
+        touched = None
+        if mart.levels:
+            touched = touched_keys(mart, doomed, rows).withColumn("before", F.lit(before).cast("date"))
+            touched = store.open_journal(mart.name, touched).drop("before").distinct()
+        refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched, near=store.near)
+        store.close_journal(mart.name)
+    finally:
+        scratch.clean()
 
 
 def run_increment(store: MartStore, mart: Mart, source: Source, start: datetime, end: datetime, now: datetime, *,
@@ -90,13 +127,14 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
                  merchants: Sequence[int] | int | None = None, outlet: int | None = None) -> Batch:
     """Rebuild a range for a merchant, an outlet or everything, months and years included.
 
-    If the source has nothing there any more, the stored range is cleared and its months and years are summed anew.
+    Rows that were stored in the range and have moved out of it in the source are stored where they are now. If the source
+    has nothing there any more, the stored range is cleared and its months and years are summed anew.
     """
     scope = rules.merchant_scope(merchants, outlet)
-    entity = mart.source_rows(source).filter(rules.within(mart.clocks["recovery"], start, end) & scope)
-    count = entity.count()
+    settle(store, mart)
+    count = mart.source_rows(source).filter(rules.within(mart.clocks["recovery"], start, end) & scope).count()
     also = in_recovery(mart, start, end, scope, source_is_empty=count == 0)
-    entity = mart.batch(source, entity)
+    entity = mart.batch(source, recovered_rows(mart, source, store.load(mart.raw), start, end, scope, also))
     refresh_stored(store, mart, source, entity, entity, also_doomed=also)
     if count == 0:
         resum_periods(store, mart, start.date(), end.date(), merchants=merchants, outlet=outlet)
@@ -142,57 +180,95 @@ def _partition_prefix(table: MartTable, year: int, month: int | None) -> Column:
     return F.col("p_month").between(f"{year:04d}-01", f"{year:04d}-12")
 
 
-def close_periods(store: MartStore, mart: Mart, batch: Batch, done_monthly: bool, done_yearly: bool) -> tuple[bool, bool]:
-    """Close the previous month and year if that is still to do; returns the flags for the log."""
+def close_periods(store: MartStore, mart: Mart, batch: Batch, done_monthly: bool, done_yearly: bool,
+                  since: datetime | None = None) -> tuple[bool, bool]:
+    """Close every month and year that is over and still to do; returns the flags for the log.
+
+    That is the period before the batch if its flag says so, and all those that began between ``since`` (the end of the
+    run before) and the batch, or within the batch, except the last one before its end: the next run closes that.
+    """
     run = store.spark.createDataFrame(
         [(batch.ts_current, batch.ts_end, done_monthly, done_yearly)],
         "ts_current timestamp_ntz, ts_end timestamp_ntz, done_monthly boolean, done_yearly boolean")
     todo = progress.period_closing(run).first()
+    begin, end = batch.ts_current, batch.ts_end
+    first = min(begin, since) if since else begin
+
+    def month(day: datetime | date) -> int:
+        return day.year * 12 + day.month - 1
+
+    months = set(range(month(first), max(month(begin), month(end) - 1)))
+    years = set(range(first.year, max(begin.year, end.year - 1)))
+    months |= {month(todo["close_month"])} if todo["close_month"] else set()
+    years |= {todo["close_year"]} if todo["close_year"] else set()
     for level in mart.levels:
-        if level.table.calendar == ("year", "month") and todo["close_month"]:
-            resum_period(store, level, todo["close_month"].year, todo["close_month"].month)
-        elif level.table.calendar == ("year",) and todo["close_year"]:
-            resum_period(store, level, todo["close_year"])
+        if level.table.calendar == ("year", "month"):
+            for m in sorted(months):
+                resum_period(store, level, m // 12, m % 12 + 1)
+        elif level.table.calendar == ("year",):
+            for year in sorted(years):
+                resum_period(store, level, year)
     return todo["done_monthly"], todo["done_yearly"]
 
 
-def write_log(store: MartStore, mart: Mart, batch: Batch, started: float, now: datetime, params: dict, **extra) -> None:
-    last = store.history(mart.name).agg(F.max("id")).first()[0] or 0
-    store.log(mart.name, progress.log_row(
+def log_name(mart: Mart, merchants: Sequence[int] | int | str | None) -> str:
+    """Runs for some merchants have a log of their own: they say nothing about how far the others are."""
+    if merchants is None:
+        return mart.name
+    return f"{mart.name}_of_{'_'.join(map(str, sorted(set(rules.merchant_list(merchants)))))}"
+
+
+def write_log(store: MartStore, job: str, batch: Batch, started: float, now: datetime, params: dict, **extra) -> None:
+    last = store.history(job).agg(F.max("id")).first()[0] or 0
+    store.log(job, progress.log_row(
         store.spark, run_id=last + 1, actdate=now, ts_current=batch.ts_current, ts_end=batch.ts_end,
         num_row=batch.num_row, time_process=(time.time() - started) * 1000, params=params, **extra))
 
 
 def run_sequence(store: MartStore, mart: Mart, source: Source, minutes: int, now: datetime, *,
-                 delay: int = progress.OPEN_OVERLAP, merchants: Sequence[int] | int | None = None,
+                 delay: int = progress.OPEN_OVERLAP, merchants: Sequence[int] | int | str | None = None,
                  until: datetime | None = None) -> Batch:
     """The next window after the last logged run: refresh, close periods, log.
 
-    ``until`` gives a window of fixed length that stops there, instead of one that widens while nothing arrives.
+    ``until`` gives a window of fixed length that stops there, instead of one that widens while nothing arrives. A run for
+    some merchants goes on from their own last run, the first one from the load of the whole mart; it leaves the log and
+    the closings of the whole mart alone.
     """
     started = time.time()
-    store.resume(*mart.tables)
-    history = store.history(mart.name)
+    settle(store, mart)
+    job = log_name(mart, merchants)
+    history = store.history(job)
+    if merchants is not None and history.isEmpty():
+        whole = store.history(mart.name)
+        history = whole.join(whole.agg(F.min("id").alias("id")), "id").select(*whole.columns)
     window = progress.next_window(history, minutes) if until is None else progress.next_period(history, minutes, until)
     last = progress.last_run(history).first()
     if last is None or last["ts_end"] is None:
         raise ValueError(f"the log of {mart.name} is empty: write a first row that says where to start")
     span = progress.reach_back(window, progress.moment(now), delay).first()
     batch = run_increment(store, mart, source, span["window_start"], span["window_end"], now, merchants=merchants)
-    monthly, yearly = close_periods(store, mart, batch, bool(last["done_monthly"]), bool(last["done_yearly"]))
+    monthly, yearly = bool(last["done_monthly"]), bool(last["done_yearly"])
+    if merchants is None:
+        monthly, yearly = close_periods(store, mart, batch, monthly, yearly, last["ts_end"])
     params = {"minutes": minutes, "start_time": span["window_start"], "end_time": span["window_end"]}
-    write_log(store, mart, batch, started, now, params, done_monthly=monthly, done_yearly=yearly)
+    write_log(store, job, batch, started, now, params, done_monthly=monthly, done_yearly=yearly)
     return batch
 
 
 def initial_load(store: MartStore, mart: Mart, source: Source, up_to: datetime, now: datetime) -> None:
-    """Build all tables once and log where the increments go on from."""
+    """Build all tables once and log where the increments go on from.
+
+    A mart that has been loaded (its log has rows) is refused; what a load that died has left is built again.
+    """
+    if not store.history(mart.name).isEmpty():
+        raise ValueError(f"{mart.name} is loaded already: use an increment or a recovery")
     started = time.time()
+    store.drop(*mart.tables)
     after: dict[str, DataFrame] = {mart.raw.name: store.append(mart.raw, mart.raw_rows(source, None))}
     for level in mart.levels:
         after[level.table.name] = store.append(level.table, level.build(after[level.parent.name]))
     batch = Batch(up_to - timedelta(minutes=1), up_to, after[mart.raw.name].count())
-    write_log(store, mart, batch, started, now, {"load": "initial"}, done_monthly=True, done_yearly=True)
+    write_log(store, mart.name, batch, started, now, {"load": "initial"}, done_monthly=True, done_yearly=True)
 
 
 def owner_of(accounts: DataFrame, emails: DataFrame | str) -> DataFrame:

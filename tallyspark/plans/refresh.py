@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.functions.rules import merchant_scope, within
 from tallyspark.functions.times import before_month, before_year
-from tallyspark.operators.keys import distinct_keys, having_keys, replace_keys
+from tallyspark.operators.keys import distinct_keys, having_keys, lacking_keys, replace_keys
 from tallyspark.plans import compliment, reservation, sales, sales_net, tax
 from tallyspark.schema import (
     COMPLIMENT_RAW, MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, SUMMARY_DAILY,
@@ -108,7 +108,6 @@ SUMMARY = Mart(
     (Level(SUMMARY_DAILY, SUMMARY_RAW, reservation.summary_daily),),
     {"etl": "updated_at", "recovery": "updated_at"}, False,
 )
-MARTS = {mart.name: mart for mart in (SALES, SALES_NET, TAX, COMPLIMENT, UTILIZATION, SUMMARY)}
 
 
 def steer(df: DataFrame) -> DataFrame:
@@ -166,6 +165,13 @@ def refresh(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply,
     places = doomed.select(*raw_key).union(rows.select(*raw_key)).distinct()
     after = {mart.raw.name: apply(mart.raw, places, rows)}
     touched = touched_keys(mart, doomed, rows) if touched is None and mart.levels else touched
+    return carry_up(mart, current, apply, touched, after, before=before, near=near)
+
+
+def carry_up(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply, touched: DataFrame | None,
+             after: dict[str, DataFrame], *, before: date | None = None,
+             near: Callable[[MartTable, DataFrame, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Rebuild the touched keys of every level from a raw mart that is up to date (``after``)."""
     for level in mart.levels:
         keys = level_keys(touched, level.table, before, current(level.table))
         finer = level.by_key_from or level.parent
@@ -191,13 +197,24 @@ def in_recovery(mart: Mart, start: datetime, end: datetime, scope: Column, sourc
     return within("datetime", start, end) & scope if mart.clears_range else None
 
 
+def recovered_rows(mart: Mart, source: Source, stored: DataFrame, start: datetime, end: datetime, scope: Column,
+                   cleared: Column | None) -> DataFrame:
+    """Source rows that a recovery takes up: those in its range, and those that were stored in it and have moved out."""
+    found = mart.source_rows(source)
+    inside = found.filter(within(mart.clocks["recovery"], start, end) & scope)
+    if cleared is None:
+        return inside
+    moved = having_keys(found, stored.filter(cleared).select(F.col(mart.raw.key[0]).alias("id")), ["id"])
+    return inside.unionByName(lacking_keys(moved, inside, ["id"]))
+
+
 def recover(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start: datetime, end: datetime, *,
             merchants=None, outlet: int | None = None, source_is_empty: bool = False,
             keep: Keep | None = None) -> dict[str, DataFrame]:
     """All tables of a mart after rebuilding a range; the given tables stay as they are."""
     scope = merchant_scope(merchants, outlet)
-    entity = mart.source_rows(source).filter(within(mart.clocks["recovery"], start, end) & scope)
     cleared = in_recovery(mart, start, end, scope, source_is_empty)
+    entity = recovered_rows(mart, source, tables[mart.raw.name], start, end, scope, cleared)
     return _refreshed(mart, tables, source, entity, cleared, None, keep)
 
 

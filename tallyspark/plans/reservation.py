@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
-
 from pyspark.sql import DataFrame, functions as F
 
 from tallyspark.functions import rules
@@ -15,19 +12,9 @@ from tallyspark.operators.keys import having_keys
 from tallyspark.schema import SUMMARY_DAILY, SUMMARY_RAW, UTILIZATION_DAILY, UTILIZATION_RAW
 from tallyspark.sources.tables import Source
 
-CLOCKS = {"etl": "updated_at", "recovery": "reserved_on"}
-
-
-def changed_reservations(source: Source, start: datetime | None = None, end: datetime | None = None, *,
-                         mode: str = "etl", merchants: Sequence[int] | int | None = None,
-                         outlet: int | None = None) -> DataFrame:
-    return source.reservations.filter(
-        rules.within(CLOCKS[mode], start, end) & rules.merchant_scope(merchants, outlet))
-
-
 def _reservation_status():
     """Status codes arrive as text or number; they are compared as numbers."""
-    return F.col("status").cast("int")
+    return F.col("status").try_cast("int")
 
 
 def utilization_raw(source: Source, reservations: DataFrame | None = None) -> DataFrame:

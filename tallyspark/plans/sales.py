@@ -33,11 +33,6 @@ def changed_transactions(source: Source, start: datetime | None = None, end: dat
         rules.within(CLOCKS[mode], start, end) & is_sale() & rules.merchant_scope(merchants, outlet))
 
 
-def transactions_by_id(source: Source, ids: DataFrame) -> DataFrame:
-    """Sales transactions with the listed ids (column ``id``), cancelled ones included."""
-    return having_keys(source.transactions, ids, ["id"]).filter(is_sale())
-
-
 def batch_rows(transactions: DataFrame) -> DataFrame:
     """The columns a batch is steered by: who, when, which order type, and whether the row still counts."""
     return transactions.select(

@@ -25,7 +25,8 @@ def split_bill_children(source: Source, parents: DataFrame) -> DataFrame:
         "id", "merchant_id", "outlet_id", F.col("parent_receipt_no").alias("receipt_no"), "total")
     parts = parts.join(heads.select(*BILL).distinct(), list(BILL), "left_semi")
     cash = F.col("method_id") == rules.CASH_METHOD
-    paid = source.payments.groupBy("transaction_id").agg(
+    paid = having_keys(source.payments, parts.select(F.col("id").alias("transaction_id")), ["transaction_id"])
+    paid = paid.groupBy("transaction_id").agg(
         total_or_zero("mdr").alias("mdr"), total_where(cash, "value").alias("cash_value"),
         F.count(F.when(cash, F.col("value"))).alias("cash_rows"),
         total_or_zero(F.when(~F.coalesce(cash, F.lit(False)), F.col("value"))).alias("other_value"))

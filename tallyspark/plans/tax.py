@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyspark.functions import rules
 from tallyspark.functions.money import money, money_or_zero, total, total_or_zero
 from tallyspark.operators.aggregate import roll_up
-from tallyspark.plans.sales import changed_transactions, children_of, is_sale
+from tallyspark.plans.sales import children_of, is_sale
 from tallyspark.schema import TAX_MEASURES, TAX_RAW
 from tallyspark.sources.tables import Source
 
@@ -19,18 +19,6 @@ def taxable() -> Column:
     return (F.col("refund") == 0) & F.col("receipt_no").isNotNull()
 
 
-def changed_tax_transactions(source: Source, *window, **scope) -> DataFrame:
-    return changed_transactions(source, *window, **scope).filter(taxable())
-
-
-def batch_rows(transactions: DataFrame) -> DataFrame:
-    return transactions.select(
-        F.col("id").alias("id_transaction"), "merchant_id", "outlet_id", rules.tax_base_type().alias("base_type"),
-        F.to_date("sold_at").alias("date"), F.month("sold_at").alias("month"), F.year("sold_at").alias("year"),
-        "updated_at", "status",
-    )
-
-
 def line_taxes(details: DataFrame, extends: DataFrame) -> DataFrame:
     """Line taxes per transaction, and whether any line carries an extension.
 

@@ -37,8 +37,15 @@ class MartStore:
         schema = self._stored_schema(table)
         if not path_exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(schema).parquet(self.path(table))
-        return stored if parts is None else stored.filter(_in_partitions(parts))
+        reader, root = self.spark.read.schema(schema), self.path(table)
+        if parts is None:
+            return reader.parquet(root)
+        # Only these folders are listed and read; the filter repeats what the paths say.
+        folders = sorted({root + "".join(f"/{p}={row[p]}" for p in row.asDict()) for row in parts})
+        folders = [f for f in folders if path_exists(self.spark, f)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return reader.option("basePath", root).parquet(*folders).filter(_in_partitions(parts))
 
     def _stored_schema(self, table: MartTable) -> StructType:
         return StructType(table.schema.fields + [StructField(p, StringType()) for p in table.partitions(self.grain)])
@@ -60,13 +67,12 @@ class MartStore:
     # -- writing ---------------------------------------------------------------------------------------------------
 
     def replace(self, table: MartTable, keys: DataFrame, rows: DataFrame) -> DataFrame:
-        """Delete ``keys`` and add ``rows``; ``keys`` must carry the calendar columns that tell where the rows are."""
-        doomed = keys.withColumns(table.partitions(self.grain))
-        added = self._placed(table, rows)
+        """Delete ``keys`` and add ``rows``; ``keys`` must carry the calendar columns that tell where the rows are, the
+        new ones included. The rows themselves are computed once, when they are written."""
         places = list(table.partitions(self.grain))
         # One entry per calendar period touched, however many rows there are.
-        parts = doomed.select(*places).union(added.select(*places)).distinct().collect()
-        return self._rewrite(table, parts, lambda df: lacking_keys(df, keys, table.key), added)
+        parts = keys.withColumns(table.partitions(self.grain)).select(*places).distinct().collect()
+        return self._rewrite(table, parts, lambda df: lacking_keys(df, keys, table.key), self._placed(table, rows))
 
     def replace_where(self, table: MartTable, parts: Sequence[Row], doomed: Column, rows: DataFrame) -> DataFrame:
         """Within some partitions, delete the rows that meet a condition and add ``rows``."""
@@ -77,6 +83,10 @@ class MartStore:
         self._write(self._placed(table, rows), table, self.path(table), mode="append")
         return self.load(table)
 
+    def drop(self, *tables: MartTable) -> None:
+        for table in tables:
+            delete_path(self.spark, self.path(table))
+
     def _placed(self, table: MartTable, rows: DataFrame) -> DataFrame:
         return table.conform(rows).withColumns(table.partitions(self.grain))
 
@@ -117,6 +127,29 @@ class MartStore:
         (spread.sortWithinPartitions(*places, *within).write.mode(mode)
          .option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(path))
 
+    # -- the journal ------------------------------------------------------------------------------------------------
+
+    def open_journal(self, job: str, touched: DataFrame) -> DataFrame:
+        """Note which keys a batch touches, before its raw rows are published. A journal that is there already is that of
+        a batch that died: its keys stay in the new one."""
+        old = self.journal(job)
+        path = f"{self.root}/_journal/{job}/{'b' if old is not None and self._journal_name(job) == 'a' else 'a'}"
+        (touched if old is None else touched.unionByName(old).distinct()).write.mode("overwrite").parquet(path)
+        if old is not None:
+            delete_path(self.spark, f"{self.root}/_journal/{job}/{'a' if path.endswith('b') else 'b'}")
+        return self.journal(job)
+
+    def _journal_name(self, job: str) -> str | None:
+        return next((n for n in ("a", "b") if path_exists(self.spark, f"{self.root}/_journal/{job}/{n}/_SUCCESS")), None)
+
+    def journal(self, job: str) -> DataFrame | None:
+        """Keys of a batch whose levels may not be up to date yet; None when all are."""
+        name = self._journal_name(job)
+        return None if name is None else self.spark.read.parquet(f"{self.root}/_journal/{job}/{name}")
+
+    def close_journal(self, job: str) -> None:
+        delete_path(self.spark, f"{self.root}/_journal/{job}")
+
     # -- the run log -----------------------------------------------------------------------------------------------
 
     def history(self, job: str) -> DataFrame:

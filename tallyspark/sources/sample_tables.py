@@ -62,7 +62,7 @@ LINE = (
 )
 DETAIL = (
     "detail_id", "transaction_id", f"{_price('quantity')} AS quantity", "unit_cost", f"{_price('price')} AS total_price",
-    f"{_amount('price * tax')} AS product_tax", f"{_amount('price * tax')} AS total_product_tax",
+    f"{_amount('price * tax')} AS product_tax", f"{_amount('price * (tax + 1)')} AS total_product_tax",
 )
 RESERVATION = (
     "event_id AS id", "concat('R', event_id) AS reservation_no", "user_id % 10 AS merchant_id",
@@ -149,7 +149,10 @@ class SampleTables:
         return self._lines().selectExpr("transaction_id", "line AS category_id", f"{_amount('price * discount')} AS value")
 
     def detail_extends(self) -> DataFrame:
-        return self._lines("l_linestatus = 'F'").selectExpr("detail_id AS id", "detail_id")
+        """One extension for each line with status F, two for the first line of a transaction."""
+        lines = self._lines("l_linestatus = 'F'")
+        return lines.selectExpr("detail_id AS id", "detail_id").union(
+            lines.filter("line = 1").selectExpr("detail_id AS id", "detail_id"))
 
     def accounts(self) -> DataFrame:
         return self.table("customer").selectExpr(

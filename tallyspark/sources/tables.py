@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.operators.keys import having_keys
 
 # Child table -> the column that points at the transaction.
 TRANSACTION_CHILDREN = {"details": "transaction_id", "commissions": "transaction_id", "payments": "transaction_id",
                         "promos": "transaction_id"}
+LINE_CHILDREN = ("addons", "detail_extends")
+RESERVATION_CHILDREN = {"services": "reservation_id"}
 
 
 class Source:
@@ -43,4 +46,24 @@ class Source:
 
         builders = dict(self._builders)
         builders.update({t: limited(t, c) for t, c in TRANSACTION_CHILDREN.items() if t in builders})
+        children = Source(builders)
+        # What hangs on the lines is limited to the lines of the batch before anything is summed.
+        for table in LINE_CHILDREN:
+            if table in builders:
+                builders[table] = lambda table=table: having_keys(
+                    getattr(self, table), children.details.select("detail_id"), ["detail_id"])
         return Source(builders)
+
+    def near_ids(self, ranges: Sequence[tuple[int, int]], columns: Mapping[str, str]) -> Source:
+        """Tables limited to literal ranges of the column named for each, which reach the files' statistics or a database
+        as a plain filter."""
+        def limited(table: str, column: str) -> Callable[[], DataFrame]:
+            return lambda: getattr(self, table).filter(in_ranges(column, ranges))
+
+        builders = dict(self._builders)
+        builders.update({t: limited(t, c) for t, c in columns.items() if t in builders})
+        return Source(builders)
+
+
+def in_ranges(column: str, ranges: Sequence[tuple[int, int]]) -> Column:
+    return reduce(Column.__or__, (F.col(column).between(low, high) for low, high in ranges), F.lit(False))

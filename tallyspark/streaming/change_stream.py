@@ -5,12 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyspark.functions.times import LOCAL_ZONE
 from tallyspark.operators.changes import decode_changes, latest_changes
-from tallyspark.plans.jobs import close_periods, run_changes, write_log
+from tallyspark.plans.jobs import close_periods, run_changes, settle, write_log
 from tallyspark.plans.refresh import Mart
 from tallyspark.session import Scratch
 from tallyspark.sinks.store import MartStore
@@ -29,8 +31,13 @@ def read_feed(spark: SparkSession, kind: str, options: Mapping[str, str], max_ev
     return reader.schema("value string, partition int, offset bigint").load()
 
 
+def local_now() -> datetime:
+    """The time on the clocks that the source writes."""
+    return datetime.now(ZoneInfo(LOCAL_ZONE)).replace(tzinfo=None)
+
+
 def maintain(store: MartStore, mart: Mart, load_source: Callable[[], Source], feed: DataFrame, checkpoint: str, *,
-             id_field: str = "id_transaction", clock: Callable[[], datetime] = datetime.now,
+             id_field: str = "id_transaction", clock: Callable[[], datetime] = local_now,
              trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start a query that refreshes a mart from each micro-batch of changes.
 
@@ -39,22 +46,26 @@ def maintain(store: MartStore, mart: Mart, load_source: Callable[[], Source], fe
     """
     def on_batch(events: DataFrame, batch_id: int) -> None:
         started = time.time()
-        store.resume(*mart.tables)
+        settle(store, mart)
         scratch = Scratch(store.spark)
-        changes = scratch.keep(latest_changes(decode_changes(events, id_field)), "changes")
-        batch = run_changes(store, mart, load_source(), changes, clock())
-        scratch.clean()
-        finish(batch, batch_id, started)
+        try:
+            changes = scratch.keep(latest_changes(decode_changes(events, id_field)), "changes")
+            batch = run_changes(store, mart, load_source(), changes, clock())
+        finally:
+            scratch.clean()
+        # Batches are told apart by what is in them: numbers start anew with a new checkpoint, whose events may be new ones.
+        count, digest = events.agg(F.count("*"), F.bit_xor(F.xxhash64("value", "partition", "offset"))).first()
+        finish(batch, f"{count} events {(digest or 0) % (1 << 64):016x}", started)
 
-    def finish(batch, batch_id: int, started: float) -> None:
-        history, mark = store.history(mart.name), f"batch {batch_id}"
+    def finish(batch, mark: str, started: float) -> None:
+        history = store.history(mart.name)
         if not history.filter(F.col("mart_param") == mark).isEmpty():
             return
-        last = history.agg(F.max_by(F.struct("done_monthly", "done_yearly"), "id").alias("flags")).first()["flags"]
+        last = history.agg(F.max_by(F.struct("done_monthly", "done_yearly", "ts_end"), "id").alias("flags")).first()["flags"]
         flags = (bool(last["done_monthly"]), bool(last["done_yearly"])) if last else (True, True)
         if batch.ts_current is not None:
-            flags = close_periods(store, mart, batch, *flags)
-        write_log(store, mart, batch, started, clock(), {"method": "stream"}, done_monthly=flags[0],
+            flags = close_periods(store, mart, batch, *flags, last["ts_end"] if last else None)
+        write_log(store, mart.name, batch, started, clock(), {"method": "stream"}, done_monthly=flags[0],
                   done_yearly=flags[1], mart_param=mark)
 
     writer = feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)

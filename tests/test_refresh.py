@@ -185,3 +185,108 @@ def test_a_changed_part_refreshes_the_head_of_its_bill(spark, folder):
     tables = refresh.full(refresh.SALES_NET, before)
     got = refresh.increment(refresh.SALES_NET.up_to(SALES_DAILY), tables, after, JUNE[0])[SALES_DAILY.name]
     assert rows(got, "sales_value", "transaction") == [(85.0, 1)]
+
+
+def die_at(store, table, monkeypatch):
+    """The driver is lost when this table is about to be published."""
+    publish = MartStore._publish
+
+    def failing(self, which):
+        if which.name == table.name:
+            raise RuntimeError("driver lost")
+        publish(self, which)
+
+    monkeypatch.setattr(MartStore, "_publish", failing)
+
+
+@pytest.mark.parametrize("n", range(4))
+def test_a_run_that_dies_before_any_table_is_replayed(spark, folder, monkeypatch, n):
+    mart = refresh.TAX
+    before = shop(spark, transactions=[sale(1, total=100), sale(2, total=30), sale(3, day="2023-04-02", total=5)])
+    after = shop(spark, transactions=[sale(1, total=100, changed="2023-05-11"), sale(2, total=30, status="4"),
+                                      sale(3, day="2023-03-02", total=5)])
+    store = loaded(spark, folder, mart, before)
+    with monkeypatch.context() as patch:
+        die_at(store, mart.tables[n], patch)
+        with pytest.raises(RuntimeError):
+            jobs.run_increment(store, mart, after, *JUNE, NOW)
+    jobs.run_increment(store, mart, after, *JUNE, NOW)
+    assert_same_as_full(store, mart, after)
+    assert store.journal(mart.name) is None
+
+
+def test_a_dead_run_is_settled_without_its_replay(spark, folder, monkeypatch):
+    mart = refresh.TAX
+    before = shop(spark, transactions=[sale(1, total=100), sale(2, total=30)])
+    after = shop(spark, transactions=[sale(1, total=100), sale(2, total=30, status="4")])
+    store = loaded(spark, folder, mart, before)
+    with monkeypatch.context() as patch:
+        die_at(store, TAX_DAILY, patch)
+        with pytest.raises(RuntimeError):
+            jobs.run_increment(store, mart, after, *JUNE, NOW)
+    jobs.settle(store, mart)
+    assert_same_as_full(store, mart, after)
+
+
+def test_recovery_keeps_rows_that_moved_out_of_its_range(spark, folder):
+    stale = shop(spark, transactions=[sale(1), sale(2, total=5)])
+    now = shop(spark, transactions=[sale(1), sale(2, day="2023-04-20", total=5, merchant_id=3)])
+    store = loaded(spark, folder, refresh.TAX, stale)
+    jobs.run_recovery(store, refresh.TAX, now, at("2023-05-01", 0), at("2023-05-31", 0))
+    assert_same_as_full(store, refresh.TAX, now)
+
+
+def test_every_month_that_a_batch_spans_is_closed(spark, folder):
+    first = [sale(1, day="2022-11-10", changed="2022-11-10")]
+    spread = [*first, *(sale(10 + i, day=d, changed=d) for i, d in enumerate(("2022-11-20", "2022-12-20", "2023-01-20", "2023-02-20")))]
+    store = MartStore(spark, folder, "month")
+    jobs.initial_load(store, refresh.TAX, shop(spark, transactions=first), at("2022-11-15", 0), NOW)
+    jobs.run_sequence(store, refresh.TAX, shop(spark, transactions=spread), 200 * 1440, NOW)
+    later = [*spread, sale(20, day="2023-02-25", changed="2023-06-20")]
+    jobs.run_sequence(store, refresh.TAX, shop(spark, transactions=later), 200 * 1440, NOW)
+    assert_same_as_full(store, refresh.TAX, shop(spark, transactions=later))
+
+
+def test_a_null_in_a_key_is_a_key(spark, folder):
+    store = loaded(spark, folder, refresh.TAX, shop(spark, transactions=[sale(1, total=100, outlet_id=None)]))
+    now = shop(spark, transactions=[sale(1, total=70, outlet_id=None)])
+    jobs.run_increment(store, refresh.TAX, now, *JUNE, NOW)
+    assert_same_as_full(store, refresh.TAX, now)
+
+
+def test_a_loaded_mart_is_not_loaded_again(spark, folder, monkeypatch):
+    source = shop(spark, transactions=[sale(1), sale(2)])
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "write_log", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            loaded(spark, folder, refresh.TAX, source)
+    store = loaded(spark, folder, refresh.TAX, source)
+    assert_same_as_full(store, refresh.TAX, source)
+    with pytest.raises(ValueError):
+        loaded(spark, folder, refresh.TAX, source)
+
+
+def test_runs_for_some_merchants_leave_the_others_to_do(spark, folder):
+    store = MartStore(spark, folder, "month")
+    jobs.initial_load(store, refresh.TAX, shop(spark, transactions=[sale(1, changed="2023-05-10")]), at("2023-06-01", 0), NOW)
+    now = shop(spark, transactions=[sale(1, changed="2023-05-10"), sale(2, merchant_id=2, changed="2023-06-02"),
+                                    sale(3, changed="2023-06-02")])
+    jobs.run_sequence(store, refresh.TAX, now, 3 * 1440, NOW, merchants="1")
+    assert rows(store.load(refresh.TAX.raw), "id_transaction") == [(1,), (3,)]
+    jobs.run_sequence(store, refresh.TAX, now, 3 * 1440, NOW)
+    assert rows(store.load(refresh.TAX.raw), "id_transaction") == [(1,), (2,), (3,)]
+
+
+def test_children_are_limited_before_they_are_summed(spark):
+    source = shop(spark, transactions=[sale(1)], details=[dict(detail_id=1, transaction_id=1)])
+    for build in (refresh.SALES.raw_rows, refresh.TAX.raw_rows):
+        plan = build(source, source.transactions.filter("id = 1"))._jdf.queryExecution().optimizedPlan().toString()
+        child = next(x for x in plan.split("Aggregate [detail_id")[1:])
+        assert "LeftSemi" in child.split("Aggregate")[0]
+
+
+def test_bad_clock_and_status_texts_are_nulls(spark, folder):
+    source = shop(spark, reservations=[dict(id=1), dict(id=2, status="x")],
+                  services=[dict(id=1, reservation_id=1, start_time="09:30"), dict(id=2, reservation_id=1, end_time="")])
+    assert rows(refresh.UTILIZATION.raw_rows(source, None), "id_reservation_detail", "duration") == [(1, 0), (2, 0)]
+    assert refresh.SUMMARY.raw_rows(source, None).count() == 1
