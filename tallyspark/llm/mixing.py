@@ -199,7 +199,8 @@ def pieces(narrow: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     last = F.greatest(F.col("start") + F.col("size") - 1, F.col("start"))
     spread = laid.withColumn("block", F.explode(F.sequence(F.expr(f"start div {mix.block}"), (last / mix.block).cast("long"))))
     at = F.col("block") * mix.block - F.col("start")  # of the block's first word, within the row
-    return sources, (spread.join(taken_of_blocks(sources, mix), ["rank", "block"], "left")
+    # The blocks grow with the corpus, so they aren't broadcast, however well they compress.
+    return sources, (spread.join(taken_of_blocks(sources, mix).hint("merge"), ["rank", "block"], "left")
                      .withColumn("lo", F.greatest(at, F.lit(0)))
                      .withColumn("hi", F.least(at + mix.block, F.col("size")))
                      .withColumn("head", F.least(F.greatest(F.coalesce("head", F.lit(0)) + at - F.col("lo"), F.lit(0)),
