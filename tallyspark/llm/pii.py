@@ -23,29 +23,26 @@ BLOCK = 128
 
 @dataclass(frozen=True)
 class Kind:
-    """``pattern`` is Spark's (Java) form, ``plain`` the same in a form without look-arounds. ``hint`` is a text that every match
-    holds. ``score`` is what a confirmed match has by itself; context words before it add to it."""
+    """``hint`` is a text that every match holds. ``score`` is what a confirmed match has by itself; context words before it
+    add to it."""
     name: str
     pattern: str
-    plain: str
     score: float
     context: str
     hint: str | None = None
 
 
 # The base patterns, and words that announce such data (English, German, French, Spanish).
-EMAIL = Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-             r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0.9, r"e-?mail|mail|contact|kontakt|correo|courriel", "@")
-IP = Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", 0.7,
-          r"\bip\b|address|host|server|adresse|dirección", ".")
-CARD = Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[ -]?[0-9])+", 0.8,
-            r"card|visa|master|amex|credit|karte|carte|tarjeta")
-PHONE = Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]", 0.7,
+EMAIL = Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.9,
+             r"e-?mail|mail|contact|kontakt|correo|courriel", "@")
+IP = Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 0.7, r"\bip\b|address|host|server|adresse|dirección", ".")
+CARD = Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.8, r"card|visa|master|amex|credit|karte|carte|tarjeta")
+PHONE = Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.7,
              r"phone|\btel|call|mobile|cell|handy|téléphone|teléfono|móvil|fax", "+")
-IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-            r"", 0.9, r"iban|konto|account|compte|cuenta|bank")
-SHORT_CARD = Kind("short_card", r"(?<![0-9.+-])[0-9](?:[\x20-]?[0-9]){12,14}(?![0-9.-])", r"", 0.4, CARD.context)
-SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"", 0.4, r"\bssn\b|social security|sozialvers", "-")
+IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", 0.9,
+            r"iban|konto|account|compte|cuenta|bank")
+SHORT_CARD = Kind("short_card", r"(?<![0-9.+-])[0-9](?:[\x20-]?[0-9]){12,14}(?![0-9.-])", 0.4, CARD.context)
+SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.4, r"\bssn\b|social security|sozialvers", "-")
 
 BASE = (EMAIL, IP, CARD, PHONE)   # in the order in which they are listed
 ADDED = (IBAN, SHORT_CARD, SSN)
