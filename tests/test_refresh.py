@@ -244,7 +244,9 @@ def test_every_month_that_a_batch_spans_is_closed(spark, folder):
     jobs.run_sequence(store, refresh.TAX, shop(spark, transactions=spread), 200 * 1440, NOW)
     later = [*spread, sale(20, day="2023-02-25", changed="2023-06-20")]
     jobs.run_sequence(store, refresh.TAX, shop(spark, transactions=later), 200 * 1440, NOW)
-    assert_same_as_full(store, refresh.TAX, shop(spark, transactions=later))
+    raw, days, months, years = refresh.TAX.tables
+    assert_same_as_full(store, refresh.TAX, shop(spark, transactions=later), [raw, days, months])
+    assert rows(store.load(years), "year") == [(2022,)]  # the year that is over
 
 
 def test_a_null_in_a_key_is_a_key(spark, folder):
