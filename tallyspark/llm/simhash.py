@@ -203,9 +203,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row.
+    """``doc_id, fp, component_id, label`` of every row.
 
-    ``fp`` is the fingerprint as a signed long, ``component_id`` the smallest doc_id that can be reached over fingerprints
+    ``label`` names the group, also where ids are null or stand for several texts: its smallest fingerprint. ``fp`` is the fingerprint as a signed long, ``component_id`` the smallest doc_id that can be reached over fingerprints
     that differ in at most ``distance`` bits, the row's own included. A null or empty text has fingerprint 0, linked like
     any other. A null doc_id takes part but is never smallest; the id is null where a component has none. Repeated rows
     are returned each. Empty input gives no rows; other columns play no part.
@@ -224,30 +224,30 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, distance: int = DISTANCE)
             "fp", "first", F.coalesce(found["label"], fps["label"]).alias("label"))
         fps = scratch.keep(joined, f"labelled_{d}")
     smallest = fps.groupBy("label").agg(F.min("first").alias("component_id"))
-    return rows.join(fps.select("fp", "label").join(smallest, "label").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id")
+    return rows.join(fps.select("fp", "label").join(smallest, "label"), "fp").select("doc_id", "fp", "component_id", "label")
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> DataFrame:
     """The documents with the smallest doc_id of their group, with their own columns.
 
     Rows of a group without any doc_id are no group to choose from: one of them stays. Of repeated rows with the smallest
-    id, one stays.
+    id, one stays. An id that stands for several texts is chosen in each of their groups on its own.
     """
     groups = near_duplicates(docs, scratch, distance)
-    keep = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id")
-            .agg(F.min("fp").alias("fp"), F.count("*").alias("copies")))
-    with_id = docs.join(keep.filter("doc_id IS NOT NULL AND copies = 1").select("doc_id"), "doc_id", "left_semi")
-    rest = keep.filter("doc_id IS NULL OR copies > 1").select("doc_id", "fp")
+    # An id of one row is told by the id; for the others the fingerprint tells which row stays.
+    single = (groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"))
+              .filter("n = 1 AND doc_id = component_id").select("doc_id"))
+    smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    rest = (groups.filter(smallest).groupBy("doc_id", "label").agg(F.min("fp").alias("fp")).join(single, "doc_id", "left_anti")
+            .select(F.col("doc_id").alias("_id"), F.col("fp").alias("_kept")))
+    kept = docs.join(single, "doc_id", "left_semi").select(docs.columns)
     if rest.isEmpty():
-        return with_id.select(docs.columns)
-    marked = docs.withColumn("_fp", fingerprints("text"))
-    again = (marked.join(rest.filter("doc_id IS NOT NULL"), (marked["doc_id"] == rest["doc_id"]) & (marked["_fp"] == rest["fp"]),
-                         "left_semi").dropDuplicates(["doc_id", "_fp"]))
-    nameless = groups.filter("doc_id IS NULL AND component_id IS NULL").select("fp").distinct()
-    orphans = (marked.filter("doc_id IS NULL").join(nameless, marked["_fp"] == nameless["fp"], "left_semi")
-               .dropDuplicates(["_fp"]))
-    return with_id.select(docs.columns).union(again.select(docs.columns)).union(orphans.select(docs.columns))
+        return kept
+    same_id = docs["doc_id"].eqNullSafe(F.col("_id"))
+    marked = docs.join(rest.select("_id").distinct(), same_id, "left_semi").withColumn("_fp", fingerprints("text"))
+    again = (marked.join(rest, marked["doc_id"].eqNullSafe(rest["_id"]) & (marked["_fp"] == rest["_kept"]), "left_semi")
+             .dropDuplicates(["doc_id", "_fp"]))
+    return kept.union(again.select(docs.columns))
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -129,6 +129,22 @@ def test_one_of_each_keeps_all_groups(documents, scratch):
     assert {simhash.fingerprint(r["text"]) for r in kept.collect()} == {simhash.fingerprint(t) for _, t in ODD}
 
 
+def test_one_of_each_where_ids_repeat_or_lack(documents, scratch):
+    base = [f"w{i}" for i in range(600)]
+    variants = (" ".join([*base[:k], "other", *base[k + 1:]]) for k in range(600))
+    print_of_base = simhash.fingerprint(" ".join(base))
+    near = next(t for t in variants if 0 < bin(print_of_base ^ simhash.fingerprint(t)).count("1") <= 3)
+    nameless = [(None, " ".join(base)), (None, near)]
+    assert simhash.one_of_each(documents(*nameless), scratch).count() == 1
+    # Id 5 stands for two texts: smallest of one group, of the other not.
+    rows = [(5, " ".join(base)), (9, near), (5, "x y z u v w"), (3, "x y z u v w")]
+    kept = simhash.one_of_each(documents(*rows), scratch).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted([rows[0], rows[3]])
+    # Smallest of both.
+    kept = simhash.one_of_each(documents(*rows[:3]), scratch).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted([rows[0], rows[2]])
+
+
 def test_components_of_a_chain_and_a_star(spark, scratch):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     found = dict(components(spark.createDataFrame(links, "u long, v long"), scratch, "c").distinct().collect())
