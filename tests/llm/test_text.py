@@ -61,6 +61,30 @@ def test_checks_and_context_decide(documents):
     assert rows[6]["email"][0]["score"] > rows[7]["email"][0]["score"]
 
 
+def test_context_of_the_whole_text(documents):
+    rows = pii.find_personal_data(documents(
+        (0, "ssn 123-45-6789, 219-09-9999"), (1, "123-45-6789 is my SSN"), (2, "part 123-45-6789" + " x" * 20 + " ssn"),
+        (3, "ssn 000-45-6789, 219-09-9999"), (4, "cards: 378282246310005, 371449635398431"),
+        (5, "日 219-09-9999, 123-45-6789 ssn"), (6, "219-09-9999" + " " * 36 + "ssn"), (7, "219-09-9999" + " " * 38 + "ssn"),
+        (8, "ssn " + "219-09-9999 " * 300), (9, "219-09-9999 " * 300 + "ssn"))).orderBy("doc_id").collect()
+    assert [len(r["ssn"]) for r in rows] == [2, 1, 0, 1, 0, 2, 1, 0, 4, 4]
+    assert [s["start"] for s in rows[5]["ssn"]] == [2, 15]
+    assert [s["start"] for s in rows[8]["ssn"]] == [4, 16, 28, 40] and rows[9]["ssn"][-1]["end"] == 299 * 12 + 11
+    assert len(rows[4]["short_card"]) == 2
+
+
+def test_iban_has_its_countrys_length(documents):
+    es, at, de = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00"
+    texts = [f"{es} BIC CAIXESBB", f"{at} BIC BKAUATWW", f"{at} {de} {es}", f"AT12 3456 7890 {de}", f"{es.replace(' ', '')} BIC",
+             f"é {at} 1234", f"{at}x", "DE89 3704 0044 0532 0130 00 XX", "XX89 3704 0044 0532 0130 00", "NO9386011117947."]
+    rows = pii.find_personal_data(documents(*enumerate(texts))).orderBy("doc_id").collect()
+    assert [[s["value"] for s in r["iban"]] for r in rows] == [
+        [es], [at], [at, de, es], [de], [es.replace(" ", "")], [at], [], [de], [], ["NO9386011117947"]]
+    assert all(text[s["start"]:s["end"]] == s["value"] for text, r in zip(texts, rows) for s in r["iban"])
+    near = pii.find_personal_data(documents((1, f"{at} {de} is my IBAN"), (2, f"{at} {de}"))).orderBy("doc_id").collect()
+    assert [[round(s["score"], 1) for s in r["iban"]] for r in near] == [[1.0, 1.0], [0.9, 0.9]]
+
+
 def test_masking(documents):
     found = pii.masked(pii.find_personal_data(documents((1, "é a@b.co, 1.2.3.4!"), (2, None), (3, "nothing"))))
     assert [r["text"] for r in found.orderBy("doc_id").collect()] == ["é <email>, <ip>!", None, "nothing"]
