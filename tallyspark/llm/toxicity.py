@@ -3,7 +3,9 @@
 
 A text's features are the n-grams it holds at all, within and around its words. Their document counts by class are summed by
 Spark over the labelled sample; those whose share differs most between the classes are kept, each scaled by its log-count
-ratio, and a logistic regression is fitted over them. Scoring is one pass over the documents without a shuffle.
+ratio, and a logistic regression is fitted over them. Scoring is one pass over the documents without a shuffle: a text is
+scored in overlapping windows of about the length of the texts that the model was fitted on, and its score is that of its
+most toxic window, so that what surrounds a passage doesn't outweigh it.
 """
 
 from __future__ import annotations
@@ -21,12 +23,16 @@ from tallyspark.llm.tables import is_held_out, table
 from tallyspark.session import Scratch
 
 SIZES = (4, 5, 6)
+#: Bytes of a window at least.
+LEAST_WINDOW = 256
+#: N-grams of texts that a task sums up at once.
+COUNTED = 4_000_000
 
 
 @dataclass(frozen=True)
 class Model:
     sample: int = 8000     # labelled rows, at most
-    bits: int = 20         # of a feature's hash
+    window: float = 0.5    # share of the labelled texts that fit a window whole
     features: int = 1024   # kept, at most
     least_docs: int = 5    # that hold a feature
     penalty: float = 1.0
@@ -46,41 +52,97 @@ def _letters() -> np.ndarray:
 _LETTERS = _letters()
 
 
-def present(text: str | None, bits: int, kept: np.ndarray | None = None) -> np.ndarray:
-    """Hashes of the n-grams in a whole text, each once; with ``kept``, the numbers of those that it keeps (-1: not kept)."""
-    raw = np.frombuffer(b" " + (text or "").encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8)
-    found = []
-    for part in labelled.blocks(raw, max(SIZES) - 1):
-        plain = _LETTERS[part]
-        for n in SIZES:
-            hashes = labelled.grams(plain, n, bits)
-            if kept is not None:
-                hashes = kept[hashes]
-                hashes = hashes[hashes >= 0]
-            found.append(np.unique(hashes))
+def codes(plain: np.ndarray) -> Iterator[np.ndarray]:
+    """The n-grams of each size as numbers: their bytes, none of which is 0, so no two of them share a number."""
+    wide = plain.astype(np.uint64)
+    code = wide
+    for k in range(1, min(max(SIZES), len(wide))):
+        code = code[:-1] | wide[k:] << np.uint64(8 * k)
+        if k + 1 in SIZES:
+            yield code
+
+
+def bytes_of(text: str | None) -> np.ndarray:
+    return np.frombuffer(b" " + (text or "").encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8)
+
+
+def present(text: str | None) -> np.ndarray:
+    """Numbers of the n-grams in a whole text, each once."""
+    found = [np.empty(0, dtype=np.uint64)]
+    for part in labelled.blocks(bytes_of(text), max(SIZES) - 1):
+        found += [np.unique(code) for code in codes(_LETTERS[part])]
     return np.unique(np.concatenate(found))
 
 
+@dataclass
+class Kept:
+    """The features, in order of their numbers, and which slots of a small table their hashes fall into."""
+    codes: np.ndarray
+    slots: np.ndarray
+
+    @staticmethod
+    def of(codes: np.ndarray) -> Kept:
+        slots = np.zeros(1 << 16, dtype=bool)
+        slots[_slot(codes)] = True
+        return Kept(codes, slots)
+
+    def find(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Position (in bytes) and number of every feature found in a whole text, and the text's length."""
+        raw, at, which = bytes_of(text), [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        if len(self.codes):
+            for b, part in enumerate(labelled.blocks(raw, max(SIZES) - 1)):
+                for code in codes(_LETTERS[part]):
+                    maybe = np.flatnonzero(self.slots[_slot(code)])
+                    place = np.searchsorted(self.codes, code[maybe])
+                    same = self.codes[np.minimum(place, len(self.codes) - 1)] == code[maybe]
+                    at.append(maybe[same] + b * labelled.BLOCK)
+                    which.append(place[same])
+        return np.concatenate(at), np.concatenate(which), len(raw)
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)
+
+
 @dataclass
 class Classifier:
-    kept: np.ndarray      # number of each hash's feature, or -1
+    kept: Kept
     weights: np.ndarray   # ratio times coefficient of each feature
     bias: float
+    window: int           # bytes
 
-    def score(self, text: str | None, bits: int) -> float:
-        margin = self.bias + float(self.weights[present(text, bits, self.kept)].sum())
-        return 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30)))
+    def score(self, text: str | None) -> float:
+        """Of the most toxic window. Windows start every half of their length; the last one ends with the text."""
+        at, which, length = self.kept.find(text)
+        half, n = max(self.window // 2, 1), len(self.weights)
+        windows = max(-(-(length - self.window) // half), 0)  # that start before the last one
+        first = at // half
+        inside = [(first, which), (first - 1, which)]
+        pairs = [w[(0 <= w) & (w < windows)] * n + f[(0 <= w) & (w < windows)] for w, f in inside]
+        pairs = np.unique(np.concatenate([*pairs, windows * n + which[at >= length - self.window]]))
+        sums = np.bincount(pairs // max(n, 1), self.weights[pairs % max(n, 1)], windows + 1) if n else np.zeros(1)
+        return 1.0 / (1.0 + np.exp(-np.clip(self.bias + float(sums.max()), -30, 30)))
 
 
 def counted(rows: DataFrame, how: Model) -> DataFrame:
     """``feature, toxic, clean``: in how many labelled texts of each class a feature occurs."""
+    def summed(found: list[tuple[np.ndarray, bool]]) -> pd.DataFrame:
+        every, place = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+        toxic = np.bincount(place, np.concatenate([np.full(len(c), y) for c, y in found]), len(every)).astype(np.int64)
+        return pd.DataFrame({"feature": every.view(np.int64), "toxic": toxic,
+                             "clean": np.bincount(place, minlength=len(every)) - toxic})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((2, 1 << how.bits), dtype=np.int32)
+        found, size = [], 0
         for batch in batches:
             for text, y in batch.itertuples(index=False):
-                totals[int(y > 0)][present(text, how.bits)] += 1
-        at = np.flatnonzero(totals.sum(axis=0))
-        yield pd.DataFrame({"feature": at, "toxic": totals[1][at].astype(np.int64), "clean": totals[0][at].astype(np.int64)})
+                found.append((present(text), y > 0))
+                size += len(found[-1][0])
+                if size > COUNTED:
+                    yield summed(found)
+                    found, size = [], 0
+        if found:
+            yield summed(found)
 
     return rows.mapInPandas(count, "feature long, toxic long, clean long").groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -104,12 +166,15 @@ def fit(docs: DataFrame, labels: DataFrame, how: Model, scratch: Scratch) -> Cla
     """The driver gets the kept features and, for each row of the bounded sample, which of them it holds."""
     rows = scratch.keep(labelled.sample(docs, labels, "toxic", how.sample), "sample")
     features, ratios = chosen(rows, how)
-    kept = np.full(1 << how.bits, -1, dtype=np.int32)
-    kept[features] = np.arange(len(features), dtype=np.int32)
+    order = np.argsort(features)
+    features, ratios = features[order], ratios[order]
+    kept = Kept.of(features.view(np.uint64))
+    window = rows.agg(F.percentile(F.octet_length("text"), how.window)).first()[0]
+    window = max(int(window or 0) + 2, LEAST_WINDOW)
 
     def hold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"y": batch["y"], "at": [present(t, how.bits, kept) for t in batch["text"]]})
+            yield pd.DataFrame({"y": batch["y"], "at": [np.unique(kept.find(t)[1]) for t in batch["text"]]})
 
     found = rows.mapInPandas(hold, "y int, at array<int>").collect() if len(features) else []
     found.sort(key=lambda r: (r["y"], r["at"]))  # the same fit whatever order the rows come in
@@ -119,9 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, how: Model, scratch: Scratch) -> Cla
     if not len(found):
         share = rows.agg(F.avg((F.col("y") > 0).cast("int"))).first()[0]
         share = 0.5 if share is None else min(max(share, 1e-6), 1 - 1e-6)
-        return Classifier(kept, np.zeros(0), float(np.log(share / (1 - share))))
+        return Classifier(kept, np.zeros(0), float(np.log(share / (1 - share))), window)
     coefficients, bias = regression(x, np.array([r["y"] > 0 for r in found], dtype=np.float32), how)
-    return Classifier(kept, coefficients * ratios, bias)
+    return Classifier(kept, coefficients * ratios, bias, window)
 
 
 def regression(x: np.ndarray, y: np.ndarray, how: Model) -> tuple[np.ndarray, float]:
@@ -144,11 +209,11 @@ def regression(x: np.ndarray, y: np.ndarray, how: Model) -> tuple[np.ndarray, fl
 
 
 def score(docs: DataFrame, model: Classifier, how: Model) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the hash's bits: 4 MB
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most how.features features: under 1 MB
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t, how.bits) for t in texts], dtype="float64")
+        return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
 
     return docs.withColumn("score", of("text"))
 

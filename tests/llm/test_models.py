@@ -59,6 +59,35 @@ def test_the_regression_finds_the_word():
     assert weights[0] > 2 > abs(weights[1]) and bias < 0
 
 
+def test_a_toxic_passage_counts_in_a_long_text(documents, spark, scratch):
+    rng = np.random.default_rng(6)
+    words, kind = [f"word{i}" for i in range(40)], [f"kindly{i}" for i in range(20)]
+
+    def clean():
+        return " ".join([*rng.choice(words, 25), *rng.choice(kind, 5)])
+
+    def toxic():
+        return " ".join([*rng.choice(words, 25), "idiot", *rng.choice(words, 4)])
+
+    texts = [clean() if i % 4 else toxic() for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], LABELS)
+    around = [" ".join(clean() for _ in range(n)) for n in (10, 100, 6000)]
+    new = [toxic(), clean(), *around, *[f"{a} {toxic()} {a}" for a in around], *[f"{toxic()} {a}" for a in around],
+           *[f"{a} {toxic()}" for a in around]]
+    rows = toxicity.rate(documents(*enumerate([*texts, *new])), labels, scratch).filter("doc_id >= 400").orderBy("doc_id").collect()
+    assert [r["predicted"] for r in rows] == [1, 0, 0, 0, 0] + [1] * 9
+
+
+def test_ngrams_are_told_apart_exactly():
+    text = " the cat, THE cafés 1 \x00z" * 3
+    plain = bytes(toxicity._LETTERS[toxicity.bytes_of(text)])
+    want = {int.from_bytes(plain[i:i + n], "little") for n in toxicity.SIZES for i in range(len(plain) - n + 1)}
+    assert set(toxicity.present(text).tolist()) == want
+    kept = toxicity.Kept.of(np.array(sorted(want)[::3], dtype=np.uint64))
+    assert set(kept.codes[kept.find(text)[1]].tolist()) == set(kept.codes.tolist())
+    assert [len(toxicity.present(t)) for t in (None, "", "a", "ab")] == [0, 0, 0, 1]
+
+
 def brute(rows, queries, k):
     out = {}
     for q, a in queries:
