@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from tallyspark.functions import rules, times
 from tallyspark.operators import progress
 from tallyspark.plans.refresh import (
-    Level, Mart, carry_up, close_period, in_period, in_recovery, recovered_rows, refresh, stored_rows, touched_keys,
+    Level, Mart, carry_up, close_period, in_period, in_recovery, link_places, old_links, recovered_rows, refresh, stored_rows, touched_keys,
 )
 from tallyspark.schema import MartTable
 from tallyspark.session import Scratch
@@ -53,7 +53,7 @@ def settle(store: MartStore, mart: Mart) -> None:
     The raw mart may be that of before or after the batch; either way the levels agree with it afterwards. Months and years
     are rebuilt where they are published already; the others wait for their closing.
     """
-    store.resume(*mart.tables)
+    store.resume(*mart.stored_tables)
     touched = store.journal(mart.name)
     if touched is not None:
         start = touched.agg(F.min("before")).first()[0]
@@ -62,6 +62,15 @@ def settle(store: MartStore, mart: Mart) -> None:
         store.close_journal(mart.name)
 
 
+def stored_links(store: MartStore, mart: Mart, ids: DataFrame, also: Column | None = None) -> DataFrame | None:
+    """The stored links of some ids; only after ``settle`` are they those of the last batch."""
+    if mart.links is None:
+        return None
+    links = store.load(mart.links).select(*mart.links.column_names)
+    near = in_ranges(mart.links.key[0], id_ranges(ids))
+    return old_links(mart, links.filter(near if also is None else near | F.coalesce(also, F.lit(False))), ids, also)
+
+
 def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFrame, ids: DataFrame, *,
                    also_doomed: Column | None = None, before: date | None = None) -> None:
     """Bring the stored tables of a mart up to date for one batch of source rows.
@@ -69,7 +78,7 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
     ``entity`` holds the source rows as they are now, ``ids`` everything that changed, deleted rows included. Both, the new
     raw rows, the old raw rows and the touched keys are each written once and read by all levels. The touched keys go to
     the store's journal before the raw mart changes, and leave it after the last level: a run that dies in between is
-    finished by ``settle``.
+    finished by ``settle``. Links change last, so that a batch which is replayed finds the old ones.
     """
     settle(store, mart)
     scratch = Scratch(store.spark)
@@ -91,6 +100,10 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
             touched = touched_keys(mart, doomed, rows).withColumn("before", F.lit(before).cast("date"))
             touched = store.open_journal(mart.name, touched).drop("before").distinct()
         refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched, near=store.near)
+        if mart.links:
+            new = scratch.keep(mart.link_rows(entity), "links")
+            gone = scratch.keep(link_places(mart, stored_links(store, mart, ids, also_doomed), new), "gone_links")
+            store.replace(mart.links, gone, new)
         store.close_journal(mart.name)
     finally:
         scratch.clean()
@@ -104,7 +117,8 @@ def run_increment(store: MartStore, mart: Mart, source: Source, start: datetime,
         rules.within(clock, start, end) & rules.merchant_scope(merchants, outlet))
     mark = progress.batch_watermark(changed, start, end, now, clock).first()
     if mark["num_row"]:
-        batch = mart.batch(source, changed)
+        settle(store, mart)
+        batch = mart.batch(source, changed, stored_links(store, mart, changed))
         refresh_stored(store, mart, source, batch, batch, before=start.date())
     return Batch(mark["ts_current"], mark["ts_end"], mark["num_row"])
 
@@ -113,12 +127,13 @@ def run_changes(store: MartStore, mart: Mart, source: Source, changes: DataFrame
     """A batch of changed ids (columns ``id`` and ``deleted``). Deletions alone are a batch, too."""
     if changes.isEmpty():
         return Batch(None, None, 0)
+    settle(store, mart)
     ids = changes.select("id").distinct()
     living = changes.filter(~F.col("deleted")).select("id").distinct()
     entity = mart.source_rows(source).join(living, "id", "left_semi")
     clock = mart.clocks["etl"]
     first, last, count = entity.agg(F.min(clock), F.max(clock), F.count("*")).first()
-    entity = mart.batch(source, entity)
+    entity = mart.batch(source, entity, stored_links(store, mart, ids))
     refresh_stored(store, mart, source, entity, ids.union(entity.select("id")), before=(first or now).date())
     return Batch(first, last, count)
 
@@ -134,7 +149,8 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
     settle(store, mart)
     count = mart.source_rows(source).filter(rules.within(mart.clocks["recovery"], start, end) & scope).count()
     also = in_recovery(mart, start, end, scope, source_is_empty=count == 0)
-    entity = mart.batch(source, recovered_rows(mart, source, store.load(mart.raw), start, end, scope, also))
+    found = recovered_rows(mart, source, store.load(mart.raw), start, end, scope, also)
+    entity = mart.batch(source, found, stored_links(store, mart, found, also))
     refresh_stored(store, mart, source, entity, entity, also_doomed=also)
     if count == 0:
         resum_periods(store, mart, start.date(), end.date(), merchants=merchants, outlet=outlet)
@@ -263,10 +279,12 @@ def initial_load(store: MartStore, mart: Mart, source: Source, up_to: datetime,
     if not store.history(mart.name).isEmpty():
         raise ValueError(f"{mart.name} is loaded already: use an increment or a recovery")
     started = time.time()
-    store.drop(*mart.tables)
+    store.drop(*mart.stored_tables)
     after: dict[str, DataFrame] = {mart.raw.name: store.append(mart.raw, mart.raw_rows(source, None))}
     for level in mart.levels:
         after[level.table.name] = store.append(level.table, level.build(after[level.parent.name]))
+    if mart.links:
+        store.append(mart.links, mart.link_rows(mart.source_rows(source)))
     batch = Batch(up_to - timedelta(minutes=1), up_to, after[mart.raw.name].count())
     write_log(store, mart.name, batch, started, now, {"load": "initial"}, done_monthly=True, done_yearly=True)
 

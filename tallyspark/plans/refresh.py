@@ -13,8 +13,8 @@ from tallyspark.functions.times import before_month, before_year
 from tallyspark.operators.keys import distinct_keys, having_keys, lacking_keys, replace_keys
 from tallyspark.plans import compliment, reservation, sales, sales_net, tax
 from tallyspark.schema import (
-    COMPLIMENT_RAW, MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, SUMMARY_DAILY,
-    SUMMARY_RAW, TAX_DAILY, TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY, UTILIZATION_RAW,
+    COMPLIMENT_RAW, MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_NET_LINKS, SALES_RAW, SALES_YEARLY,
+    SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY, TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY, UTILIZATION_RAW,
 )
 from tallyspark.sources.tables import Source
 
@@ -45,7 +45,8 @@ class Mart:
     ``raw_rows`` turns source rows into raw mart rows, keeping only what belongs there. ``clocks`` names the source
     column that each kind of window selects on; ``clears_range`` says whether a recovery selects on the time that the
     raw mart is dated by, so that stored rows of the range which the source no longer has can be recognised. ``widen``
-    adds source rows whose raw rows depend on those of a batch.
+    adds source rows whose raw rows depend on those of a batch, or did by the rows that the table ``links`` holds of the
+    batch; ``link_rows`` makes those.
     """
 
     name: str
@@ -55,12 +56,18 @@ class Mart:
     levels: tuple[Level, ...]
     clocks: Mapping[str, str]
     clears_range: bool
-    widen: Callable[[Source, DataFrame], DataFrame] | None = None
+    widen: Callable[[Source, DataFrame, DataFrame | None], DataFrame] | None = None
+    links: MartTable | None = None
+    link_rows: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def tables(self) -> list[MartTable]:
         return [self.raw, *(level.table for level in self.levels)]
 
+    @property
+    def stored_tables(self) -> list[MartTable]:
+        return [*self.tables, *([self.links] if self.links else [])]
+
     def up_to(self, table: MartTable) -> Mart:
         """The mart without the levels above a table."""
         names = [t.name for t in self.tables]
@@ -69,8 +76,8 @@ class Mart:
     def source_rows(self, source: Source) -> DataFrame:
         return getattr(source, self.entity)
 
-    def batch(self, source: Source, changed: DataFrame) -> DataFrame:
-        return self.widen(source, changed) if self.widen else changed
+    def batch(self, source: Source, changed: DataFrame, stored_links: DataFrame | None = None) -> DataFrame:
+        return self.widen(source, changed, stored_links) if self.widen else changed
 
 
 SALES = Mart(
@@ -87,6 +94,7 @@ SALES_NET = Mart(
      Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly),
      Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly, SALES_DAILY)),
     {"etl": "updated_at", "recovery": "sold_at"}, True, sales_net.with_parents,
+    SALES_NET_LINKS, sales_net.bill_links,
 )
 TAX = Mart(
     "tax", "transactions", TAX_RAW, tax.tax_raw,
@@ -125,6 +133,17 @@ def stored_rows(raw: DataFrame, mart: Mart, ids: DataFrame) -> DataFrame:
     return having_keys(raw, ids.select(F.col("id").alias(mart.raw.key[0])), mart.raw.key)
 
 
+def old_links(mart: Mart, links: DataFrame, ids: DataFrame, also: Column | None = None) -> DataFrame:
+    """What is stored of the links of the listed source ids (column ``id``), and of those that meet a condition."""
+    listed = F.lit(False) if also is None else F.coalesce(also, F.lit(False))
+    named = having_keys(links.filter(~listed), ids.select(F.col("id").alias(mart.links.key[0])), mart.links.key)
+    return named.unionByName(links.filter(listed))
+
+
+def link_places(mart: Mart, *links: DataFrame) -> DataFrame:
+    return distinct_keys(*links, key=[*mart.links.key, *mart.links.calendar])
+
+
 def touched_keys(mart: Mart, *raw_rows: DataFrame) -> DataFrame:
     """Keys of all levels touched by raw rows, old and new ones, at the finest detail the levels need."""
     wanted = list(dict.fromkeys(c for level in mart.levels for c in (*level.table.key, *level.table.calendar)))
@@ -228,13 +247,19 @@ def increment(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start
 def _refreshed(mart: Mart, tables: Mapping[str, DataFrame], source: Source, entity: DataFrame, cleared: Column | None,
                before: date | None, keep: Keep | None) -> dict[str, DataFrame]:
     stored, kept = tables[mart.raw.name], keep or (lambda df, name: df)
-    entity = mart.batch(source, entity)
+    linked = old_links(mart, tables[mart.links.name], entity, cleared) if mart.links else None
+    entity = mart.batch(source, entity, linked)
     doomed = stored_rows(stored, mart, entity)
     if cleared is not None:
         doomed = doomed.unionByName(stored.filter(cleared))
     doomed = kept(doomed, "doomed")
     rows = kept(mart.raw_rows(source, entity), "rows")
-    return refresh(mart, lambda table: tables[table.name], in_memory(tables, keep), doomed, rows, before=before)
+    after = refresh(mart, lambda table: tables[table.name], in_memory(tables, keep), doomed, rows, before=before)
+    if mart.links:
+        new = mart.link_rows(entity)
+        gone = link_places(mart, linked, old_links(mart, tables[mart.links.name], entity), new)
+        after[mart.links.name] = in_memory(tables, keep)(mart.links, gone, new)
+    return after
 
 
 def full(mart: Mart, source: Source, keep: Keep | None = None) -> dict[str, DataFrame]:
@@ -243,6 +268,8 @@ def full(mart: Mart, source: Source, keep: Keep | None = None) -> dict[str, Data
     tables = {mart.raw.name: keep(raw, mart.raw.name) if keep else raw}
     for level in mart.levels:
         tables[level.table.name] = level.table.conform(level.build(tables[level.parent.name]))
+    if mart.links:
+        tables[mart.links.name] = mart.links.conform(mart.link_rows(mart.source_rows(source)))
     return tables
 
 

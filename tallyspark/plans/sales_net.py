@@ -59,10 +59,18 @@ def sales_net_raw(source: Source, transactions: DataFrame | None = None) -> Data
     )
 
 
-def with_parents(source: Source, transactions: DataFrame) -> DataFrame:
-    """Transactions of a batch together with the heads of the split bills they are parts of."""
-    bills = transactions.filter(F.col("parent_receipt_no").isNotNull()).select(
-        "merchant_id", "outlet_id", F.col("parent_receipt_no").alias("receipt_no")).distinct()
+def bill_links(transactions: DataFrame) -> DataFrame:
+    """The parts of split bills and the bills that they are booked on."""
+    return transactions.filter(F.col("parent_receipt_no").isNotNull()).select(
+        F.col("id").alias("id_transaction"), "merchant_id", "outlet_id", "parent_receipt_no",
+        F.col("sold_at").alias("datetime"), F.to_date("sold_at").alias("date"))
+
+
+def with_parents(source: Source, transactions: DataFrame, stored_links: DataFrame | None = None) -> DataFrame:
+    """Transactions of a batch together with the heads of the split bills they are parts of, or were by the stored links."""
+    links = bill_links(transactions)
+    links = links if stored_links is None else links.unionByName(stored_links.select(*links.columns))
+    bills = links.select("merchant_id", "outlet_id", F.col("parent_receipt_no").alias("receipt_no")).distinct()
     heads = having_keys(source.transactions, bills, list(BILL))
     return transactions.unionByName(lacking_keys(heads, transactions, ["id"]))
 

@@ -104,6 +104,12 @@ SALES_RAW = MartTable(
      ("order_type", INT), ("product", AMOUNT), ("hpp_product", AMOUNT), ("hpp_addon", AMOUNT), ("mdr", AMOUNT),
      ("commission", AMOUNT), ("count_transaction", LONG)),
 )
+# Which bill each part of a split bill was last booked on; parts have no raw row of their own in the net variant.
+SALES_NET_LINKS = MartTable(
+    "raw_mart_sales_net_links", "raw_mart_sales_net_links", ("id_transaction",),
+    (("id_transaction", LONG), ("merchant_id", LONG), ("outlet_id", LONG), ("parent_receipt_no", TEXT),
+     ("datetime", MOMENT), ("date", DAY)),
+)
 SALES_HOURLY = _sales("hourly", (("date", DAY), ("hour", INT)), ("date",))
 SALES_DAILY = _sales("daily", (("date", DAY),), ("date",))
 SALES_MONTHLY = _sales("monthly", (("year", INT), ("month", INT)), ("year", "month"))

@@ -187,6 +187,34 @@ def test_a_changed_part_refreshes_the_head_of_its_bill(spark, folder):
     assert rows(got, "sales_value", "transaction") == [(85.0, 1)]
 
 
+def bills(spark, *parts):
+    head = dict(split_flag=1, payment_no=1, changed="2023-05-10")
+    return shop(spark, transactions=[sale(1, total=50, **head), sale(2, total=70, **head), *[
+        sale(i, total=30 + i, split_flag=1, payment_no=2, parent_receipt_no=on, **more) for i, on, more in parts]])
+
+
+def test_parts_that_are_deleted_or_move_leave_their_old_head(spark, folder):
+    old = dict(changed="2023-05-10")
+    store = loaded(spark, folder, refresh.SALES_NET, bills(spark, (3, "N1", old), (4, "N1", old), (5, "N2", old)))
+    moved = bills(spark, (3, "N2", {}), (5, "N2", old))
+    jobs.run_changes(store, refresh.SALES_NET, moved, spark.createDataFrame(
+        [(3, False), (4, True)], "id bigint, deleted boolean"), NOW)
+    assert_same_as_full(store, refresh.SALES_NET, moved)
+    assert rows(store.load(refresh.SALES_NET.raw), "id_transaction", "sales_value") == [(1, 50.0), (2, 138.0)]
+    back = bills(spark, (3, "N1", {}), (5, "N2", old))
+    jobs.run_increment(store, refresh.SALES_NET, back, *JUNE, NOW)
+    assert_same_as_full(store, refresh.SALES_NET, back)
+    assert rows(store.load(refresh.SALES_NET.links), "id_transaction", "parent_receipt_no") == [(3, "N1"), (5, "N2")]
+
+
+def test_a_part_that_moves_leaves_its_old_head_in_memory(spark):
+    old = dict(changed="2023-05-10")
+    tables = refresh.full(refresh.SALES_NET, bills(spark, (3, "N1", old)))
+    got = refresh.increment(refresh.SALES_NET, tables, bills(spark, (3, "N2", {})), JUNE[0])
+    assert rows(got[refresh.SALES_NET.raw.name], "id_transaction", "sales_value") == [(1, 50.0), (2, 103.0)]
+    assert rows(got[refresh.SALES_NET.links.name], "parent_receipt_no") == [("N2",)]
+
+
 def die_at(store, table, monkeypatch):
     """The driver is lost when this table is about to be published."""
     publish = MartStore._publish
