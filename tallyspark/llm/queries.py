@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import bpe, chat, exact_dedup, mixing, pii, quality, sharding, simhash, toxicity, vp_trees
+from tallyspark.llm import (
+    bpe, chat, exact_dedup, filter_audit, hard_negatives, mixing, pii, quality, sharding, simhash, substring_dedup, toxicity, vp_trees,
+)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,9 +17,15 @@ QUERIES = {
     "op8_jump_sharding": sharding.op8_jump_sharding,
     "op9_bpe_chunks": bpe.op9_bpe_chunks,
     "op10_source_mix": mixing.op10_source_mix,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 ORACLE = {
     "op2_chat_rotation": chat.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
     "op6_vp_trees": vp_trees.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_substring_dedup": substring_dedup.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
