@@ -380,6 +380,20 @@ def windows_in_minutes(minutes: int) -> str:
   l.done_monthly, l.done_yearly, CAST({minutes} AS INTEGER) AS minutes FROM last l, runs r"""
 
 
+# Runs of 100 days, each from the last change that the one before has seen (less five seconds) on.
+BEFORE_RUNS = f"\nearly AS (SELECT * FROM trx WHERE updated_at < {BATCH})"
+RUNS = f"""
+first_run AS (SELECT min(updated_at) AS a, max(updated_at) AS b, count(*) AS n FROM trx
+  WHERE updated_at BETWEEN {BATCH} - INTERVAL 5 SECOND AND {BATCH} + INTERVAL 100 DAY),
+second_run AS (SELECT min(t.updated_at) AS a, max(t.updated_at) AS b, count(*) AS n FROM trx t, first_run r
+  WHERE t.updated_at BETWEEN r.b - INTERVAL 5 SECOND AND r.b + INTERVAL 100 DAY)"""
+
+
+def logged(number: int, run: str) -> str:
+    return f"""SELECT CAST({number} AS BIGINT) AS id, a AS ts_current, b AS ts_end, n AS num_row,
+  date_trunc('month', a) = date_trunc('month', b) AS done_monthly, year(a) = year(b) AS done_yearly FROM {run}"""
+
+
 ORACLE: dict[str, str] = {
     "changed_transactions": with_(TRX, BATCH_ROWS) + "SELECT *, status = '1' AS is_active FROM batch",
     "scoped_transactions": with_(TRX) + f"""SELECT {STEER} FROM trx t WHERE {IS_SALE} AND {RANGE}
@@ -470,6 +484,16 @@ ORACLE: dict[str, str] = {
     "utilization_range_deleted": with_(RES, util()) + UTIL_DAILY.replace(
         "FROM util", "FROM util WHERE NOT (date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND merchant_id = 2)"),
     "utilization_recovered": with_(RES, util()) + UTIL_DAILY,
+    "sales_yearly_recovered_after_moves": sales_full("yearly"), "tax_monthly_recovered_after_moves": tax_full("monthly"),
+    "sales_net_daily_recovered_after_moves": with_(*NET, net_level("daily")) + f"SELECT {sales_out('daily')} FROM lvl",
+    "utilization_daily_recovered_after_moves": with_(RES, util()) + UTIL_DAILY,
+    "reservation_summary_daily_recovered_after_moves": SUMMARY_DAILY,
+    "sales_daily_after_late_ids": sales_full("daily"),
+    "tax_daily_sequence_resumed": tax_full("daily"),
+    "run_log_of_a_sequence": with_(TRX, BEFORE_RUNS, LINES, tax_raw("early"), RUNS) + f"""
+      SELECT CAST(1 AS BIGINT) AS id, {BATCH} - INTERVAL 1 MINUTE AS ts_current, {BATCH} AS ts_end, count(*) AS num_row,
+        true AS done_monthly, true AS done_yearly FROM tax
+      UNION ALL {logged(2, "first_run")} UNION ALL {logged(3, "second_run")}""",
     "covered_months": with_(TRX) + """SELECT outlet_id, CAST(m AS DATE) AS month_start, CAST(year(m) AS INTEGER) AS year,
       CAST(month(m) AS INTEGER) AS month
       FROM (SELECT outlet_id, unnest(generate_series(date_trunc('month', min(sold_at)), date_trunc('month', max(sold_at)),

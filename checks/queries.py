@@ -17,7 +17,7 @@ from tallyspark.schema import (
     MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY,
     TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY,
 )
-from tallyspark.session import Scratch, shared_dir, tune
+from tallyspark.session import shared_dir, tune
 from tallyspark.sinks.store import MartStore
 from tallyspark.sources.sample_tables import SampleTables
 from tallyspark.sources.tables import Source
@@ -95,6 +95,10 @@ def payment_summary(t: SampleTables) -> DataFrame:
         "transaction_id", "mdr", sales.paid_value().alias("payment_value"))
 
 
+def _store(t: SampleTables) -> MartStore:
+    return MartStore(t.spark, f"{shared_dir(t.spark)}/marts", grain="month")
+
+
 # -- marts from scratch ----------------------------------------------------------------------------------------------
 
 def _full(mart: refresh.Mart, table: MartTable) -> Callable[[SampleTables], DataFrame]:
@@ -277,11 +281,24 @@ def affected_daily_keys(t: SampleTables) -> DataFrame:
 
 # -- marts after a batch ---------------------------------------------------------------------------------------------
 
+def _loaded(t: SampleTables, mart: refresh.Mart, source: Source) -> MartStore:
+    """A store that holds a mart as it was for an earlier state of the source."""
+    store = _store(t)
+    jobs.initial_load(store, mart, source, BATCH_START, NOW)
+    return store
+
+
+def _rows(store: MartStore, table: MartTable) -> DataFrame:
+    return store.load(table).select(*table.column_names)
+
+
 def _after(mart: refresh.Mart, table: MartTable, start: datetime) -> Callable[[SampleTables], DataFrame]:
+    """Stored marts brought up to date by one increment."""
     def build(t: SampleTables) -> DataFrame:
         some = mart.up_to(table)
-        stored = refresh.full(some, before_batch(t), Scratch(t.spark).keep)
-        return refresh.increment(some, stored, t.source(), start, keep=Scratch(t.spark).keep)[table.name]
+        store = _loaded(t, some, before_batch(t))
+        jobs.run_increment(store, some, t.source(), start, NOW, NOW)
+        return _rows(store, table)
 
     return build
 
@@ -302,6 +319,46 @@ for _name, _mart, _table, _start in (
     register(_name, _after(_mart, _table, _start))
 
 
+LATE_BATCH = (datetime(1998, 7, 1), datetime(1998, 7, 7, 23, 59, 59))
+
+
+@query
+def sales_daily_after_late_ids(t: SampleTables) -> DataFrame:
+    """A narrow batch: the sales that changed in one week, found by the ledger among all ids."""
+    mart, late = refresh.SALES.up_to(SALES_DAILY), rules.within("updated_at", *LATE_BATCH)
+    early = t.transactions().withColumns({
+        "sold_at": F.when(late & (F.col("id") % 2 == 0), F.col("sold_at") - F.make_dt_interval(days=F.lit(90))).otherwise(F.col("sold_at")),
+        "total": F.when(late, F.col("total") + 1).otherwise(F.col("total")).cast("decimal(12,2)")})
+    store = _loaded(t, mart, t.source().replacing(transactions=early.filter(~(late & (F.col("id") % 3 == 0)))))
+    jobs.run_increment(store, mart, t.source(), *LATE_BATCH, NOW)
+    return _rows(store, SALES_DAILY)
+
+
+@query
+def tax_daily_sequence_resumed(t: SampleTables) -> DataFrame:
+    """Runs over a year, each from where the log says that the last one stopped; one dies before its record and is repeated."""
+    mart, old = refresh.TAX.up_to(TAX_DAILY), t.transactions().filter(F.col("updated_at") < progress.moment(BATCH_START))
+    store = _loaded(t, mart, t.source().replacing(transactions=old))
+    for step in range(4):
+        if step == 1:
+            died = store.begin(mart.name)
+            died.put(TAX_DAILY, store.places(TAX_DAILY, old.limit(0).select(F.to_date("sold_at").alias("date"))), store.load(TAX_DAILY))
+            died.replace_where(TAX_DAILY, store.load(TAX_DAILY).select("p_month").distinct().limit(1).collect(), F.lit(True),
+                               store.load(TAX_DAILY).limit(0))
+        jobs.run_sequence(store, mart, t.source(), 100 * 1440, NOW, until=NOW)
+    return _rows(store, TAX_DAILY)
+
+
+@query
+def run_log_of_a_sequence(t: SampleTables) -> DataFrame:
+    """The log that such runs leave: windows, rows seen and closing flags."""
+    mart, old = refresh.TAX, t.transactions().filter(F.col("updated_at") < progress.moment(BATCH_START))
+    store = _loaded(t, mart, t.source().replacing(transactions=old))
+    for _ in range(2):
+        jobs.run_sequence(store, mart, t.source(), 100 * 1440, NOW, until=NOW)
+    return store.history(mart.name).select("id", "ts_current", "ts_end", "num_row", "done_monthly", "done_yearly")
+
+
 @query
 def upserted_daily(t: SampleTables) -> DataFrame:
     """Daily rows of the current source put over those of the stored one."""
@@ -313,14 +370,15 @@ def upserted_daily(t: SampleTables) -> DataFrame:
 # -- period closing and recovery -------------------------------------------------------------------------------------
 
 def _closed(mart: refresh.Mart, table: MartTable, year: int, month: int | None = None):
-    """A period of a stale mart replaced by the sum of the level below."""
+    """Stored marts whose days are up to date and whose months and years are those of before; one period is closed."""
     def build(t: SampleTables) -> DataFrame:
         some = mart.up_to(table)
-        level = some.levels[-1]
-        stored = refresh.full(some, before_batch(t))[table.name]
-        parent = refresh.full(some, t.source())[level.parent.name]
-        rows = table.conform(refresh.close_period(level, parent, year, month))
-        return stored.filter(~refresh.in_period(year, month)).unionByName(rows)
+        store = _loaded(t, some, before_batch(t))
+        finer = some.levels[-1].by_key_from or some.levels[-1].parent
+        jobs.run_recovery(store, mart.up_to(finer), t.source(), datetime(1970, 1, 1), NOW)
+        begin = datetime(year + 1, 1, 1, 1) if month is None else datetime(year, month + 1, 1, 1)
+        jobs.close_periods(store, some, jobs.Batch(begin, begin, 1), month is None, month is not None)
+        return _rows(store, table)
 
     return build
 
@@ -345,11 +403,12 @@ def _stale(t: SampleTables) -> Source:
 
 
 def _recovered(mart: refresh.Mart, table: MartTable):
+    """Stored marts of a stale source after a recovery of its range."""
     def build(t: SampleTables) -> DataFrame:
         some = mart.up_to(table)
-        stored = refresh.full(some, _stale(t), Scratch(t.spark).keep)
-        return refresh.recover(some, stored, t.source(), *RECOVERY, merchants=RECOVERY_MERCHANT,
-                               keep=Scratch(t.spark).keep)[table.name]
+        store = _loaded(t, some, _stale(t))
+        jobs.run_recovery(store, some, t.source(), *RECOVERY, merchants=RECOVERY_MERCHANT)
+        return _rows(store, table)
 
     return build
 
@@ -370,18 +429,19 @@ def _without_range(t: SampleTables, outlet: int | None = None) -> Source:
 @query
 def sales_daily_cleared(t: SampleTables) -> DataFrame:
     """Recovery of an outlet for which the source has nothing left in the range."""
-    mart, keep = refresh.SALES.up_to(SALES_DAILY), Scratch(t.spark).keep
-    stored = refresh.full(mart, t.source(), keep)
-    return refresh.recover(mart, stored, _without_range(t, RECOVERY_OUTLET), *RECOVERY, merchants=RECOVERY_MERCHANT,
-                           outlet=RECOVERY_OUTLET, source_is_empty=True, keep=Scratch(t.spark).keep)[SALES_DAILY.name]
+    mart = refresh.SALES.up_to(SALES_DAILY)
+    store = _loaded(t, mart, t.source())
+    jobs.run_recovery(store, mart, _without_range(t, RECOVERY_OUTLET), *RECOVERY, merchants=RECOVERY_MERCHANT,
+                      outlet=RECOVERY_OUTLET)
+    return _rows(store, SALES_DAILY)
 
 
 @query
 def sales_monthly_cleared(t: SampleTables) -> DataFrame:
-    mart, keep = refresh.SALES.up_to(SALES_MONTHLY), Scratch(t.spark).keep
-    stored = refresh.full(mart, t.source(), keep)
-    return refresh.recover(mart, stored, _without_range(t), *RECOVERY, merchants=RECOVERY_MERCHANT,
-                           source_is_empty=True, keep=Scratch(t.spark).keep)[SALES_MONTHLY.name]
+    mart = refresh.SALES.up_to(SALES_MONTHLY)
+    store = _loaded(t, mart, t.source())
+    jobs.run_recovery(store, mart, _without_range(t), *RECOVERY, merchants=RECOVERY_MERCHANT)
+    return _rows(store, SALES_MONTHLY)
 
 
 @query
@@ -398,8 +458,62 @@ def utilization_recovered(t: SampleTables) -> DataFrame:
     stale = t.source().replacing(reservations=t.reservations().withColumns({
         "status": F.when(wrong & (F.col("id") % 2 == 0), 700).otherwise(F.col("status")),
         "outlet_id": F.when(wrong & (F.col("id") % 5 == 0), 0).otherwise(F.col("outlet_id")).cast("bigint")}))
-    mart = refresh.UTILIZATION
-    return refresh.recover(mart, refresh.full(mart, stale), t.source(), start, end)[UTILIZATION_DAILY.name]
+    store = _loaded(t, refresh.UTILIZATION, stale)
+    jobs.run_recovery(store, refresh.UTILIZATION, t.source(), start, end)
+    return _rows(store, UTILIZATION_DAILY)
+
+
+# Recoveries of a range in which the source has altered, moved and lost rows since they were stored.
+SALE_RECOVERY = (datetime(2000, 1, 1), datetime(2001, 12, 31, 23, 59, 59))
+BOOKING_RECOVERY = (datetime(2024, 1, 1), datetime(2024, 1, 31, 23, 59, 59))
+
+
+def _shifted(t: SampleTables) -> Source:
+    """A source as it was when some rows had another day, and when rows were there that it has lost since."""
+    sold = rules.within("sold_at", *SALE_RECOVERY)
+    booked = rules.within("reserved_on", *BOOKING_RECOVERY)
+    transactions, reservations, services = t.transactions(), t.reservations(), t.services()
+    lost = transactions.filter(sold & (F.col("id") % 23 == 5)).withColumn("id", F.col("id") + F.lit(1_000_000_000))
+    lost_bookings = reservations.filter(booked & (F.col("id") % 23 == 5)).withColumn("id", F.col("id") + F.lit(1_000_000_000))
+    day = F.make_dt_interval(days=F.lit(1))
+    return t.source().replacing(
+        transactions=transactions.withColumns({
+            "sold_at": F.when(sold & (F.col("id") % 7 == 0), F.col("sold_at") + day).otherwise(F.col("sold_at")),
+            "total": F.when(sold & (F.col("id") % 11 == 0), 1).otherwise(F.col("total")).cast("decimal(12,2)"),
+        }).unionByName(lost),
+        promos=t.promos().unionByName(_again(t.promos(), "transaction_id")),
+        reservations=reservations.withColumns({
+            "reserved_on": F.when(booked & (F.col("id") % 7 == 0), F.date_add("reserved_on", 1)).otherwise(F.col("reserved_on")),
+            "status": F.when(booked & (F.col("id") % 11 == 0), 700).otherwise(F.col("status")),
+        }).unionByName(lost_bookings),
+        services=services.withColumn("service_date", F.when(
+            rules.within("service_date", *BOOKING_RECOVERY) & (F.col("id") % 7 == 0), F.date_add("service_date", 1)).otherwise(
+            F.col("service_date"))).unionByName(_again(services, "reservation_id")))
+
+
+def _again(children: DataFrame, parent: str) -> DataFrame:
+    """The children of the rows that are lost."""
+    return children.filter(F.col(parent) % 23 == 5).withColumn(parent, F.col(parent) + F.lit(1_000_000_000))
+
+
+def _recovered_from_shifted(mart: refresh.Mart, table: MartTable):
+    """The range is that of the mart's recovery clock; what was stored in it and isn't there any more goes, too."""
+    def build(t: SampleTables) -> DataFrame:
+        some, booked = mart.up_to(table), mart.entity == "reservations"
+        store = _loaded(t, some, _shifted(t))
+        jobs.run_recovery(store, some, t.source(), *(BOOKING_RECOVERY if booked else SALE_RECOVERY))
+        return _rows(store, table)
+
+    return build
+
+
+for _name, _mart, _table in (
+    ("sales_yearly_recovered_after_moves", refresh.SALES, SALES_YEARLY), ("tax_monthly_recovered_after_moves", refresh.TAX, TAX_MONTHLY),
+    ("sales_net_daily_recovered_after_moves", refresh.SALES_NET, SALES_DAILY),
+    ("utilization_daily_recovered_after_moves", refresh.UTILIZATION, UTILIZATION_DAILY),
+    ("reservation_summary_daily_recovered_after_moves", refresh.SUMMARY, SUMMARY_DAILY),
+):
+    register(_name, _recovered_from_shifted(_mart, _table))
 
 
 @query
@@ -520,10 +634,6 @@ def cdc_offsets(t: SampleTables) -> DataFrame:
 
 # -- stored marts and streams ----------------------------------------------------------------------------------------
 
-def _store(t: SampleTables) -> MartStore:
-    return MartStore(t.spark, f"{shared_dir(t.spark)}/marts", grain="month")
-
-
 @query
 def sales_daily_published(t: SampleTables) -> DataFrame:
     """Stored and read back under the published names."""

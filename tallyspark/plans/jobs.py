@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tallyspark.functions import rules, times
 from tallyspark.operators import progress
+from tallyspark.operators.deltas import changed_by, merged, totals
+from tallyspark.operators.keys import having_keys, lacking_keys
 from tallyspark.plans.refresh import (
-    Level, Mart, carry_up, close_period, in_period, in_recovery, link_places, old_links, recovered_rows, refresh, stored_rows, touched_keys,
+    Level, Mart, changed_ids, finished, in_period, ledger_rows, level_keys, level_rows, link_places, old_links, over, raw_delta, steer,
+    stored_rows, touched_keys,
 )
 from tallyspark.schema import MartTable
 from tallyspark.session import Scratch
-from tallyspark.sinks.store import MartStore
-from tallyspark.sources.tables import RESERVATION_CHILDREN, TRANSACTION_CHILDREN, Source, in_ranges
+from tallyspark.sinks.store import Batch as Changes, MartStore
+from tallyspark.sources.tables import RESERVATION_CHILDREN, TRANSACTION_CHILDREN, Source, id_ranges, in_ranges
 
 
 @dataclass(frozen=True)
@@ -29,41 +32,13 @@ class Batch:
     num_row: int
 
 
-def _apply_to(store: MartStore):
-    return lambda table, keys, rows: store.replace(table, keys, rows)
-
-
-#: Literal ranges that a batch's ids are summed up by at most.
-ID_RANGES = 16
-
-
-def id_ranges(ids: DataFrame) -> list[tuple[int, int]]:
-    """A few disjoint ranges that hold all ids, cut where they lie apart, so that one old id doesn't open everything."""
-    low, high = ids.agg(F.min("id"), F.max("id")).first()
-    if low is None:
-        return []
-    width = (high - low) // ID_RANGES + 1
-    found = ids.groupBy(F.floor((F.col("id") - low) / width)).agg(F.min("id").alias("low"), F.max("id").alias("high")).collect()
-    return sorted((row["low"], row["high"]) for row in found)
-
-
 def settle(store: MartStore, mart: Mart) -> None:
-    """Finish what a run that died has left: staged tables are published, and the levels of its keys rebuilt.
-
-    The raw mart may be that of before or after the batch; either way the levels agree with it afterwards. Months and years
-    are rebuilt where they are published already; the others wait for their closing.
-    """
-    store.resume(*mart.stored_tables)
-    touched = store.journal(mart.name)
-    if touched is not None:
-        start = touched.agg(F.min("before")).first()[0]
-        carry_up(mart, store.load, _apply_to(store), touched.drop("before"), {mart.raw.name: store.load(mart.raw)},
-                 before=start, near=store.near)
-        store.close_journal(mart.name)
+    """Finish what a run that died has left: a batch that was committed is put in place, any other is dropped."""
+    store.settle(mart.name)
 
 
 def stored_links(store: MartStore, mart: Mart, ids: DataFrame, also: Column | None = None) -> DataFrame | None:
-    """The stored links of some ids; only after ``settle`` are they those of the last batch."""
+    """The stored links of some ids, and of those that meet a condition."""
     if mart.links is None:
         return None
     links = store.load(mart.links).select(*mart.links.column_names)
@@ -71,55 +46,112 @@ def stored_links(store: MartStore, mart: Mart, ids: DataFrame, also: Column | No
     return old_links(mart, links.filter(near if also is None else near | F.coalesce(also, F.lit(False))), ids, also)
 
 
-def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFrame, ids: DataFrame, *,
-                   also_doomed: Column | None = None, before: date | None = None) -> None:
-    """Bring the stored tables of a mart up to date for one batch of source rows.
+def located(store: MartStore, mart: Mart, ids: DataFrame) -> DataFrame:
+    """What the ledger knows of some ids: only the partitions of their ranges are opened."""
+    ledger = store.load(mart.ledger, store.places(mart.ledger, ids))
+    return having_keys(ledger.select(*mart.ledger.column_names), ids, ["id"])
+
+
+def raw_of(store: MartStore, mart: Mart, known: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored raw rows of some ids, from the partitions that the ledger names for them."""
+    return stored_rows(store.load(mart.raw, store.places(mart.raw, known)), mart, ids)
 
-    ``entity`` holds the source rows as they are now, ``ids`` everything that changed, deleted rows included. Both, the new
-    raw rows, the old raw rows and the touched keys are each written once and read by all levels. The touched keys go to
-    the store's journal before the raw mart changes, and leave it after the last level: a run that dies in between is
-    finished by ``settle``. Links change last, so that a batch which is replayed finds the old ones.
+
+def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFrame, ids: DataFrame, *, before: date | None = None,
+                   by_day: bool = False, resum: bool = False, linked: DataFrame | None = None) -> int:
+    """Bring the stored tables of a mart up to date for one batch of source rows; returns how many ids were changed.
+
+    ``entity`` holds the source rows as they are now, ``ids`` everything that may have changed, deleted rows included. Ids
+    whose raw rows are what the ledger knows of them are left out, so a window that overlaps the last one doesn't write
+    again what that has written. Of the others the old raw rows are found by the ledger's places. Levels take the old rows
+    off and add the new ones, key by key; ``resum`` sums the touched keys from the finer level instead, for levels that may
+    be wrong themselves. ``by_day`` compares whole days before ids. All tables are put in place by one record.
     """
-    settle(store, mart)
-    scratch = Scratch(store.spark)
+    batch, scratch = store.begin(mart.name), Scratch(store.spark)
     try:
         entity = scratch.keep(entity, "entity")
         ids = scratch.keep(ids.select("id").distinct(), "ids")
-        ranges = id_ranges(ids)
-        if mart.widen is None:  # else a batch needs children of rows beside its own
-            children = RESERVATION_CHILDREN if mart.entity == "reservations" else TRANSACTION_CHILDREN
-            source = source.near_ids(ranges, children)
-        rows = scratch.keep(mart.raw_rows(source, entity), "rows")
-        stored = store.load(mart.raw)
-        doomed = stored_rows(stored.filter(in_ranges(mart.raw.key[0], ranges)), mart, ids)
-        if also_doomed is not None:
-            doomed = doomed.unionByName(stored.filter(also_doomed))
-        doomed = scratch.keep(doomed, "doomed")
-        touched = None
-        if mart.levels:
-            touched = touched_keys(mart, doomed, rows).withColumn("before", F.lit(before).cast("date"))
-            touched = store.open_journal(mart.name, touched).drop("before").distinct()
-        refresh(mart, store.load, _apply_to(store), doomed, rows, before=before, touched=touched, near=store.near)
+        children = RESERVATION_CHILDREN if mart.entity == "reservations" else TRANSACTION_CHILDREN
+        near = mart.bound(source, entity, scratch.keep) if mart.bound else source.near_ids(id_ranges(entity), children)
+        rows = scratch.keep(mart.raw_rows(near, entity), "rows")
+        new, known = scratch.keep(ledger_rows(mart, rows), "new"), scratch.keep(located(store, mart, ids), "known")
+        changed = ids if resum else scratch.keep(changed_ids(new, known, by_day), "changed")
+        count = changed.count()
+        if count:
+            new, known = (having_keys(df, changed, ["id"]) for df in (new, known))
+            rows = stored_rows(rows, mart, changed)
+            doomed = scratch.keep(raw_of(store, mart, known, changed).select(*mart.raw.column_names), "doomed")
+            places = [*mart.raw.key, *mart.raw.calendar]
+            batch.replace(mart.raw, doomed.select(*places).union(rows.select(*places)).distinct(), rows)
+            batch.replace(mart.ledger, changed, new)
+            carry_up(store, batch, mart, doomed, rows, scratch, before, resum)
         if mart.links:
-            new = scratch.keep(mart.link_rows(entity), "links")
-            gone = scratch.keep(link_places(mart, stored_links(store, mart, ids, also_doomed), new), "gone_links")
-            store.replace(mart.links, gone, new)
-        store.close_journal(mart.name)
+            replace_links(store, batch, mart, ids if linked is None else linked.select(F.col(mart.links.key[0]).alias("id")).union(ids),
+                          mart.link_rows(entity), scratch)
+        batch.commit()
+        return count
     finally:
         scratch.clean()
 
 
+def carry_up(store: MartStore, batch: Changes, mart: Mart, doomed: DataFrame, rows: DataFrame, scratch: Scratch,
+             before: date | None, resum: bool) -> None:
+    """Stage every level after a batch.
+
+    Hours and days are complete, so a delta is all they need. Months and years may not be published: with ``before``, those
+    still running at that day get no new keys until they are closed, and keys that are new to the others are summed from
+    the finer level, as the delta knows only this batch. What is published stays right.
+    """
+    if not mart.levels:
+        return
+    touched = scratch.keep(touched_keys(mart, doomed, rows), "touched") if resum else None
+    delta = None if resum else scratch.keep(raw_delta(mart, doomed, rows), "delta")
+    for level in mart.levels:
+        table = level.table
+        own = level_keys(touched, table) if resum else scratch.keep(changed_by(table, totals(table, delta)), table.name)
+        absent = own if resum else None
+        parts = store.places(table, own)
+        stored = store.load(table, parts)
+        if table.calendar != ("date",):
+            known = having_keys(own, stored, table.key)
+            fresh = lacking_keys(own, stored, table.key)
+            fresh = fresh if before is None else fresh.filter(over(table, before))
+            own, absent = (known, known.unionByName(fresh)) if resum else (known, fresh)
+        content = lacking_keys(stored, own, table.key) if resum else merged(table, stored, own)
+        if absent is not None and not absent.isEmpty():
+            finer = level.by_key_from or level.parent
+            found = having_keys(steer(store.near(finer, batch.load(finer), absent)), absent, table.key)
+            content = content.select(*table.key, *table.sums, *table.tallies).unionByName(
+                level_rows(mart, level, finer, found).select(*table.key, *table.sums, *table.tallies))
+        batch.put(table, parts, finished(table, content))
+
+
+def replace_links(store: MartStore, batch: Changes, mart: Mart, ids: DataFrame, new: DataFrame, scratch: Scratch) -> None:
+    """Stage the links of a batch, as far as they aren't stored already."""
+    columns = mart.links.column_names
+    old = scratch.keep(stored_links(store, mart, ids.distinct()).select(*columns), "old_links")
+    new = scratch.keep(mart.links.conform(new), "new_links")
+    differ = scratch.keep(link_places(mart, lacking_keys(old, new, columns), lacking_keys(new, old, columns)), "differ")
+    batch.replace(mart.links, differ, having_keys(new, differ, mart.links.key))
+
+
 def run_increment(store: MartStore, mart: Mart, source: Source, start: datetime, end: datetime, now: datetime, *,
                   merchants: Sequence[int] | int | None = None, outlet: int | None = None) -> Batch:
-    """One window on the change time. Months and years still running at its start wait for their closing."""
-    clock = mart.clocks["etl"]
-    changed = mart.source_rows(source).filter(
-        rules.within(clock, start, end) & rules.merchant_scope(merchants, outlet))
-    mark = progress.batch_watermark(changed, start, end, now, clock).first()
-    if mark["num_row"]:
-        settle(store, mart)
-        batch = mart.batch(source, changed, stored_links(store, mart, changed))
-        refresh_stored(store, mart, source, batch, batch, before=start.date())
+    """One window on the change time. Months and years still running at its start wait for their closing.
+
+    The changed rows are read once: a live source may answer a second question differently.
+    """
+    clock, scratch = mart.clocks["etl"], Scratch(store.spark)
+    try:
+        changed = scratch.keep(mart.source_rows(source).filter(
+            rules.within(clock, start, end) & rules.merchant_scope(merchants, outlet)), "changed")
+        mark = progress.batch_watermark(changed, start, end, now, clock).first()
+        if mark["num_row"]:
+            settle(store, mart)
+            batch = mart.batch(source, changed, stored_links(store, mart, changed))
+            refresh_stored(store, mart, source, batch, batch, before=start.date())
+    finally:
+        scratch.clean()
     return Batch(mark["ts_current"], mark["ts_end"], mark["num_row"])
 
 
@@ -128,33 +160,52 @@ def run_changes(store: MartStore, mart: Mart, source: Source, changes: DataFrame
     if changes.isEmpty():
         return Batch(None, None, 0)
     settle(store, mart)
-    ids = changes.select("id").distinct()
-    living = changes.filter(~F.col("deleted")).select("id").distinct()
-    entity = mart.source_rows(source).join(living, "id", "left_semi")
-    clock = mart.clocks["etl"]
-    first, last, count = entity.agg(F.min(clock), F.max(clock), F.count("*")).first()
-    entity = mart.batch(source, entity, stored_links(store, mart, ids))
-    refresh_stored(store, mart, source, entity, ids.union(entity.select("id")), before=(first or now).date())
+    scratch = Scratch(store.spark)
+    try:
+        ids = changes.select("id").distinct()
+        living = changes.filter(~F.col("deleted")).select("id").distinct()
+        entity = scratch.keep(mart.source_rows(source).join(living, "id", "left_semi"), "living")
+        clock = mart.clocks["etl"]
+        first, last, count = entity.agg(F.min(clock), F.max(clock), F.count("*")).first()
+        entity = mart.batch(source, entity, stored_links(store, mart, ids))
+        refresh_stored(store, mart, source, entity, ids.union(entity.select("id")), before=(first or now).date())
+    finally:
+        scratch.clean()
     return Batch(first, last, count)
 
 
+def in_range(table: MartTable, start: datetime, end: datetime, scope: Column) -> Column:
+    """Stored rows of a recovered range: by their time where they have one, else by their day."""
+    dated = rules.within("datetime", start, end) if "datetime" in table.column_names else F.lit(True)
+    return dated & F.col("date").between(F.lit(start.date()), F.lit(end.date())) & scope
+
+
 def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime, end: datetime, *,
-                 merchants: Sequence[int] | int | None = None, outlet: int | None = None) -> Batch:
-    """Rebuild a range for a merchant, an outlet or everything, months and years included.
+                 merchants: Sequence[int] | int | None = None, outlet: int | None = None, resum: bool = False) -> Batch:
+    """Compare a range with the source, for a merchant, an outlet or everything, and rebuild what differs.
 
-    Rows that were stored in the range and have moved out of it in the source are stored where they are now. If the source
-    has nothing there any more, the stored range is cleared and its months and years are summed anew.
+    The range is taken on both sides: source rows whose recovery clock is in it, and raw rows that are stored in it. Rows
+    that the source has elsewhere by now are stored there, and rows that it no longer has go. Days whose checksums agree
+    are left alone; months and years that are published follow. ``resum`` sums all keys of the range anew, for a mart whose
+    levels don't agree with its raw rows.
     """
     scope = rules.merchant_scope(merchants, outlet)
     settle(store, mart)
-    count = mart.source_rows(source).filter(rules.within(mart.clocks["recovery"], start, end) & scope).count()
-    also = in_recovery(mart, start, end, scope, source_is_empty=count == 0)
-    found = recovered_rows(mart, source, store.load(mart.raw), start, end, scope, also)
-    entity = mart.batch(source, found, stored_links(store, mart, found, also))
-    refresh_stored(store, mart, source, entity, entity, also_doomed=also)
-    if count == 0:
-        resum_periods(store, mart, start.date(), end.date(), merchants=merchants, outlet=outlet)
-    return Batch(start, end, count)
+    scratch = Scratch(store.spark)
+    try:
+        clock, found = mart.clocks["recovery"], mart.source_rows(source)
+        inside = scratch.keep(found.filter(rules.within(clock, start, end) & scope), "inside")
+        there = store.load(mart.raw).filter(F.col("p_month").between(f"{start:%Y-%m}", f"{end:%Y-%m}"))
+        stored = scratch.keep(there.filter(in_range(mart.raw, start, end, scope)).select(
+            F.col(mart.raw.key[0]).alias("id")).distinct(), "stored")
+        moved = having_keys(found, lacking_keys(stored, inside, ["id"]), ["id"])
+        entity = scratch.keep(inside.unionByName(moved), "found")
+        linked = stored_links(store, mart, entity, None if mart.links is None else in_range(mart.links, start, end, scope))
+        batch = mart.batch(source, entity, linked)
+        refresh_stored(store, mart, source, batch, stored.union(batch.select("id")), by_day=True, resum=resum, linked=linked)
+        return Batch(start, end, inside.count())
+    finally:
+        scratch.clean()
 
 
 def covered_months(spark: SparkSession, start: date, end: date) -> list[Row]:
@@ -163,28 +214,14 @@ def covered_months(spark: SparkSession, start: date, end: date) -> list[Row]:
     return months.select(F.year("first").alias("year"), F.month("first").alias("month")).orderBy("year", "month").collect()
 
 
-def resum_periods(store: MartStore, mart: Mart, start: date, end: date, *, merchants=None,
-                  outlet: int | None = None) -> None:
-    """Sum the covered months, then the covered years, of a merchant or outlet from the level below."""
-    months = covered_months(store.spark, start, end)
-    for level in mart.levels:
-        if level.table.calendar == ("year", "month"):
-            for row in months:
-                resum_period(store, level, row["year"], row["month"], merchants, outlet)
-        elif level.table.calendar == ("year",):
-            for year in sorted({row["year"] for row in months}):
-                resum_period(store, level, year, None, merchants, outlet)
-
-
-def resum_period(store: MartStore, level: Level, year: int, month: int | None = None, merchants=None,
+def resum_period(store: MartStore, batch: Changes, mart: Mart, level: Level, year: int, month: int | None = None, merchants=None,
                  outlet: int | None = None) -> None:
-    """Replace one month or year of a level, partition by partition."""
+    """Stage one month or year of a level, summed from a finer one, for everything or for a merchant and outlet."""
     finer = level.by_key_from or level.parent
-    parent = store.load(finer).filter(_partition_prefix(finer, year, month))
-    rows = close_period(level, parent, year, month, merchants, outlet)
+    scope = rules.merchant_scope(merchants, outlet)
+    found = steer(store.load(finer).filter(_partition_prefix(finer, year, month))).filter(in_period(year, month) & scope)
     part = Row(p_year=str(year)) if month is None else Row(p_month=f"{year:04d}-{month:02d}")
-    doomed = in_period(year, month) & rules.merchant_scope(merchants, outlet)
-    store.replace_where(level.table, [part], doomed, rows)
+    batch.replace_where(level.table, [part], in_period(year, month) & scope, level_rows(mart, level, finer, found))
 
 
 def _partition_prefix(table: MartTable, year: int, month: int | None) -> Column:
@@ -217,13 +254,15 @@ def close_periods(store: MartStore, mart: Mart, batch: Batch, done_monthly: bool
     years = set(range(first.year, max(begin.year, end.year - 1)))
     months |= {month(todo["close_month"])} if todo["close_month"] else set()
     years |= {todo["close_year"]} if todo["close_year"] else set()
+    closing = store.begin(mart.name)
     for level in mart.levels:
         if level.table.calendar == ("year", "month"):
             for m in sorted(months):
-                resum_period(store, level, m // 12, m % 12 + 1)
+                resum_period(store, closing, mart, level, m // 12, m % 12 + 1)
         elif level.table.calendar == ("year",):
             for year in sorted(years):
-                resum_period(store, level, year)
+                resum_period(store, closing, mart, level, year)
+    closing.commit()
     return todo["done_monthly"], todo["done_yearly"]
 
 
@@ -235,6 +274,9 @@ def log_name(mart: Mart, merchants: Sequence[int] | int | str | None) -> str:
 
 
 def write_log(store: MartStore, job: str, batch: Batch, started: float, now: datetime, params: dict, **extra) -> None:
+    """Add a run to the log of a job, which is told by its name."""
+    if not isinstance(job, str):
+        raise TypeError(f"a job is told by its name, not by a {type(job).__name__}")
     last = store.history(job).agg(F.max("id")).first()[0] or 0
     store.log(job, progress.log_row(
         store.spark, run_id=last + 1, actdate=now, ts_current=batch.ts_current, ts_end=batch.ts_end,
@@ -281,8 +323,9 @@ def initial_load(store: MartStore, mart: Mart, source: Source, up_to: datetime,
     started = time.time()
     store.drop(*mart.stored_tables)
     after: dict[str, DataFrame] = {mart.raw.name: store.append(mart.raw, mart.raw_rows(source, None))}
+    store.append(mart.ledger, ledger_rows(mart, after[mart.raw.name]))
     for level in mart.levels:
-        after[level.table.name] = store.append(level.table, level.build(after[level.parent.name]))
+        after[level.table.name] = store.append(level.table, level_rows(mart, level, level.parent, after[level.parent.name]))
     if mart.links:
         store.append(mart.links, mart.link_rows(mart.source_rows(source)))
     batch = Batch(up_to - timedelta(minutes=1), up_to, after[mart.raw.name].count())

@@ -1,25 +1,24 @@
-"""Incremental upkeep: rebuild exactly the keys that a batch touches, level by level."""
+"""The marts, and what a batch changes of them: which ids really differ, which keys they touch, and by how much."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyspark.functions.rules import merchant_scope, within
 from tallyspark.functions.times import before_month, before_year
-from tallyspark.operators.keys import distinct_keys, having_keys, lacking_keys, replace_keys
+from tallyspark.operators.aggregate import surrogate_key
+from tallyspark.operators.deltas import changed_by, checksums, contributions, differing, settled, totals
+from tallyspark.operators.keys import distinct_keys, having_keys
 from tallyspark.plans import compliment, reservation, sales, sales_net, tax
 from tallyspark.schema import (
     COMPLIMENT_RAW, MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_NET_LINKS, SALES_RAW, SALES_YEARLY,
-    SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY, TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY, UTILIZATION_RAW,
+    SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY, TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY, UTILIZATION_RAW, ledger_of,
 )
 from tallyspark.sources.tables import Source
 
-# Puts a change into a table and returns the table after it.
-Apply = Callable[[MartTable, DataFrame, DataFrame], DataFrame]
 # Stores an intermediate result under a name and returns it read back.
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -55,10 +54,15 @@ class Mart:
     raw_rows: Callable[[Source, DataFrame], DataFrame]
     levels: tuple[Level, ...]
     clocks: Mapping[str, str]
-    clears_range: bool
+    adds: Callable[[DataFrame], DataFrame] | None = None
     widen: Callable[[Source, DataFrame, DataFrame | None], DataFrame] | None = None
     links: MartTable | None = None
     link_rows: Callable[[DataFrame], DataFrame] | None = None
+    bound: Callable[[Source, DataFrame, Keep], Source] | None = None
+
+    @property
+    def ledger(self) -> MartTable:
+        return ledger_of(self.raw)
 
     @property
     def tables(self) -> list[MartTable]:
@@ -66,7 +70,7 @@ class Mart:
 
     @property
     def stored_tables(self) -> list[MartTable]:
-        return [*self.tables, *([self.links] if self.links else [])]
+        return [*self.tables, self.ledger, *([self.links] if self.links else [])]
 
     def up_to(self, table: MartTable) -> Mart:
         """The mart without the levels above a table."""
@@ -84,7 +88,7 @@ SALES = Mart(
     "sales", "transactions", SALES_RAW, sales.sales_raw,
     (Level(SALES_HOURLY, SALES_RAW, sales.sales_hourly), Level(SALES_DAILY, SALES_HOURLY, sales.sales_daily_from_hourly),
      Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly), Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly, SALES_DAILY)),
-    {"etl": "updated_at", "recovery": "sold_at"}, True,
+    {"etl": "updated_at", "recovery": "sold_at"}, sales.contributions,
 )
 # The net variant in the same tables; a store holds one of the two.
 SALES_NET = Mart(
@@ -93,28 +97,28 @@ SALES_NET = Mart(
      Level(SALES_DAILY, SALES_HOURLY, sales.sales_daily_from_hourly),
      Level(SALES_MONTHLY, SALES_DAILY, sales.sales_monthly),
      Level(SALES_YEARLY, SALES_MONTHLY, sales.sales_yearly, SALES_DAILY)),
-    {"etl": "updated_at", "recovery": "sold_at"}, True, sales_net.with_parents,
-    SALES_NET_LINKS, sales_net.bill_links,
+    {"etl": "updated_at", "recovery": "sold_at"}, sales_net.contributions, sales_net.with_parents,
+    SALES_NET_LINKS, sales_net.bill_links, sales_net.bounded,
 )
 TAX = Mart(
     "tax", "transactions", TAX_RAW, tax.tax_raw,
     (Level(TAX_DAILY, TAX_RAW, tax.tax_daily), Level(TAX_MONTHLY, TAX_DAILY, tax.tax_monthly),
      Level(TAX_YEARLY, TAX_MONTHLY, tax.tax_yearly, TAX_DAILY)),
-    {"etl": "updated_at", "recovery": "sold_at"}, True,
+    {"etl": "updated_at", "recovery": "sold_at"}, tax.contributions,
 )
 COMPLIMENT = Mart(
     "compliment", "transactions", COMPLIMENT_RAW, compliment.compliment_raw, (),
-    {"etl": "updated_at", "recovery": "updated_at"}, False,
+    {"etl": "updated_at", "recovery": "updated_at"},
 )
 UTILIZATION = Mart(
     "utilization", "reservations", UTILIZATION_RAW, reservation.utilization_raw,
     (Level(UTILIZATION_DAILY, UTILIZATION_RAW, reservation.utilization_daily),),
-    {"etl": "updated_at", "recovery": "reserved_on"}, False,
+    {"etl": "updated_at", "recovery": "reserved_on"}, reservation.utilization_contributions,
 )
 SUMMARY = Mart(
     "summary", "reservations", SUMMARY_RAW, reservation.summary_raw,
     (Level(SUMMARY_DAILY, SUMMARY_RAW, reservation.summary_daily),),
-    {"etl": "updated_at", "recovery": "updated_at"}, False,
+    {"etl": "updated_at", "recovery": "updated_at"}, reservation.summary_contributions,
 )
 
 
@@ -150,116 +154,14 @@ def touched_keys(mart: Mart, *raw_rows: DataFrame) -> DataFrame:
     return distinct_keys(*(steer(rows) for rows in raw_rows), key=wanted)
 
 
-def level_keys(touched: DataFrame, table: MartTable, before: date | None = None,
-               current: DataFrame | None = None) -> DataFrame:
-    """Keys of one level.
-
-    With ``before``, months and years still running at that day wait until they are closed, unless the ``current`` table
-    has a row for the key already: what is published stays right.
-    """
-    keys = touched.select(*dict.fromkeys((*table.key, *table.calendar))).distinct()
-    if before is None or table.calendar == ("date",):
-        return keys
-    over = before_month("year", "month", before) if "month" in table.calendar else before_year("year", before)
-    closed, running = keys.filter(over), keys.filter(~over)
-    return closed.unionByName(having_keys(running, current.filter(~over), table.key))
-
-
-def rebuild(level: Level, parent: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of a level for some keys, from a finer one."""
-    return level.build(having_keys(steer(parent), keys, level.table.key))
-
+def level_keys(touched: DataFrame, table: MartTable) -> DataFrame:
+    """Keys of one level."""
+    return touched.select(*dict.fromkeys((*table.key, *table.calendar))).distinct()
 
-def refresh(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply, doomed: DataFrame, rows: DataFrame, *,
-            before: date | None = None, touched: DataFrame | None = None,
-            near: Callable[[MartTable, DataFrame, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Carry one batch through a raw mart and its levels; returns every table after the change.
 
-    ``near`` may narrow a table to the periods of some keys before it is searched for them.
-
-    ``doomed`` are stored raw rows to go, ``rows`` the raw rows that take their place. Keys of both are rebuilt from
-    what remains, so a key that lost its last row disappears and a key that lost one of several does not.
-    """
-    raw_key = list(dict.fromkeys((*mart.raw.key, *mart.raw.calendar)))
-    places = doomed.select(*raw_key).union(rows.select(*raw_key)).distinct()
-    after = {mart.raw.name: apply(mart.raw, places, rows)}
-    touched = touched_keys(mart, doomed, rows) if touched is None and mart.levels else touched
-    return carry_up(mart, current, apply, touched, after, before=before, near=near)
-
-
-def carry_up(mart: Mart, current: Callable[[MartTable], DataFrame], apply: Apply, touched: DataFrame | None,
-             after: dict[str, DataFrame], *, before: date | None = None,
-             near: Callable[[MartTable, DataFrame, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Rebuild the touched keys of every level from a raw mart that is up to date (``after``)."""
-    for level in mart.levels:
-        keys = level_keys(touched, level.table, before, current(level.table))
-        finer = level.by_key_from or level.parent
-        parent = near(finer, after[finer.name], keys) if near else after[finer.name]
-        built = rebuild(level, parent, keys)
-        after[level.table.name] = apply(level.table, keys, built)
-    return after
-
-
-def in_memory(tables: Mapping[str, DataFrame], keep: Keep | None = None) -> Apply:
-    """Apply changes to DataFrames instead of stored tables."""
-    def apply(table: MartTable, keys: DataFrame, rows: DataFrame) -> DataFrame:
-        after = replace_keys(tables[table.name].select(*table.column_names), keys, table.conform(rows), table.key)
-        return keep(after, table.name) if keep else after
-
-    return apply
-
-
-def in_recovery(mart: Mart, start: datetime, end: datetime, scope: Column, source_is_empty: bool) -> Column | None:
-    """Stored rows that a recovery drops whether or not the source still knows their ids."""
-    if source_is_empty:
-        return F.col("date").between(F.lit(start.date()), F.lit(end.date())) & scope
-    return within("datetime", start, end) & scope if mart.clears_range else None
-
-
-def recovered_rows(mart: Mart, source: Source, stored: DataFrame, start: datetime, end: datetime, scope: Column,
-                   cleared: Column | None) -> DataFrame:
-    """Source rows that a recovery takes up: those in its range, and those that were stored in it and have moved out."""
-    found = mart.source_rows(source)
-    inside = found.filter(within(mart.clocks["recovery"], start, end) & scope)
-    if cleared is None:
-        return inside
-    moved = having_keys(found, stored.filter(cleared).select(F.col(mart.raw.key[0]).alias("id")), ["id"])
-    return inside.unionByName(lacking_keys(moved, inside, ["id"]))
-
-
-def recover(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start: datetime, end: datetime, *,
-            merchants=None, outlet: int | None = None, source_is_empty: bool = False,
-            keep: Keep | None = None) -> dict[str, DataFrame]:
-    """All tables of a mart after rebuilding a range; the given tables stay as they are."""
-    scope = merchant_scope(merchants, outlet)
-    cleared = in_recovery(mart, start, end, scope, source_is_empty)
-    entity = recovered_rows(mart, source, tables[mart.raw.name], start, end, scope, cleared)
-    return _refreshed(mart, tables, source, entity, cleared, None, keep)
-
-
-def increment(mart: Mart, tables: Mapping[str, DataFrame], source: Source, start: datetime,
-              end: datetime | None = None, *, keep: Keep | None = None) -> dict[str, DataFrame]:
-    """All tables of a mart after one window on the change time; the given tables stay as they are."""
-    entity = mart.source_rows(source).filter(within(mart.clocks["etl"], start, end))
-    return _refreshed(mart, tables, source, entity, None, start.date(), keep)
-
-
-def _refreshed(mart: Mart, tables: Mapping[str, DataFrame], source: Source, entity: DataFrame, cleared: Column | None,
-               before: date | None, keep: Keep | None) -> dict[str, DataFrame]:
-    stored, kept = tables[mart.raw.name], keep or (lambda df, name: df)
-    linked = old_links(mart, tables[mart.links.name], entity, cleared) if mart.links else None
-    entity = mart.batch(source, entity, linked)
-    doomed = stored_rows(stored, mart, entity)
-    if cleared is not None:
-        doomed = doomed.unionByName(stored.filter(cleared))
-    doomed = kept(doomed, "doomed")
-    rows = kept(mart.raw_rows(source, entity), "rows")
-    after = refresh(mart, lambda table: tables[table.name], in_memory(tables, keep), doomed, rows, before=before)
-    if mart.links:
-        new = mart.link_rows(entity)
-        gone = link_places(mart, linked, old_links(mart, tables[mart.links.name], entity), new)
-        after[mart.links.name] = in_memory(tables, keep)(mart.links, gone, new)
-    return after
+def over(table: MartTable, before: date) -> Column:
+    """Keys of months or years that are over at that day; the others wait until they are closed."""
+    return before_month("year", "month", before) if "month" in table.calendar else before_year("year", before)
 
 
 def full(mart: Mart, source: Source, keep: Keep | None = None) -> dict[str, DataFrame]:
@@ -273,13 +175,42 @@ def full(mart: Mart, source: Source, keep: Keep | None = None) -> dict[str, Data
     return tables
 
 
-def close_period(level: Level, parent: DataFrame, year: int, month: int | None = None, merchants=None,
-                 outlet: int | None = None) -> DataFrame:
-    """Rows of one month or year, from the level below, optionally for one merchant and outlet."""
-    period = in_period(year, month) & merchant_scope(merchants, outlet)
-    return level.build(steer(parent).filter(period))
-
-
 def in_period(year: int, month: int | None = None) -> Column:
     test = F.col("year") == year
     return test if month is None else test & (F.col("month") == month)
+
+
+def ledger_rows(mart: Mart, raw: DataFrame) -> DataFrame:
+    """What the ledger notes of raw rows: for each id and place their number and digest."""
+    places = {"id": F.col(mart.raw.key[0]), **{c: F.col(c) for c in ("merchant_id", "outlet_id", "date")}}
+    return checksums(raw.select(*mart.raw.column_names), places)
+
+
+def changed_ids(new: DataFrame, known: DataFrame, by_day: bool) -> DataFrame:
+    """Ids whose raw rows aren't what the ledger knows of them.
+
+    With ``by_day`` days are compared first, per merchant and outlet, and ids only within those that differ: over a long
+    range most don't, and a checksum of each is far less than its ids.
+    """
+    if by_day:
+        days = differing(new, known, ["merchant_id", "outlet_id", "date"])
+        new, known = (having_keys(df, days, ["merchant_id", "outlet_id", "date"]) for df in (new, known))
+    return differing(new, known, ["id", "merchant_id", "outlet_id", "date"]).select("id").distinct()
+
+
+def finished(table: MartTable, rows: DataFrame) -> DataFrame:
+    """Rows of a roll-up with the surrogate key that some tables have."""
+    return rows.withColumn("no", surrogate_key(table.key)) if "no" in table.column_names else rows
+
+
+def level_rows(mart: Mart, level: Level, finer: MartTable, rows: DataFrame) -> DataFrame:
+    """A level, with its tallies, from rows of the raw mart or of a finer level."""
+    adds = contributions(mart.levels[0].table, mart.adds(rows), 1) if finer.name == mart.raw.name else rows
+    return finished(level.table, settled(level.table, totals(level.table, adds)))
+
+
+def raw_delta(mart: Mart, doomed: DataFrame, rows: DataFrame) -> DataFrame:
+    """What a batch changes of the finest level: old raw rows taken off, new ones added."""
+    table = mart.levels[0].table
+    both = contributions(table, mart.adds(doomed), -1).unionByName(contributions(table, mart.adds(rows), 1))
+    return changed_by(table, totals(table, both))

@@ -33,6 +33,12 @@ def utilization_raw(source: Source, reservations: DataFrame | None = None) -> Da
     return UTILIZATION_RAW.conform(heads.join(lines, "id_reservation")).fillna(0)
 
 
+def utilization_contributions(raw: DataFrame) -> DataFrame:
+    """What each raw row adds to its employee's day; services without a date belong to no day."""
+    return raw.filter(F.col("date").isNotNull()).select(
+        "merchant_id", "outlet_id", "employee_id", "date", F.col("duration").cast("bigint").alias("duration"), "price")
+
+
 def utilization_daily(raw: DataFrame, *, random_key: bool = False) -> DataFrame:
     """Minutes and revenue per employee and day; services without a date belong to no day."""
     grouped = raw.filter(F.col("date").isNotNull()).groupBy(*UTILIZATION_DAILY.key).agg(
@@ -50,6 +56,12 @@ def summary_raw(source: Source, reservations: DataFrame | None = None, *, random
     )).fillna(0)
 
 
+def summary_contributions(raw: DataFrame) -> DataFrame:
+    """What each raw row adds to its day and status class."""
+    counted = F.when(F.col("status").isNotNull(), 1).otherwise(0).cast("bigint")
+    return raw.select(*SUMMARY_DAILY.key, counted.alias("total"))
+
+
 def summary_daily(raw: DataFrame, *, random_key: bool = False) -> DataFrame:
     grouped = raw.groupBy(*SUMMARY_DAILY.key).agg(F.count("status").alias("total"))
     return SUMMARY_DAILY.conform(grouped.withColumn("no", surrogate_key(SUMMARY_DAILY.key, random_key)))

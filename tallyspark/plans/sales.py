@@ -150,6 +150,17 @@ def _sales_rollup(raw: DataFrame, **when: Column | str) -> DataFrame:
     )
 
 
+def contributions(raw: DataFrame) -> DataFrame:
+    """What each raw row adds to its hour."""
+    sale, refund = ~F.col("is_refund"), F.col("is_refund")
+    return raw.select(
+        "merchant_id", "outlet_id", "order_type", "date", F.hour("datetime").alias("hour"),
+        *(money_or_zero(F.when(sale, F.col(c))).alias(c) for c in ("sales_value", "payment_value", "gross_sales")),
+        money_or_zero(F.when(sale, F.col("product"))).alias("product_qty"), gross_profit().alias("gross_value"),
+        F.col("count_transaction").alias("transaction"), money_or_zero(F.when(refund, F.col("refund"))).alias("refund"),
+        F.when(sale, F.col("commission")).otherwise(-F.col("commission")).cast(MONEY).alias("commission"))
+
+
 def sales_hourly(raw: DataFrame) -> DataFrame:
     return _sales_rollup(raw, date="date", hour=F.hour("datetime"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.functions import rules
@@ -9,7 +11,7 @@ from tallyspark.functions.money import MONEY, money_or_zero, total, total_or_zer
 from tallyspark.operators.keys import distinct_keys, having_keys, lacking_keys
 from tallyspark.plans.sales import children_of, is_sale, paid_value, settled_commission, star
 from tallyspark.schema import SALES_RAW
-from tallyspark.sources.tables import Source
+from tallyspark.sources.tables import TRANSACTION_CHILDREN, Source, id_ranges
 
 BILL = ("merchant_id", "outlet_id", "receipt_no")
 
@@ -75,6 +77,18 @@ def with_parents(source: Source, transactions: DataFrame, stored_links: DataFram
     return transactions.unionByName(lacking_keys(heads, transactions, ["id"]))
 
 
+def bounded(source: Source, transactions: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> Source:
+    """The source as far as the net rows of a batch need it: its transactions with the parts of its bills, and the children
+    of those by a few literal ranges of ids."""
+    heads = transactions.filter(rules.is_split_parent() & F.col("receipt_no").isNotNull())
+    bills = heads.select("merchant_id", "outlet_id", F.col("receipt_no").alias("parent_receipt_no")).distinct()
+    parts = having_keys(source.transactions.filter(F.col("parent_receipt_no").isNotNull()), bills,
+                        ["merchant_id", "outlet_id", "parent_receipt_no"])
+    parts = keep(parts, "parts")
+    ranges = id_ranges(transactions.select("id").union(parts.select("id")))
+    return source.near_ids(ranges, TRANSACTION_CHILDREN).replacing(transactions=parts)
+
+
 def stored_net_raw(source: Source, transactions: DataFrame | None = None) -> DataFrame:
     """The net raw rows in the layout of the raw mart; every sale counts as a transaction, a refund as none."""
     counted = F.when(F.col("is_refund"), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
@@ -104,6 +118,19 @@ def _net_rollup(raw: DataFrame, **when: Column | str) -> DataFrame:
     )
 
 
+def contributions(raw: DataFrame) -> DataFrame:
+    """What each net raw row adds to its hour."""
+    refund, sale = F.col("is_refund"), ~F.col("is_refund")
+    burden = F.col("hpp_product") + F.col("hpp_addon") + F.col("mdr") + F.col("commission")
+    net = F.when(sale, F.col("sales_value") - burden).otherwise(F.col("commission") - F.col("refund"))
+    return raw.select(
+        "merchant_id", "outlet_id", "order_type", "date", F.hour("datetime").alias("hour"),
+        *(money_or_zero(F.when(sale, F.col(c))).alias(c) for c in ("sales_value", "payment_value", "gross_sales")),
+        money_or_zero(F.when(sale, F.col("product"))).alias("product_qty"), net.cast(MONEY).alias("gross_value"),
+        F.col("count_transaction").alias("transaction"), money_or_zero(F.when(refund, F.col("refund"))).alias("refund"),
+        F.when(sale, F.col("commission")).otherwise(-F.col("commission")).cast(MONEY).alias("commission"))
+
+
 def sales_net_hourly(raw: DataFrame) -> DataFrame:
     return _net_rollup(raw, date="date", hour=F.hour("datetime"))
 

@@ -50,6 +50,11 @@ def tax_raw(source: Source, transactions: DataFrame | None = None) -> DataFrame:
     ))
 
 
+def contributions(raw: DataFrame) -> DataFrame:
+    """What each raw row adds to its day."""
+    return raw.select("merchant_id", "outlet_id", "base_type", "date", *TAX_MEASURES)
+
+
 def tax_daily(raw: DataFrame) -> DataFrame:
     return roll_up(raw, {**TAX_DIMENSIONS, "date": "date"}, TAX_MEASURES)
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 from tallyspark.functions.money import MONEY
@@ -20,6 +20,14 @@ OUTLET_COLUMN = "m_cabang_id_cabang"
 
 # Storage partition of rows without a date.
 UNDATED = "undated"
+# Ids in one storage partition of a ledger. New ids follow each other, so a batch touches few.
+ID_RANGE = 1_000_000
+# How many raw rows a key of a roll-up stands for.
+ROWS = "n_rows"
+
+
+def tally(measure: str) -> str:
+    return f"n_{measure}"
 
 
 @dataclass(frozen=True)
@@ -27,7 +35,8 @@ class MartTable:
     """A mart table.
 
     ``key`` is what rows are replaced by. ``calendar`` names the columns that place a row in time; storage partitions
-    follow from them, so a table with a date can be kept by day or by month.
+    follow from them, so a table with a date can be kept by day or by month. ``sums`` are the measures of a roll-up, and
+    ``nullable`` those of them that are null where no raw row has a value.
     """
 
     name: str
@@ -35,11 +44,23 @@ class MartTable:
     key: tuple[str, ...]
     columns: tuple[tuple[str, object], ...]
     calendar: tuple[str, ...] = field(default=("date",))
+    sums: tuple[str, ...] = ()
+    nullable: tuple[str, ...] = ()
 
     @property
     def schema(self) -> StructType:
         return StructType([StructField(name, kind, True) for name, kind in self.columns])
 
+    @property
+    def tallies(self) -> tuple[str, ...]:
+        """Stored beside the columns of a roll-up: how many raw rows a key has, and how many gave a value to each sum that
+        is null without any."""
+        return (ROWS, *(tally(m) for m in self.nullable)) if self.sums else ()
+
+    @property
+    def stored_schema(self) -> StructType:
+        return StructType([*self.schema.fields, *(StructField(t, LONG, True) for t in self.tallies)])
+
     @property
     def column_names(self) -> list[str]:
         return [name for name, _ in self.columns]
@@ -64,7 +85,9 @@ class MartTable:
         return df.to(self.schema)
 
     def partitions(self, grain: str) -> dict[str, Column]:
-        """Storage partition columns for a grain of ``day`` or ``month``."""
+        """Storage partition columns for a grain of ``day`` or ``month``; a table without a calendar lies by ranges of its id."""
+        if not self.calendar:
+            return {"p_ids": F.floor(F.col(self.key[0]) / ID_RANGE).cast("string")}
         if self.calendar == ("year",):
             return {"p_year": F.col("year").cast("string")}
         if self.calendar == ("year", "month"):
@@ -79,7 +102,7 @@ def _sales(level: str, when: tuple[tuple[str, object], ...], calendar: tuple[str
         ("merchant_id", "outlet_id", "order_type", *(name for name, _ in when)),
         (("merchant_id", LONG), ("outlet_id", LONG), ("order_type", INT), *when,
          *((m, LONG if m == "transaction" else AMOUNT) for m in SALES_MEASURES)),
-        calendar,
+        calendar, SALES_MEASURES, ("gross_value",),
     )
 
 
@@ -89,7 +112,7 @@ def _tax(level: str, when: tuple[tuple[str, object], ...], calendar: tuple[str,
         ("merchant_id", "outlet_id", "base_type", *(name for name, _ in when)),
         (("merchant_id", LONG), ("outlet_id", LONG), ("base_type", INT), *when,
          *((m, AMOUNT) for m in TAX_MEASURES)),
-        calendar,
+        calendar, TAX_MEASURES, ("transaction_value", "tax_value"),
     )
 
 
@@ -142,6 +165,7 @@ UTILIZATION_DAILY = MartTable(
     "mart_utilization_daily", "mart_utilization_daily", ("merchant_id", "outlet_id", "employee_id", "date"),
     (("no", TEXT), ("merchant_id", LONG), ("outlet_id", LONG), ("employee_id", LONG), ("duration", LONG),
      ("date", DAY), ("price", AMOUNT)),
+    sums=("duration", "price"),
 )
 SUMMARY_RAW = MartTable(
     "raw_mart_summary_reservation", "raw_mart_summary_reservation", ("id_reservation",),
@@ -153,8 +177,19 @@ SUMMARY_DAILY = MartTable(
     ("merchant_id", "outlet_id", "date", "status", "type"),
     (("no", TEXT), ("merchant_id", LONG), ("outlet_id", LONG), ("date", DAY), ("status", INT), ("total", LONG),
      ("type", INT)),
+    sums=("total",),
 )
 
+
+def ledger_of(raw: MartTable) -> MartTable:
+    """What a raw mart holds of each id, by its place: number of rows and their order-free digest."""
+    return MartTable(
+        f"{raw.name}_ledger", f"{raw.name}_ledger", ("id",),
+        (("id", LONG), ("merchant_id", LONG), ("outlet_id", LONG), ("date", DAY), ("rows", LONG), ("digest", DecimalType(38, 0))),
+        (),
+    )
+
+
 # Progress log, one row per run.
 HISTORY = StructType([
     StructField("id", LONG), StructField("actdate", MOMENT), StructField("ts_current", MOMENT),

@@ -35,9 +35,17 @@ def session(app: str = "tallyspark", master: str | None = None, **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, or under the session's warehouse where that is unset: both are
-    shared by the driver and all executors."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh folder under ``spark.checkpoint.dir``, or under the session's warehouse where that is unset.
+
+    The warehouse is a folder beside the driver unless the session says otherwise. Executors on other machines don't see
+    that, so on a cluster it is refused; ``spark.checkpoint.dir`` is taken as it is set.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if not local and base.split(":")[0] in ("file", base):
+            raise ValueError(f"{base} may be local to one machine: set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/tallyspark-{uuid.uuid4().hex}"
 
 
@@ -76,3 +84,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+def move_path(spark: SparkSession, old: str, new: str) -> None:
+    """Put a folder in the place of another one."""
+    fs, source = _file_system(spark, old)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
+def folders(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """The folders so many levels below a root, by their paths from there; names that start with _ or . don't count."""
+    fs, target = _file_system(spark, root)
+    found = [("", target)] if fs.exists(target) else []
+    for _ in range(depth):
+        found = [(f"{at}/{child.getPath().getName()}", child.getPath()) for at, path in found for child in fs.listStatus(path)
+                 if child.isDirectory() and child.getPath().getName()[0] not in "_."]
+    return sorted(at[1:] for at, _ in found)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, draft = _file_system(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    if not path_exists(spark, path):
+        return None
+    return "\n".join(row[0] for row in spark.read.text(path).collect())

@@ -84,6 +84,11 @@ def test_log_rows_refuse_unknown_columns(spark):
                          colour="red")
 
 
+def test_a_log_is_told_by_a_name(spark, folder):
+    with pytest.raises(TypeError):
+        jobs.write_log(MartStore(spark, folder), refresh.TAX, jobs.Batch(END, END, 0), 0, END, {})
+
+
 def test_sequence_of_runs(spark, folder):
     """Three runs: one with changes over a month's end, one empty, and the one after it with a wider window."""
     mart, store = refresh.SUMMARY, MartStore(spark, folder, "month")
@@ -92,7 +97,7 @@ def test_sequence_of_runs(spark, folder):
     with pytest.raises(ValueError):
         jobs.run_sequence(store, mart, source, 5, now=at("2023-06-10"))
     start = datetime(2023, 5, 31, 23, 59)
-    jobs.write_log(store, mart, jobs.Batch(start, start, 0), 0, start, {}, done_monthly=True, done_yearly=True)
+    jobs.write_log(store, mart.name, jobs.Batch(start, start, 0), 0, start, {}, done_monthly=True, done_yearly=True)
     first = jobs.run_sequence(store, mart, source, 5, now=at("2023-06-10"))
     assert (first.num_row, first.ts_end) == (1, datetime(2023, 6, 1, 0, 3))
     second = jobs.run_sequence(store, mart, source, 5, now=at("2023-06-10"), until=datetime(2023, 6, 1, 0, 4))

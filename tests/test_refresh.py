@@ -2,8 +2,10 @@
 
 import random
 from datetime import datetime, timedelta
+from glob import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.plans import jobs, refresh
 from tallyspark.schema import SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, TAX_DAILY
@@ -18,6 +20,11 @@ def contents(df, table):
     return rows(df, *(c for c in table.column_names))
 
 
+def stored_files(folder, mart):
+    """The files of a store, without the log."""
+    return sorted(glob(f"{folder}/*mart*/**/*.parquet", recursive=True))
+
+
 def assert_same_as_full(store, mart, source, tables=None):
     expected = refresh.full(mart, source)
     for table in tables or mart.tables:
@@ -94,18 +101,18 @@ def test_a_batch_applied_twice_changes_nothing(spark, folder):
     assert once == {t.name: contents(store.load(t), t) for t in refresh.TAX.tables}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_changes_equal_a_full_recompute(spark, seed):
-    """Upserts, cancellations, moves, merchant changes and deletions, in three successive batches."""
+@pytest.mark.parametrize("seed, mart", [(1, refresh.SALES), (2, refresh.SALES_NET), (3, refresh.TAX)], ids=lambda x: getattr(x, "name", x))
+def test_random_changes_equal_a_full_recompute(spark, folder, seed, mart):
+    """Upserts, cancellations, moves, merchant changes and unknown amounts, in three successive batches."""
     draw = random.Random(seed)
-    mart, keep = refresh.SALES, Scratch(spark).keep
 
     def fresh(id, changed):
         return dict(
             id=id, merchant_id=draw.choice([1, 1, 1, 2]), outlet_id=draw.choice([10, 11]), updated_at=changed,
             sold_at=at("2021-11-20", draw.randrange(24 * 60)), order_type=draw.choice([None, 1, 2]),
-            status=draw.choice("1114"), purpose=draw.choice(["5", "9", "9", "1"]), total=draw.randrange(1, 500),
+            status=draw.choice("1114"), purpose=draw.choice(["5", "9", "9", "1"]), total=draw.choice([None, draw.randrange(1, 500)]),
             refund=draw.choice([0, 0, 0, 12]), split_flag=draw.choice([0, None, 1]), payment_no=draw.choice([0, 1, 2]),
+            parent_receipt_no=draw.choice([None, None, f"N{draw.randrange(1, 70)}"]), tax_nominal=draw.choice([None, 3]),
             paid_at=draw.choice([None, at("2022-01-01")]))
 
     start = at("2022-03-01", 0)
@@ -115,16 +122,16 @@ def test_random_changes_equal_a_full_recompute(spark, seed):
         addons=[dict(detail_id=draw.randrange(150), unit_cost=2) for _ in range(40)],
         commissions=[dict(transaction_id=draw.randrange(1, 70), nominal=draw.randrange(9)) for _ in range(60)],
         payments=[dict(transaction_id=draw.randrange(1, 70), method_id=draw.choice([1, 2])) for _ in range(90)])
-    tables = refresh.full(mart, shop(spark, transactions=[dict(r) for r in table.values()], **children), keep)
+    store = loaded(spark, folder, mart, shop(spark, transactions=[dict(r) for r in table.values()], **children))
     for step in range(3):
         begin = start + timedelta(days=step)
         for id in draw.sample(range(1, 70), 15):
             table[id] = fresh(id, begin + timedelta(hours=1))
         source = shop(spark, transactions=[dict(r) for r in table.values()], **children)
-        tables = refresh.increment(mart, tables, source, begin, begin + timedelta(hours=2), keep=Scratch(spark).keep)
+        jobs.run_increment(store, mart, source, begin, begin + timedelta(hours=2), NOW)
     expected = refresh.full(mart, source)
     for t in mart.tables:
-        got, wanted = contents(tables[t.name], t), contents(expected[t.name], t)
+        got, wanted = contents(store.load(t), t), contents(expected[t.name], t)
         if "date" not in t.calendar:
             # Keys of the running month or year that were not published yet are still to come.
             year, month = t.column_names.index("year"), t.column_names.index("month") if "month" in t.key else None
@@ -132,6 +139,49 @@ def test_random_changes_equal_a_full_recompute(spark, seed):
             assert got == due, t.name
         else:
             assert got == wanted, t.name
+    for t in mart.tables[1:]:  # the tallies are those of a new load
+        again = refresh.level_rows(mart, next(x for x in mart.levels if x.table == t), mart.raw, store.load(mart.raw))
+        here = rows(store.load(t), *t.key, *t.tallies)
+        assert set(here) <= set(rows(again, *t.key, *t.tallies)), t.name
+
+
+def test_levels_read_no_finer_partition(spark, folder, monkeypatch):
+    """A batch of known keys is carried up by its delta alone, and a repeated one writes nothing."""
+    before = shop(spark, transactions=[sale(1, total=100), sale(2, total=30), sale(3, day="2023-04-02", total=5)])
+    after = shop(spark, transactions=[sale(1, total=70), sale(2, total=30, status="4"), sale(3, day="2023-04-02", total=6)])
+    store, opened = loaded(spark, folder, refresh.SALES, before), []
+    read = MartStore.read
+
+    def noted(self, table, parts, elsewhere):
+        opened.append((table.name, parts is not None))
+        return read(self, table, parts, elsewhere)
+
+    monkeypatch.setattr(MartStore, "read", noted)
+    jobs.run_increment(store, refresh.SALES, after, *JUNE, NOW)
+    assert all(limited for _, limited in opened)
+    # Old rows and the rest of their partitions; of each level its own partitions once.
+    assert [opened.count((t.name, True)) for t in refresh.SALES.tables] == [2, 1, 1, 1, 1]
+    assert_same_as_full(store, refresh.SALES, after)
+    files = stored_files(folder, refresh.SALES)
+    jobs.run_increment(store, refresh.SALES, after, *JUNE, NOW)
+    assert stored_files(folder, refresh.SALES) == files
+
+
+def test_look_ups_open_the_partitions_that_the_ledger_names(spark, folder):
+    many = [sale(i, day=f"2023-0{1 + i % 5}-1{i % 9}", changed="2023-05-30") for i in range(1, 60)]
+    store = loaded(spark, folder, refresh.TAX, shop(spark, transactions=[dict(r) for r in many]), grain="day")
+    late, new = sale(7, day="2023-06-03"), sale(4_000_007, day="2023-06-04")
+    ids = spark.createDataFrame([(7,), (4_000_007,)], "id bigint")
+    known = jobs.located(store, refresh.TAX, ids)
+    assert len(known.inputFiles()) == 1 and rows(known, "id") == [(7,)]
+    assert len(jobs.raw_of(store, refresh.TAX, known, ids).inputFiles()) == 1
+    files = set(stored_files(folder, refresh.TAX))
+    now = shop(spark, transactions=[dict(r) for r in many if r["id"] != 7] + [late, new])
+    jobs.run_increment(store, refresh.TAX, now, *JUNE, NOW)
+    written = {f.split("/p_")[-1].split("/")[0] for f in set(stored_files(folder, refresh.TAX)) - files if "raw" in f and "ledger" not in f}
+    assert written == {"day=2023-03-17", "day=2023-06-03", "day=2023-06-04"} - {
+        "day=2023-03-17" if not any(r["id"] != 7 and r["sold_at"] == many[6]["sold_at"] for r in many) else ""}
+    assert_same_as_full(store, refresh.TAX, now, [refresh.TAX.raw, TAX_DAILY])
 
 
 def test_recovery_repairs_a_range_and_only_that(spark, folder):
@@ -182,9 +232,10 @@ def test_a_changed_part_refreshes_the_head_of_its_bill(spark, folder):
     head, part = dict(split_flag=1, payment_no=1), dict(split_flag=1, payment_no=2, parent_receipt_no="N1")
     before = shop(spark, transactions=[sale(1, total=50, changed="2023-05-10", **head), sale(2, total=30, **part)])
     after = shop(spark, transactions=[sale(1, total=50, changed="2023-05-10", **head), sale(2, total=35, **part)])
-    tables = refresh.full(refresh.SALES_NET, before)
-    got = refresh.increment(refresh.SALES_NET.up_to(SALES_DAILY), tables, after, JUNE[0])[SALES_DAILY.name]
-    assert rows(got, "sales_value", "transaction") == [(85.0, 1)]
+    mart = refresh.SALES_NET.up_to(SALES_DAILY)
+    store = loaded(spark, folder, mart, before)
+    jobs.run_increment(store, mart, after, *JUNE, NOW)
+    assert rows(store.load(SALES_DAILY), "sales_value", "transaction") == [(85.0, 1)]
 
 
 def bills(spark, *parts):
@@ -207,53 +258,114 @@ def test_parts_that_are_deleted_or_move_leave_their_old_head(spark, folder):
     assert rows(store.load(refresh.SALES_NET.links), "id_transaction", "parent_receipt_no") == [(3, "N1"), (5, "N2")]
 
 
-def test_a_part_that_moves_leaves_its_old_head_in_memory(spark):
+def test_a_net_batch_reads_the_children_of_its_bills_only(spark, folder):
     old = dict(changed="2023-05-10")
-    tables = refresh.full(refresh.SALES_NET, bills(spark, (3, "N1", old)))
-    got = refresh.increment(refresh.SALES_NET, tables, bills(spark, (3, "N2", {})), JUNE[0])
-    assert rows(got[refresh.SALES_NET.raw.name], "id_transaction", "sales_value") == [(1, 50.0), (2, 103.0)]
-    assert rows(got[refresh.SALES_NET.links.name], "parent_receipt_no") == [("N2",)]
-
-
-def die_at(store, table, monkeypatch):
-    """The driver is lost when this table is about to be published."""
-    publish = MartStore._publish
-
-    def failing(self, which):
-        if which.name == table.name:
+    source = bills(spark, (3, "N1", old), (900, "N2", {}))
+    batch = refresh.SALES_NET.batch(source, source.transactions.filter("id = 900"))
+    near = refresh.SALES_NET.bound(source, batch, Scratch(spark).keep)
+    assert rows(near.transactions, "id") == [(900,)]
+    plan = refresh.SALES_NET.raw_rows(near, batch)._jdf.queryExecution().optimizedPlan().toString()
+    paid = [x for x in plan.split("Aggregate [transaction_id")[1:] if "mdr" in x.split("\n")[0]]
+    assert paid and all(">= 900" in x or "= 900" in x for x in paid)
+
+
+def die_at(monkeypatch, name, calls=0):
+    """The driver is lost at one of the calls of a function of the store."""
+    real, count = getattr(MartStore, name), [0]
+
+    def failing(self, *args, **more):
+        count[0] += 1
+        if count[0] > calls:
             raise RuntimeError("driver lost")
-        publish(self, which)
+        return real(self, *args, **more)
 
-    monkeypatch.setattr(MartStore, "_publish", failing)
+    monkeypatch.setattr(MartStore, name, failing)
 
 
-@pytest.mark.parametrize("n", range(4))
-def test_a_run_that_dies_before_any_table_is_replayed(spark, folder, monkeypatch, n):
+@pytest.mark.parametrize("name, calls", [("write", 0), ("write", 2), ("write", 4), ("put_in_place", 0), ("put_in_place", 3)])
+def test_a_run_that_dies_anywhere_is_all_old_or_all_new(spark, folder, monkeypatch, name, calls):
     mart = refresh.TAX
     before = shop(spark, transactions=[sale(1, total=100), sale(2, total=30), sale(3, day="2023-04-02", total=5)])
     after = shop(spark, transactions=[sale(1, total=100, changed="2023-05-11"), sale(2, total=30, status="4"),
                                       sale(3, day="2023-03-02", total=5)])
     store = loaded(spark, folder, mart, before)
     with monkeypatch.context() as patch:
-        die_at(store, mart.tables[n], patch)
+        die_at(patch, name, calls)
         with pytest.raises(RuntimeError):
             jobs.run_increment(store, mart, after, *JUNE, NOW)
+    assert_same_as_full(store, mart, before if name == "write" else after)
+    jobs.settle(store, mart)
+    assert_same_as_full(store, mart, before if name == "write" else after)
     jobs.run_increment(store, mart, after, *JUNE, NOW)
     assert_same_as_full(store, mart, after)
-    assert store.journal(mart.name) is None
 
 
-def test_a_dead_run_is_settled_without_its_replay(spark, folder, monkeypatch):
-    mart = refresh.TAX
-    before = shop(spark, transactions=[sale(1, total=100), sale(2, total=30)])
-    after = shop(spark, transactions=[sale(1, total=100), sale(2, total=30, status="4")])
-    store = loaded(spark, folder, mart, before)
+@pytest.mark.parametrize("name, calls", [("write", 0), ("write", 2), ("put_in_place", 0), ("put_in_place", 2)])
+def test_links_are_not_lost_with_a_run_that_is_left_out(spark, folder, monkeypatch, name, calls):
+    """A part moves to another bill and the run dies; without its replay the part is deleted."""
+    old, mart = dict(changed="2023-05-10"), refresh.SALES_NET
+    store = loaded(spark, folder, mart, bills(spark, (3, "N1", old)))
+    moved = bills(spark, (3, "N2", {}))
     with monkeypatch.context() as patch:
-        die_at(store, TAX_DAILY, patch)
+        die_at(patch, name, calls)
         with pytest.raises(RuntimeError):
-            jobs.run_increment(store, mart, after, *JUNE, NOW)
+            jobs.run_increment(store, mart, moved, *JUNE, NOW)
     jobs.settle(store, mart)
-    assert_same_as_full(store, mart, after)
+    gone = bills(spark)
+    jobs.run_changes(store, mart, gone, spark.createDataFrame([(3, True)], "id bigint, deleted boolean"), NOW)
+    assert_same_as_full(store, mart, gone)
+
+
+def changed_days(before, after):
+    return sorted({f.split("p_day=")[1].split("/")[0] for f in set(before) ^ set(after) if "p_day=" in f})
+
+
+@pytest.mark.parametrize("mart", [refresh.SALES, refresh.SALES_NET, refresh.TAX, refresh.COMPLIMENT], ids=lambda m: m.name)
+def test_a_years_recovery_rewrites_the_days_that_differ(spark, folder, mart):
+    """One altered, one moved and one deleted row among many."""
+    promos = [dict(transaction_id=i) for i in range(1, 40)]
+    stored = [sale(i, day=f"2023-0{1 + i % 6}-1{i % 7}", changed=f"2023-0{1 + i % 6}-1{i % 7}") for i in range(1, 40)]
+    store = loaded(spark, folder, mart, shop(spark, promos=promos, transactions=[dict(r) for r in stored]), grain="day")
+    now = {r["id"]: dict(r) for r in stored}
+    now[5] |= dict(total=999, item_count=9)
+    now[12] |= dict(sold_at=at("2022-12-24"))
+    del now[20]
+    source = shop(spark, promos=promos, transactions=list(now.values()))
+    files = stored_files(folder, mart)
+    jobs.run_recovery(store, mart, source, at("2023-01-01", 0), at("2023-12-31", 0))
+    assert_same_as_full(store, mart, source)
+    touched = {str(r["sold_at"].date()) for r in stored if r["id"] in (5, 12, 20)} | {"2022-12-24"}
+    assert changed_days(files, stored_files(folder, mart)) == sorted(touched)
+
+
+@pytest.mark.parametrize("mart", [refresh.UTILIZATION, refresh.SUMMARY], ids=lambda m: m.name)
+def test_recovery_of_reservations_that_moved_or_are_gone(spark, folder, mart):
+    def booked(id, day, status="700"):
+        when = at(day)
+        return dict(id=id, reserved_on=when.date(), updated_at=when, status=status), dict(id=id, reservation_id=id, service_date=when.date())
+
+    def source(*rows):
+        return shop(spark, reservations=[r for r, _ in rows], services=[s for _, s in rows])
+
+    days = [booked(i, f"2023-05-{10 + i % 5}") for i in range(1, 12)]
+    store = loaded(spark, folder, mart, source(*days), grain="day")
+    files = stored_files(folder, mart)
+    now = source(*days[:3], booked(4, "2023-04-03"), booked(5, "2023-05-10", "15"), *days[6:])  # 6 is deleted
+    jobs.run_recovery(store, mart, now, at("2023-05-01", 0), at("2023-05-31", 0))
+    assert_same_as_full(store, mart, now)
+    assert changed_days(files, stored_files(folder, mart)) == ["2023-04-03", "2023-05-10", "2023-05-11", "2023-05-14"]
+
+
+def test_a_recovery_can_sum_levels_anew(spark, folder):
+    source = shop(spark, transactions=[sale(1, total=100), sale(2, total=30, day="2023-04-02")])
+    store = loaded(spark, folder, refresh.TAX, source)
+    broken = store.begin("broken")
+    broken.replace_where(TAX_DAILY, store.load(TAX_DAILY).select("p_month").distinct().collect(), F.lit(True), store.load(TAX_DAILY).limit(0))
+    broken.commit()
+    jobs.run_recovery(store, refresh.TAX, source, at("2023-04-01", 0), at("2023-05-31", 0))
+    assert store.load(TAX_DAILY).isEmpty()  # the raw rows are what they should be
+    jobs.run_recovery(store, refresh.TAX, source, at("2023-04-01", 0), at("2023-05-31", 0), resum=True)
+    assert_same_as_full(store, refresh.TAX, source)
 
 
 def test_recovery_keeps_rows_that_moved_out_of_its_range(spark, folder):

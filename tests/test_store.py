@@ -22,6 +22,12 @@ def held(store):
     return [(str(d), v) for d, v in rows(store.load(TAX_DAILY), "date", "transaction_value")]
 
 
+def replace(store, keys, new, job="job"):
+    batch = store.begin(job)
+    batch.replace(TAX_DAILY, keys, new)
+    batch.commit()
+
+
 def test_reading_before_the_first_write(spark, folder):
     assert MartStore(spark, folder).load(TAX_DAILY).count() == 0
 
@@ -30,11 +36,11 @@ def test_reading_before_the_first_write(spark, folder):
 def test_replacing_keys(spark, folder, grain):
     store = MartStore(spark, folder, grain)
     store.append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-05-02", 2), ("2023-06-01", 3)))
-    store.replace(TAX_DAILY, daily(spark, ("2023-05-02", 0), ("2023-06-01", 0)), daily(spark, ("2023-07-01", 7)))
+    replace(store, daily(spark, ("2023-05-02", 0), ("2023-06-01", 0), ("2023-07-01", 0)), daily(spark, ("2023-07-01", 7)))
     assert held(store) == [("2023-05-01", 1.0), ("2023-07-01", 7.0)]
     emptied = "/p_month=2023-06" + ("/p_day=2023-06-01" if grain == "day" else "")
     assert not path_exists(spark, f"{folder}/{TAX_DAILY.name}{emptied}")
-    assert not path_exists(spark, f"{folder}/_staged/{TAX_DAILY.name}")
+    assert not path_exists(spark, store.batch_path("job"))
 
 
 def test_untouched_partitions_are_not_rewritten(spark, folder):
@@ -43,27 +49,70 @@ def test_untouched_partitions_are_not_rewritten(spark, folder):
     store = MartStore(spark, folder, "month")
     store.append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-06-01", 3)))
     before = glob.glob(f"{folder}/{TAX_DAILY.name}/p_month=2023-05/*.parquet")
-    store.replace(TAX_DAILY, daily(spark, ("2023-06-01", 0)), daily(spark, ("2023-06-02", 4)))
+    replace(store, daily(spark, ("2023-06-01", 0)), daily(spark, ("2023-06-02", 4)))
     assert glob.glob(f"{folder}/{TAX_DAILY.name}/p_month=2023-05/*.parquet") == before
     assert held(store) == [("2023-05-01", 1.0), ("2023-06-02", 4.0)]
 
 
-def test_a_run_that_died_before_publishing_is_finished(spark, folder, monkeypatch):
+def die_after(monkeypatch, name, calls):
+    """The driver is lost at one of the calls of a function of the store."""
+    real, count = getattr(MartStore, name), [0]
+
+    def failing(self, *args, **more):
+        count[0] += 1
+        if count[0] > calls:
+            raise RuntimeError("driver lost")
+        return real(self, *args, **more)
+
+    monkeypatch.setattr(MartStore, name, failing)
+
+
+OLD = [("2023-05-01", 1.0), ("2023-05-02", 2.0), ("2023-06-01", 3.0)]
+NEW = [("2023-05-02", 2.0), ("2023-05-09", 9.0)]
+
+
+@pytest.mark.parametrize("name, calls, seen", [("write", 0, OLD), ("settle", 1, NEW), ("put_in_place", 0, NEW), ("put_in_place", 1, NEW)])
+def test_readers_find_all_old_or_all_new(spark, folder, monkeypatch, name, calls, seen):
     store = MartStore(spark, folder, "month")
     store.append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-05-02", 2), ("2023-06-01", 3)))
+    with monkeypatch.context() as patch:
+        die_after(patch, name, calls)
+        with pytest.raises(RuntimeError):
+            replace(store, daily(spark, ("2023-05-01", 0), ("2023-06-01", 0)), daily(spark, ("2023-05-09", 9)))
+    fresh = MartStore(spark, folder, "month")
+    assert held(fresh) == seen
+    fresh.settle("job")
+    assert held(fresh) == seen and not path_exists(spark, fresh.batch_path("job"))
+    fresh.settle("job")
+    assert held(fresh) == seen
 
-    def die(table):
-        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(store, "_publish", die)
-    with pytest.raises(RuntimeError):
-        store.replace(TAX_DAILY, daily(spark, ("2023-05-01", 0), ("2023-06-01", 0)), daily(spark, ("2023-05-09", 9)))
-    fresh = MartStore(spark, folder, "month")
-    assert held(fresh) == [("2023-05-01", 1.0), ("2023-05-02", 2.0), ("2023-06-01", 3.0)]
-    fresh.resume(TAX_DAILY)
-    assert held(fresh) == [("2023-05-02", 2.0), ("2023-05-09", 9.0)]
-    fresh.resume(TAX_DAILY)
-    assert held(fresh) == [("2023-05-02", 2.0), ("2023-05-09", 9.0)]
+def test_a_partition_is_written_once_and_moved(spark, folder, monkeypatch):
+    from glob import glob
+    from os.path import basename
+
+    from tallyspark.sinks import store as module
+
+    store, moved = MartStore(spark, folder, "month"), []
+    store.append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-06-01", 3)))
+    real = module.move_path
+
+    def noted(spark, old, new):
+        moved.extend(basename(f) for f in glob(f"{old}/*.parquet"))
+        real(spark, old, new)
+
+    monkeypatch.setattr(module, "move_path", noted)
+    replace(store, daily(spark, ("2023-05-02", 0)), daily(spark, ("2023-05-02", 2)))
+    assert moved == [basename(f) for f in glob(f"{folder}/{TAX_DAILY.name}/p_month=2023-05/*.parquet")]
+
+
+def test_a_partition_is_staged_once(spark, folder):
+    store = MartStore(spark, folder, "month")
+    batch = store.begin("job")
+    batch.put(TAX_DAILY, [Row(p_month="2023-05")], daily(spark, ("2023-05-01", 1)))
+    assert rows(batch.load(TAX_DAILY), "transaction_value") == [(1.0,)] and held(store) == []
+    with pytest.raises(ValueError):
+        batch.put(TAX_DAILY, [Row(p_month="2023-05")], daily(spark, ("2023-05-02", 1)))
 
 
 def test_period_overwrite_keeps_other_merchants(spark, folder):
@@ -74,7 +123,9 @@ def test_period_overwrite_keeps_other_merchants(spark, folder):
         [(m, 10, 1, 2023, 5, *([float(m)] * 5), 1, 0.0, 0.0) for m in (1, 2)],
         ", ".join(f"{n} {'double' if 'decimal' in t.simpleString() else t.simpleString()}" for n, t in SALES_MONTHLY.columns)))
     store.append(SALES_MONTHLY, month)
-    store.replace_where(SALES_MONTHLY, [Row(p_month="2023-05")], F.col("merchant_id") == 1, month.limit(0))
+    batch = store.begin("closing")
+    batch.replace_where(SALES_MONTHLY, [Row(p_month="2023-05")], F.col("merchant_id") == 1, month.limit(0))
+    batch.commit()
     assert rows(store.load(SALES_MONTHLY), "merchant_id") == [(2,)]
 
 
@@ -84,8 +135,6 @@ def test_reads_are_limited_to_partitions(spark, folder):
     part = store.load(TAX_DAILY, [Row(p_month="2023-05", p_day="2023-05-02")])
     # Only the folder of that day is listed.
     assert len(part.inputFiles()) == 1 and part.count() == 1
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(p_day" in plan or "p_day" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
 def test_searches_are_limited_to_the_periods_of_the_keys(spark, folder):
