@@ -1,13 +1,20 @@
 """Exact deduplication against a persistent digest index.
 
-The index is a table bucketed and sorted by digest, one row per distinct text ever seen. A batch is reduced to one row per
-digest first (combined on the map side, so a text with very many copies is no hot key), anti-joined to the index bucket by
-bucket, and what is new is appended. The index side of that join is neither shuffled nor sorted again.
+The index holds one row per distinct text ever seen, in runs: tables bucketed and sorted by digest, one file per bucket. A batch
+is reduced to one row per digest first (combined on the map side, so a text with very many copies is no hot key), anti-joined to
+each run bucket by bucket, and what is new becomes a run of its own. The index side of those joins is neither shuffled nor
+sorted again. When there are many runs they are merged into one, so that a batch meets few.
+
+Every row of the index knows the batch that brought it. A batch that comes again finds its own digests as new as the first time,
+and adds none twice, so a consumer that died before it wrote its documents can repeat the batch.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,42 +22,74 @@ from pyspark.sql import functions as F
 from tallyspark.llm.tables import table, whole_text
 from tallyspark.session import Scratch
 
+#: Lets a scan of a bucket that is one sorted file count as sorted.
+SORTED_BUCKETS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
 
 class DigestIndex:
-    """A bucketed table ``(digest binary, keep_id, group_size)`` in the session's catalog and warehouse.
+    """Bucketed tables ``(digest binary, keep_id long, batch string)`` in the session's catalog and warehouse.
 
-    ``group_size`` counts the rows of the batch that brought the text in. The number of buckets is fixed when the table
-    is created; choose it for the index's final size (a bucket should stay under a few GB).
+    The number of buckets is fixed when the index is created; choose it for the index's final size (a bucket should stay
+    under a few GB). ``most_runs`` says how many runs there may be before they are merged.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int = 64):
-        self.spark, self.name, self.buckets = spark, name, buckets
-
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
-
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.name)
-
-    def unseen(self, groups: DataFrame) -> DataFrame:
-        """The digests that the index doesn't hold: a merge anti-join over its buckets."""
-        if not self.exists():
-            return groups
-        return groups.join(self.rows().hint("merge"), "digest", "left_anti")
-
-    def seen(self, groups: DataFrame) -> DataFrame:
-        """The digests that the index holds, with the row that stays."""
-        known = self.rows().hint("merge")
-        return groups.select("digest", F.col("group_size").alias("n")).join(known, "digest").select(
-            "digest", "keep_id", F.col("n").alias("group_size"))
-
-    def append(self, groups: DataFrame) -> None:
-        """Add unseen digests, one sorted file per bucket, and nothing else."""
-        (groups.repartition(self.buckets, "digest").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
+    def __init__(self, spark: SparkSession, name: str, buckets: int = 64, most_runs: int = 8):
+        self.spark, self.name, self.buckets, self.most_runs = spark, name, buckets, most_runs
+
+    def runs(self) -> list[str]:
+        names = [t.name for t in self.spark.catalog.listTables(pattern=f"{self.name}_run_*")]
+        return sorted(names, key=lambda n: int(n.rsplit("_", 1)[1]))
+
+    def rows(self) -> DataFrame | None:
+        """All that the index holds; None before the first batch."""
+        frames = [self.spark.table(name) for name in self.runs()]
+        return reduce(DataFrame.unionByName, frames) if frames else None
+
+    @contextmanager
+    def sorted_scans(self) -> Iterator[None]:
+        before = self.spark.conf.get(SORTED_BUCKETS, "false")
+        self.spark.conf.set(SORTED_BUCKETS, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(SORTED_BUCKETS, before)
+
+    def unseen(self, groups: DataFrame, batch: str) -> DataFrame:
+        """The digests that no other batch has brought: a merge anti-join over the buckets of each run."""
+        for name in self.runs():
+            others = self.spark.table(name).filter(F.col("batch") != batch).select("digest")
+            groups = groups.join(others.hint("merge"), "digest", "left_anti")
+        return groups
+
+    def seen(self, groups: DataFrame, batch: str) -> DataFrame | None:
+        """The digests that other batches have brought, with the row that stays; None before the first batch."""
+        found = []
+        for name in self.runs():
+            others = self.spark.table(name).filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("stays"))
+            found.append(groups.join(others.hint("merge"), "digest").select("digest", F.col("stays").alias("keep_id"), "group_size"))
+        return reduce(DataFrame.unionByName, found) if found else None
+
+    def append(self, groups: DataFrame, batch: str) -> None:
+        """Add the digests of a batch that aren't there yet, as a run with one sorted file per bucket."""
+        for name in self.runs():
+            own = self.spark.table(name).filter(F.col("batch") == batch).select("digest")
+            groups = groups.join(own.hint("merge"), "digest", "left_anti")
+        self._write(groups.select("digest", "keep_id", F.lit(batch).alias("batch")))
+        runs = self.runs()
+        if len(runs) > self.most_runs:
+            self._write(self.rows())
+            for name in runs:
+                self.spark.sql(f"DROP TABLE {name}")
+
+    def _write(self, rows: DataFrame) -> None:
+        runs = self.runs()
+        number = int(runs[-1].rsplit("_", 1)[1]) + 1 if runs else 0
+        (rows.repartition(self.buckets, "digest").write.mode("overwrite").format("parquet")
+         .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(f"{self.name}_run_{number}"))
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        for name in self.runs():
+            self.spark.sql(f"DROP TABLE {name}")
 
 
 def text_digests(docs: DataFrame, scratch: Scratch, id_column: str = "doc_id") -> DataFrame:
@@ -60,28 +99,55 @@ def text_digests(docs: DataFrame, scratch: Scratch, id_column: str = "doc_id") -
     return scratch.keep(digests, "digests")
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex, scratch: Scratch) -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, scratch: Scratch, batch: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, digest``, and the index takes in what is new.
 
     Texts are equal when identical byte for byte; null counts as empty. Of equal texts in one batch the row with the
-    largest doc_id stays; if an earlier batch brought the text, that batch's row stays and all of these go. A null doc_id
-    stays only if its whole group has none. Of repeated rows with the same largest doc_id, all are marked kept (their ids
-    can't tell them apart); ``kept_documents`` leaves one. Empty input gives no rows. Other columns play no part.
+    largest doc_id stays; if another batch brought the text, that batch's row stays and all of these go. A batch that is
+    repeated under its own name decides as it did before. A null doc_id stays only if its whole group has none. Of repeated
+    rows with the same largest doc_id, all are marked kept (their ids can't tell them apart); ``kept_documents`` leaves one.
+    Empty input gives no rows. Other columns play no part.
     """
-    rows = text_digests(docs, scratch)
+    return _decided(text_digests(docs, scratch), index, scratch, batch or uuid.uuid4().hex)
+
+
+def _decided(rows: DataFrame, index: DigestIndex, scratch: Scratch, batch: str) -> DataFrame:
     groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    # Both are written before the append, which changes what they would find.
-    fresh = scratch.keep(index.unseen(groups).withColumn("is_fresh", F.lit(True)), "fresh")
-    decided = fresh
-    if index.exists():
-        decided = fresh.union(scratch.keep(index.seen(groups).withColumn("is_fresh", F.lit(False)), "seen"))
-    index.append(fresh.drop("is_fresh"))
+    with index.sorted_scans():
+        # Both are written before the append, which changes what they would find.
+        fresh = scratch.keep(index.unseen(groups, batch).withColumn("is_fresh", F.lit(True)), f"fresh_{batch}")
+        seen = index.seen(groups, batch)
+        decided = fresh if seen is None else fresh.unionByName(
+            scratch.keep(seen.withColumn("is_fresh", F.lit(False)), f"seen_{batch}"))
+        index.append(fresh, batch)
     # A plain join by exchange on both sides, so that a digest that holds a third of the rows is split at run time.
     return (rows.join(decided, "digest")
             .select("doc_id", "keep_id", "group_size",
                     (F.col("is_fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "digest"))
 
 
+def deduplicate_all(docs: DataFrame, index: DigestIndex, scratch: Scratch, batches: int = 4) -> DataFrame:
+    """As ``deduplicate``, for a whole corpus that passes the index in several batches, larger doc_ids first.
+
+    ``group_size`` counts all rows of a text. The batches are ranges of the doc_id of about equal size, rows without one are
+    in the last; each meets the digests of those before it in the index.
+    """
+    rows = text_digests(docs, scratch)
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
+    edges = sorted(set(cuts), reverse=True)
+    decided, above = [], None
+    for number, edge in enumerate([*edges, None]):
+        part = rows if above is None else rows.filter(F.coalesce(F.col("doc_id") <= above, F.lit(True)))
+        part = part if edge is None else part.filter(F.col("doc_id") > edge)
+        decided.append(scratch.keep(_decided(part, index, scratch, f"part_{number}"), f"decided_{number}"))
+        above = edge
+    found = reduce(DataFrame.unionByName, decided)
+    # Only texts with copies need their number; the others are told by the join's missing row.
+    sizes = rows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1")
+    return found.join(sizes, "digest", "left").select(
+        "doc_id", "keep_id", F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), "kept", "digest")
+
+
 def kept_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns; of repeated rows with one id and text, one."""
     keep = decisions.filter("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
@@ -96,8 +162,8 @@ def kept_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
-    decisions = deduplicate(table(spark, folder, "documents"), index, scratch)
-    index.drop()  # The query starts from an empty index each time; its result doesn't read the table.
+    decisions = deduplicate_all(table(spark, folder, "documents"), index, scratch)
+    index.drop()  # The query starts from an empty index each time; its result doesn't read the tables.
     return decisions.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

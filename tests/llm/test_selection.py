@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyspark.llm import exact_dedup, sharding, simhash
 from tallyspark.llm.components import components
@@ -46,8 +47,49 @@ def test_index_persists_over_batches(documents, index, scratch, spark):
     found = exact_dedup.deduplicate(documents((9, "a"), (3, "c"), (4, "c")), index, exact_dedup.Scratch(spark)).collect()
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in found} == {(9, 5, False), (3, 4, False), (4, 4, True)}
     assert {r["keep_id"] for r in index.rows().collect()} == {5, 2, 4}
-    plan = index.unseen(index.rows())._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_the_index_side_is_neither_shuffled_nor_sorted(documents, index, scratch, spark):
+    for i in range(3):  # several appends: one file per bucket in each run
+        exact_dedup.deduplicate(documents(*((i * 50 + n, f"text {i} {n}") for n in range(50))), index, exact_dedup.Scratch(spark))
+    groups = spark.table(index.runs()[0]).select("digest", F.lit(1).alias("group_size"))
+    with index.sorted_scans():
+        plan = index.unseen(groups, "other")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan and "Sort [" not in plan
+
+
+def test_a_repeated_batch_keeps_what_it_kept(documents, index, spark):
+    docs = documents((1, "a"), (2, "b"), (3, "b"))
+    for _ in range(2):
+        found = exact_dedup.deduplicate(docs, index, exact_dedup.Scratch(spark), batch="one").collect()
+        assert {(r["doc_id"], r["kept"]) for r in found} == {(1, True), (2, False), (3, True)}
+    assert index.rows().count() == 2
+    later = exact_dedup.deduplicate(documents((9, "a"), (8, "c")), index, exact_dedup.Scratch(spark), batch="two").collect()
+    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in later} == {(9, 1, False), (8, 8, True)}
+
+
+def test_runs_are_merged(documents, spark):
+    index = exact_dedup.DigestIndex(spark, f"index_{uuid.uuid4().hex}", buckets=2, most_runs=2)
+    for i in range(5):
+        exact_dedup.deduplicate(documents((i, f"t{i}"), (i, "all")), index, exact_dedup.Scratch(spark))
+    assert len(index.runs()) <= 2 and index.rows().count() == 6
+    found = exact_dedup.deduplicate(documents((7, "t2"), (8, "new")), index, exact_dedup.Scratch(spark)).collect()
+    assert {(r["doc_id"], r["kept"]) for r in found} == {(7, False), (8, True)}
+    index.drop()
+    assert index.runs() == []
+
+
+@pytest.mark.parametrize("batches", [1, 3, 4])
+def test_exact_dedup_of_all_in_batches(documents, index, scratch, batches):
+    draw = random.Random(3)
+    docs = ODD + [(draw.choice([None, *range(40)]), draw.choice(["p", "q", "r", "", None])) for _ in range(60)]
+    docs += [(100 + i, f"single {i}") for i in range(30)]
+    rows = exact_dedup.deduplicate_all(documents(*docs), index, scratch, batches).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        same = [i for i, t in docs if hashlib.sha256((t or "").encode()).digest() == bytes(row["digest"])]
+        best = max((i for i in same if i is not None), default=None)
+        assert (row["group_size"], row["keep_id"], row["kept"]) == (len(same), best, row["doc_id"] == best)
 
 
 def test_exact_dedup_of_nothing(documents, index, scratch):
