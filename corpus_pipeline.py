@@ -23,7 +23,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id, against a digest index of this run."""
     scratch, index = Scratch(spark), exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
-    decisions = exact_dedup.deduplicate(docs, index, scratch)
+    decisions = exact_dedup.deduplicate_all(docs, index, scratch)
     index.drop()
     return exact_dedup.kept_documents(docs, decisions).select(*COLUMNS)
 
