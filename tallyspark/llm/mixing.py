@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.tables import WORD, n_words, table
@@ -34,6 +34,7 @@ class Mix:
     block: int = 1024                             # words
     slots_per_shard: int = 1024
     rows_per_part: int = 20_000                   # rows of one source that one task lays out
+    slots_per_part: int = 16_384                  # slots that one task lays out
     seed: int = 20240601
 
 
@@ -92,6 +93,22 @@ def permuted(index: np.ndarray, n: int, key: tuple[int, ...]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+#: Places that one task of a running sum has.
+STEP = 8192
+
+
+def with_sum_before(rows: DataFrame, by: str, place: str, value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over the earlier places (0, 1, ... within each ``by``), in two steps: within stretches of
+    places, and over the stretches' totals, so that no task has all places of one ``by``."""
+    spans = rows.withColumn("_span", F.expr(f"{place} div {STEP}"))
+    totals = spans.groupBy(by, "_span").agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(by).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(by, "_span", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(by, "_span").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    return (spans.withColumn("_before", F.coalesce(F.sum(value).over(within), F.lit(0))).join(starts, [by, "_span"])
+            .withColumn(name, F.col("_start") + F.col("_before")).drop("_span", "_start", "_before"))
+
+
 def slot_table(sources: DataFrame, mix: Mix) -> DataFrame:
     """The mix itself: ``shard, rank`` (of the source), ``pass, block, words, cut`` of every slot.
 
@@ -117,10 +134,9 @@ def slot_table(sources: DataFrame, mix: Mix) -> DataFrame:
                 yield pd.DataFrame({"shard": shard, "rank": hit.astype(np.int32), "n": n[hit]})
 
     drawn = spark.range(shards).mapInPandas(draw, schema)
-    before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     wanted = spark.createDataFrame([(i, int(n)) for i, n in enumerate(need)], "rank int, need long")
     # A source's draws start where those of the shards before end; what goes beyond its need is dropped.
-    placed = (drawn.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).join(F.broadcast(wanted), "rank")
+    placed = (with_sum_before(drawn, "rank", "shard", "n", "first").join(F.broadcast(wanted), "rank")
               .withColumn("n", F.least(F.col("n"), F.col("need") - F.col("first"))).filter("n > 0"))
     placed = placed.select("shard", "rank", "first", "n")
     done = placed.groupBy("rank").agg(F.sum("n").alias("first"))
@@ -135,7 +151,8 @@ def slot_table(sources: DataFrame, mix: Mix) -> DataFrame:
             for shard, rank, first, n in batch.itertuples(index=False):
                 yield slots_of(int(shard), plan[rank], int(first), int(n), mix)
 
-    spread = placed.unionByName(left).repartition(F.col("shard"), F.col("rank"))
+    # A row becomes up to a thousand slots, so the number of tasks follows the slots, not the rows' few bytes.
+    spread = placed.unionByName(left).repartition(-(-total // mix.slots_per_part), "shard", "rank")
     return spread.mapInPandas(fill, SLOT)
 
 
@@ -165,8 +182,8 @@ def laid_out(docs: DataFrame, sources: DataFrame, mix: Mix, parts: int) -> DataF
     rows = (docs.join(F.broadcast(ranks), docs["source"].eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("_part", F.pmod(F.xxhash64("doc_id", "size"), F.lit(parts)).cast("int")))
     sums = rows.groupBy("rank", "_part").agg(F.sum("size").alias("_sum"))
-    before = Window.partitionBy("rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("rank", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    starts = with_sum_before(sums, "rank", "_part", "_sum", "_start_of_part").select(
+        "rank", "_part", F.col("_start_of_part").alias("_start"))
     within = (Window.partitionBy("rank", "_part").orderBy("doc_id", "size", "text_hash")
               .rowsBetween(Window.unboundedPreceding, -1))
     return (rows.withColumn("_before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, ["rank", "_part"])
@@ -224,13 +241,32 @@ def mix_documents(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def adjoining(stretches: Column) -> Column:
+    """Sorted stretches ``(first, n)`` with those that adjoin made one."""
+    def add(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        joins = (F.size(done) > 0) & (last["first"] + last["n"] == s["first"])
+        longer = F.struct(last["first"].alias("first"), (last["n"] + s["n"]).alias("n"))
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(stretches, F.array().cast("array<struct<first: int, n: int>>"), add)
+
+
+def stretch_of(text: str, stretch: Column) -> Column:
+    """The text from one word to another, with the white space between them as it is."""
+    words, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD)
+    first, n = stretch["first"], stretch["n"]
+    led = F.zip_with(F.slice(words, first, n - 1), F.slice(gaps, first + 1, n - 1), lambda w, g: F.concat(w, g))
+    return F.concat(F.array_join(led, ""), F.element_at(words, first + n - 1))
+
+
 def mixed_documents(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
     """The mix as documents: for every row, one row for each time that words of it are taken, with its own columns.
 
-    Passes that take the whole row repeat it unchanged. A pass that takes a part has the words taken as ``text``, joined by
-    single spaces, and ``n_chars``, where there is such a column, counts them. Rows that the mix doesn't touch are left
-    out, rows without words too. Rows that are alike in doc_id and text share one choice, made for one of them, and are
-    repeated each.
+    Passes that take the whole row repeat it unchanged. A pass that takes a part gives one row for each stretch of adjoining
+    words taken, with ``text`` cut out of the row's at these words, white space and all; ``n_chars``, where there is such a
+    column, counts it. Rows that the mix doesn't touch are left out, rows without words too. Rows that are alike in doc_id
+    and text share one choice, made for one of them, and are repeated each.
     """
     _, parts = pieces(sized(docs, scratch), mix)
     # Per row: the passes that take all of it, and its stretches with what one more pass takes of each.
@@ -239,21 +275,19 @@ def mixed_documents(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
     more = F.transform(F.array_sort("stretches"), lambda s: F.struct(
         (s["lo"] + 1).cast("int").alias("first"),
         F.when(s["whole"] > F.col("passes"), s["hi"] - s["lo"]).otherwise(s["head"]).cast("int").alias("n")))
-    rows = rows.select("doc_id", "text_hash", "passes", F.filter(more, lambda s: s["n"] > 0).alias("more"))
+    rows = rows.select("doc_id", "text_hash", "passes", adjoining(F.filter(more, lambda s: s["n"] > 0)).alias("more"))
     chosen = scratch.keep(rows.groupBy("doc_id", "text_hash").agg(F.min(F.struct("passes", "more")).alias("c"))
                           .select(F.col("doc_id").alias("_id"), "text_hash", "c.*").filter("passes > 0 OR size(more) > 0"), "chosen")
     marked = docs.withColumn("_hash", F.xxhash64("text"))
     met = marked.join(chosen, marked["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash")))
-    # One row for every whole pass, then one for the part; the text of whole passes is left as it is.
-    passes = F.concat(F.array_repeat(F.lit(False), F.col("passes").cast("int")),
-                      F.when(F.size("more") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    part = F.element_at(F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
-        "more", lambda s: F.slice(w, s["first"], s["n"]))), " ")), 1)
-    out = met.withColumn("_part", F.explode(passes)).withColumn("text", F.when(F.col("_part"), part).otherwise(F.col("text")))
+    # One row for every whole pass (no stretch), whose text is left as it is, then one for each stretch.
+    none = F.lit(None).cast("struct<first: int, n: int>")
+    takes = F.concat(F.array_repeat(none, F.col("passes").cast("int")), F.col("more"))
+    out = met.withColumn("_part", F.explode(takes)).withColumn(
+        "text", F.when(F.col("_part").isNull(), F.col("text")).otherwise(stretch_of("text", F.col("_part"))))
     if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_part"), counted).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("_part").isNull(), F.col("n_chars")).otherwise(counted))
     return out.select(docs.columns)
 
 

@@ -202,3 +202,56 @@ def test_mix_meets_targets(documents, scratch, mix):
     assert {k: v for k, v in words.items() if k != 502} == {k: v for k, v in want.items() if k != 502}
     empty = mixing.mix_documents(documents(), mix, mixing.Scratch(docs.sparkSession))
     assert empty.collect() == []
+
+
+def plain_mix(rows, mix):
+    """Words taken of each document, from a mix that is laid out word by word."""
+    sources = sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
+    words = {s: [(i, w) for i, t, x in sorted(rows) if x == s for w in (t or "").split()] for s in sources}
+    goals = mixing.targets([len(words[s]) for s in sources], mix)
+    taken = {i: 0 for i, _, _ in rows}
+    for rank, (source, goal) in enumerate(zip(sources, goals)):
+        own, todo, run = words[source], round(goal), 0
+        full = len(own) // mix.block
+        while todo > 0:
+            order = [*mixing.permuted(mixing.np.arange(full), full, (mix.seed, rank, run)).tolist(), full]
+            for block in order:
+                some = own[block * mix.block:(block + 1) * mix.block][:max(todo, 0)]
+                todo -= len(some)
+                for i, _ in some:
+                    taken[i] += 1
+            run += 1
+    return taken
+
+
+@pytest.mark.parametrize("how", [{}, {"block": 5, "slots_per_shard": 4, "slots_per_part": 3}, {"block": 16, "share": 0.37}], ids=str)
+def test_what_is_taken_is_that_of_a_plain_mix(documents, scratch, how):
+    rnd = random.Random(9)
+    rows = [(i, " ".join(f"w{k}" for k in range(rnd.randint(0, 40))), rnd.choice(["a", "b", "b", "b", None, "z"])) for i in range(150)]
+    mix = mixing.Mix(**how)
+    found = mixing.mix_documents(documents(*rows), mix, scratch).collect()
+    assert {r["doc_id"]: r["taken"] for r in found} == plain_mix(rows, mix)
+
+
+def test_mixed_text_is_cut_from_the_original(documents, scratch):
+    rnd = random.Random(2)
+    rows = [(i, rnd.choice(["", " "]) + "".join(f"w{k}" + rnd.choice([" ", "\n", "\t  "]) for k in range(rnd.randint(1, 200))),
+             rnd.choice("abc")) for i in range(30)]
+    texts, taken = {i: t for i, t, _ in rows}, {}
+    mix = mixing.Mix(block=7, slots_per_shard=5)
+    for row in mixing.mixed_documents(documents(*rows), mix, scratch).collect():
+        assert row["text"] in texts[row["doc_id"]]
+        taken[row["doc_id"]] = taken.get(row["doc_id"], 0) + len(row["text"].split())
+    assert taken == {i: n for i, n in plain_mix(rows, mix).items() if n}
+
+
+@pytest.mark.parametrize("size", [0, 1, 5, 20_000])
+def test_sums_before_each_place(spark, size):
+    rows = spark.range(size).selectExpr("id % 3 AS who", "id div 3 AS at", "id % 7 AS n")
+    found = mixing.with_sum_before(rows, "who", "at", "n", "before").collect()
+    assert len(found) == size
+    for who in range(3):
+        total = 0
+        for row in sorted((r for r in found if r["who"] == who), key=lambda r: r["at"]):
+            assert row["before"] == total
+            total += row["n"]
