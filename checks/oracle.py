@@ -490,6 +490,8 @@ ORACLE: dict[str, str] = {
     "reservation_summary_daily_recovered_after_moves": SUMMARY_DAILY,
     "sales_daily_after_late_ids": sales_full("daily"),
     "tax_daily_sequence_resumed": tax_full("daily"),
+    "cdc_resumed": with_(FEED) + """SELECT partition, "offset", CAST(1 AS BIGINT) AS times FROM feed""",
+    "transactions_in_slices": with_(TRX) + "SELECT id, id * id * id AS key, CAST(1 AS BIGINT) AS times FROM trx",
     "run_log_of_a_sequence": with_(TRX, BEFORE_RUNS, LINES, tax_raw("early"), RUNS) + f"""
       SELECT CAST(1 AS BIGINT) AS id, {BATCH} - INTERVAL 1 MINUTE AS ts_current, {BATCH} AS ts_end, count(*) AS num_row,
         true AS done_monthly, true AS done_yearly FROM tax

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,6 +20,7 @@ from tallyspark.schema import (
 )
 from tallyspark.session import shared_dir, tune
 from tallyspark.sinks.store import MartStore
+from tallyspark.sources.jdbc import counted_frame, plan_slices
 from tallyspark.sources.sample_tables import SampleTables
 from tallyspark.sources.tables import Source
 from tallyspark.streaming.change_stream import maintain, read_feed
@@ -632,6 +634,29 @@ def cdc_offsets(t: SampleTables) -> DataFrame:
     return changes.reached_offsets(change_feed(t))
 
 
+@query
+def cdc_resumed(t: SampleTables) -> DataFrame:
+    """Events of a feed that is read in three overlapping stretches, the second one first: each event once."""
+    feed, applied, taken = change_feed(t).select("partition", "offset"), {}, []
+    feed = feed.join(changes.reached_offsets(feed).withColumnRenamed("offset", "last"), "partition")
+    for low, high in ((0.3, 0.7), (0.0, 0.5), (0.6, 1.0)):
+        some = feed.filter((F.col("offset") >= F.col("last") * low) & (F.col("offset") <= F.col("last") * high))
+        new = changes.not_applied(some.select("partition", "offset"), applied)
+        applied = changes.with_ranges(applied, [tuple(r) for r in changes.reached_ranges(new).collect()])
+        taken.append(new)
+    return taken[0].unionByName(taken[1]).unionByName(taken[2]).groupBy("partition", "offset").agg(F.count("*").alias("times"))
+
+
+@query
+def transactions_in_slices(t: SampleTables) -> DataFrame:
+    """A table read by the planned slices of a skewed key, row by row."""
+    skewed = t.transactions().withColumn("key", F.col("id") * F.col("id") * F.col("id"))
+    low, high, rows = skewed.agg(F.min("key"), F.max("key"), F.count("*")).first()
+    slices = plan_slices(counted_frame(skewed, "key"), "key", low, high, rows)
+    parts = [skewed.filter(s).select("id", "key") for s in slices]
+    return reduce(DataFrame.unionByName, parts).groupBy("id", "key").agg(F.count("*").alias("times"))
+
+
 # -- stored marts and streams ----------------------------------------------------------------------------------------
 
 @query

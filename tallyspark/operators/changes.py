@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def decode_changes(events: DataFrame, id_field: str = "id_transaction", extra: Sequence[str] = (), *,
@@ -36,3 +37,44 @@ def latest_changes(changes: DataFrame, order: str = "offset") -> DataFrame:
 def reached_offsets(events: DataFrame) -> DataFrame:
     """Highest offset read from each partition of the feed."""
     return events.groupBy("partition").agg(F.max("offset").alias("offset"))
+
+
+def reached_ranges(events: DataFrame) -> DataFrame:
+    """Lowest and highest offset read from each partition of the feed."""
+    return events.groupBy("partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+
+
+def not_applied(events: DataFrame, applied: Mapping[int, Sequence[Sequence[int]]]) -> DataFrame:
+    """Events whose offset isn't in the ranges that were applied before, by partition of the feed."""
+    done = F.lit(False)
+    for partition, ranges in applied.items():
+        inside = reduce(Column.__or__, (F.col("offset").between(low, high) for low, high in ranges), F.lit(False))
+        done = done | ((F.col("partition") == int(partition)) & inside)
+    return events.filter(~F.coalesce(done, F.lit(False)))
+
+
+def with_ranges(applied: Mapping[int, Sequence[Sequence[int]]], reached: Sequence[Sequence[int]],
+                most: int = 100) -> dict[int, list[list[int]]]:
+    """The applied ranges after a batch that reached ``(partition, low, high)``.
+
+    What a batch reads of a partition is taken to be all that the feed has between its lowest and highest offset. Ranges that
+    meet become one. A hole between ranges stays open for events that come late, but at most ``most - 1`` of them: the oldest
+    one closes first.
+    """
+    out = {int(p): [list(r) for r in ranges] for p, ranges in applied.items()}
+    for partition, low, high in reached:
+        merged: list[list[int]] = []
+        for a, b in sorted([*out.get(partition, []), [low, high]]):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        while len(merged) > most:
+            merged[:2] = [[merged[0][0], merged[1][1]]]
+        out[partition] = merged
+    return out
+
+
+def holes(applied: Mapping[int, Sequence[Sequence[int]]]) -> dict[int, list[list[int]]]:
+    """Offsets that were passed over, by partition of the feed."""
+    return {p: found for p, ranges in applied.items() if (found := [[a[1] + 1, b[0] - 1] for a, b in zip(ranges, ranges[1:])])}

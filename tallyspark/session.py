@@ -43,8 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir")
-        local = spark.sparkContext.master.split("[")[0] == "local"
-        if not local and base.split(":")[0] in ("file", base):
+        on_disk = base.split(":")[0] in ("file", base)
+        if on_disk and spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"{base} may be local to one machine: set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/tallyspark-{uuid.uuid4().hex}"
 

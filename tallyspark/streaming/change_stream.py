@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping
 from datetime import datetime
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.functions.times import LOCAL_ZONE
-from tallyspark.operators.changes import decode_changes, latest_changes
+from tallyspark.operators.changes import decode_changes, holes, latest_changes, not_applied, reached_ranges, with_ranges
 from tallyspark.plans.jobs import close_periods, run_changes, settle, write_log
 from tallyspark.plans.refresh import Mart
 from tallyspark.session import Scratch
@@ -36,37 +37,47 @@ def local_now() -> datetime:
     return datetime.now(ZoneInfo(LOCAL_ZONE)).replace(tzinfo=None)
 
 
+def applied_offsets(history: DataFrame) -> dict[int, list[list[int]]]:
+    """The ranges of offsets that the last run of a stream has logged, by partition of the feed."""
+    noted = history.filter(F.get_json_object("mart_param", "$.applied").isNotNull()).agg(F.max_by("mart_param", "id")).first()[0]
+    return {int(p): ranges for p, ranges in json.loads(noted)["applied"].items()} if noted else {}
+
+
 def maintain(store: MartStore, mart: Mart, load_source: Callable[[], Source], feed: DataFrame, checkpoint: str, *,
              id_field: str = "id_transaction", clock: Callable[[], datetime] = local_now,
              trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start a query that refreshes a mart from each micro-batch of changes.
 
-    The rows of changed ids are read from the source again. Spark commits the offsets after the marts and the log are
-    written; a batch that is replayed after a failure finds the same keys and leaves the same rows, and is logged once.
+    The rows of changed ids are read from the source again. The log keeps which offsets of each feed partition were applied,
+    so events that come again are left out however they are cut into batches, and events that were passed over are told in
+    its ``params`` and taken when they come. Spark commits the offsets after the marts and the log are written; a batch that
+    died before its log row is applied again, and leaves the same rows.
     """
     def on_batch(events: DataFrame, batch_id: int) -> None:
         started = time.time()
         settle(store, mart)
+        history = store.history(mart.name)
+        applied = applied_offsets(history)
         scratch = Scratch(store.spark)
         try:
-            changes = scratch.keep(latest_changes(decode_changes(events, id_field)), "changes")
+            new = scratch.keep(not_applied(events, applied), "new")
+            reached = [tuple(row) for row in reached_ranges(new).collect()]
+            if not reached:
+                return
+            changes = scratch.keep(latest_changes(decode_changes(new, id_field)), "changes")
             batch = run_changes(store, mart, load_source(), changes, clock())
         finally:
             scratch.clean()
-        # Batches are told apart by what is in them: numbers start anew with a new checkpoint, whose events may be new ones.
-        count, digest = events.agg(F.count("*"), F.bit_xor(F.xxhash64("value", "partition", "offset"))).first()
-        finish(batch, f"{count} events {(digest or 0) % (1 << 64):016x}", started)
+        finish(batch, with_ranges(applied, reached), started)
 
-    def finish(batch, mark: str, started: float) -> None:
+    def finish(batch, applied: dict, started: float) -> None:
         history = store.history(mart.name)
-        if not history.filter(F.col("mart_param") == mark).isEmpty():
-            return
         last = history.agg(F.max_by(F.struct("done_monthly", "done_yearly", "ts_end"), "id").alias("flags")).first()["flags"]
         flags = (bool(last["done_monthly"]), bool(last["done_yearly"])) if last else (True, True)
         if batch.ts_current is not None:
             flags = close_periods(store, mart, batch, *flags, last["ts_end"] if last else None)
-        write_log(store, mart.name, batch, started, clock(), {"method": "stream"}, done_monthly=flags[0],
-                  done_yearly=flags[1], mart_param=mark)
+        write_log(store, mart.name, batch, started, clock(), {"method": "stream", "holes": holes(applied)}, done_monthly=flags[0],
+                  done_yearly=flags[1], mart_param=json.dumps({"applied": applied}))
 
     writer = feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

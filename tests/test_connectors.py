@@ -66,6 +66,26 @@ def test_read_slices():
         jdbc.read_slices(Spark(), "jdbc:x", "t", [], {})
 
 
+@pytest.mark.parametrize("ids", [
+    "id", "id * id", "id * 1000003 - 5000000", "cast(pow(1.01, id) AS bigint)", "if(id % 10 = 0, NULL, if(id < 1800, id % 5 + 7, id * 100))"])
+def test_slices_cover_a_table_once_and_evenly(spark, ids):
+    df = spark.range(2000).selectExpr(f"{ids} AS id")
+    low, high, rows_in = df.selectExpr("min(id)", "max(id)", "count(*)").first()
+    slices = jdbc.plan_slices(jdbc.counted_frame(df, "id"), "id", low, high, rows_in, slices=10)
+    parts = [df.filter(p) for p in slices]
+    counts = [p.count() for p in parts]
+    assert sum(counts) == rows_in and sum(bool(c) for c in counts) <= 22
+    largest = max(r["count"] for r in df.groupBy("id").count().collect())
+    assert max(counts[1:]) <= max(2 * rows_in / 10, largest)
+    for p, n in zip(parts, counts):
+        assert p.exceptAll(df).count() == 0 and n == p.count()
+
+
+def test_slices_of_tables_without_ids(spark):
+    df = spark.range(3).selectExpr("cast(NULL AS bigint) AS id")
+    assert [df.filter(p).count() for p in jdbc.plan_slices(jdbc.counted_frame(df, "id"), "id", None, None, 3)] == [3, 0]
+
+
 def test_append_options():
     df = Frame()
     sink.append(df, "jdbc:x?a=1", "t", {"user": "u"}, untyped_text=True, connections=3)
@@ -122,11 +142,20 @@ def test_clock_text(spark):
 class Settings:
     """A session as far as the shared folder looks at it."""
 
-    def __init__(self, **conf):
-        self.conf = conf
+    def __init__(self, master="spark://host:7077", **conf):
+        self.conf, self.sparkContext = conf, type("Context", (), {"master": master})
 
 
 def test_shared_folder_comes_from_the_session():
     warehouse = {"spark.sql.warehouse.dir": "hdfs://warehouse"}
     assert shared_dir(Settings(**warehouse, **{"spark.checkpoint.dir": "hdfs://shared/"})).startswith("hdfs://shared/tallyspark-")
     assert shared_dir(Settings(**warehouse)).startswith("hdfs://warehouse/tallyspark-")
+
+
+@pytest.mark.parametrize("warehouse", ["file:/home/spark-warehouse", "/home/spark-warehouse"])
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(warehouse):
+    conf = {"spark.sql.warehouse.dir": warehouse}
+    with pytest.raises(ValueError):
+        shared_dir(Settings(**conf))
+    assert shared_dir(Settings("local[4]", **conf)).startswith(warehouse)
+    assert shared_dir(Settings(**conf, **{"spark.checkpoint.dir": "file:///mnt/shared"})).startswith("file:///mnt/shared")
