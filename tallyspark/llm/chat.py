@@ -7,7 +7,7 @@ whole text. A dialogue of any length thus never has to fit one row or one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.tables import table, whole_text
@@ -21,6 +21,11 @@ def participants(turns: DataFrame) -> DataFrame:
     return turns.filter(F.col("speaker") != SYSTEM).select("conv_id", F.col("speaker").alias("perspective")).distinct()
 
 
+def broken_up(text: Column) -> Column:
+    """Text in which nothing opens or closes a turn."""
+    return F.replace(F.replace(text, F.lit(OPEN), F.lit("<| im_start|>")), F.lit(CLOSE), F.lit("<| im_end|>"))
+
+
 def rotated(conversations: DataFrame) -> DataFrame:
     """``conv_id, perspective, turn, place, chat_role, name, segment, mask_start, mask_end`` for every turn and
     every participant of its dialogue.
@@ -28,7 +33,7 @@ def rotated(conversations: DataFrame) -> DataFrame:
     ``chat_role`` is assistant for the perspective's own turns, system for system turns, else user; ``name`` is the
     speaker of a user turn. The mask is the part of the segment (code points, end exclusive) that the model learns: what
     the assistant says with the closing mark, nothing of other turns (0, 0). Markup inside a text is broken up by a space,
-    so that it can't open or close a turn.
+    and inside a name by an underscore, so that it can't open or close a turn.
 
     A null role, an empty one or one of spaces is the speaker ``unknown``; names lose spaces around them and other
     white space becomes an underscore. Null text is empty. Turns with the same number follow by speaker and text
@@ -36,8 +41,8 @@ def rotated(conversations: DataFrame) -> DataFrame:
     participants gives no rows, as does empty input; dialogues with a null conv_id are one dialogue. Columns beside
     conv_id, turn, role and text play no part.
     """
-    name = F.regexp_replace(F.trim(F.coalesce("role", F.lit(""))), r"\s+", "_")
-    text = F.replace(F.replace(whole_text("text"), F.lit(OPEN), F.lit("<| im_start|>")), F.lit(CLOSE), F.lit("<| im_end|>"))
+    name = F.regexp_replace(F.trim(broken_up(F.coalesce("role", F.lit("")))), r"\s+", "_")
+    text = broken_up(whole_text("text"))
     turns = conversations.select("conv_id", "turn", F.when(name == "", UNKNOWN).otherwise(name).alias("speaker"), text.alias("said"))
     who = participants(turns).withColumnRenamed("conv_id", "_conv")
     met = turns.join(who, turns["conv_id"].eqNullSafe(who["_conv"])).drop("_conv")
@@ -59,7 +64,8 @@ def op2_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
 SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn,
-         CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE regexp_replace(trim(role), '\s+', '_', 'g') END AS speaker,
+         CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE regexp_replace(
+           trim(replace(replace(role, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')), '\s+', '_', 'g') END AS speaker,
          replace(replace(coalesce(text, ''), '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>') AS said
   FROM conversations),
 who AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM turns WHERE speaker <> 'system'),
