@@ -338,3 +338,10 @@ def owner_of(accounts: DataFrame, emails: DataFrame | str) -> DataFrame:
     if isinstance(emails, str):
         return owners.filter(F.col("email") == emails)
     return emails.select("email").distinct().join(owners, "email")
+
+
+def run_account_recovery(store: MartStore, mart: Mart, source: Source, email: str, start: datetime, end: datetime, *,
+                         outlet: int | None = None) -> Batch | None:
+    """Recovery for the merchant that an account belongs to; None if there is no such account."""
+    owner = owner_of(source.accounts, email).first()
+    return None if owner is None else run_recovery(store, mart, source, start, end, merchants=owner["merchant_id"], outlet=outlet)

@@ -432,3 +432,13 @@ def test_bad_clock_and_status_texts_are_nulls(spark, folder):
                   services=[dict(id=1, reservation_id=1, start_time="09:30"), dict(id=2, reservation_id=1, end_time="")])
     assert rows(refresh.UTILIZATION.raw_rows(source, None), "id_reservation_detail", "duration") == [(1, 0), (2, 0)]
     assert refresh.SUMMARY.raw_rows(source, None).count() == 1
+
+
+def test_recovery_by_account(spark, folder):
+    accounts = [dict(id=1, email="head@x"), dict(id=7, parent_id=1, email="till@x")]
+    stale = shop(spark, transactions=[sale(1, total=1), sale(2, total=2, merchant_id=2)])
+    now = shop(spark, accounts=accounts, transactions=[sale(1, total=100), sale(2, total=200, merchant_id=2)])
+    store, month = loaded(spark, folder, refresh.TAX, stale), (at("2023-05-01", 0), at("2023-05-31", 0))
+    assert jobs.run_account_recovery(store, refresh.TAX, now, "nobody@x", *month) is None
+    assert jobs.run_account_recovery(store, refresh.TAX, now, "till@x", *month).num_row == 1
+    assert rows(store.load(refresh.TAX.raw), "id_transaction", "transaction_value") == [(1, 100.0), (2, 2.0)]
