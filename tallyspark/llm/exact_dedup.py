@@ -61,17 +61,16 @@ class DigestIndex:
             groups = groups.join(others.hint("merge"), "digest", "left_anti")
         return groups
 
-    def seen(self, groups: DataFrame, batch: str) -> DataFrame | None:
-        """The digests that other batches have brought, with the row that stays; None before the first batch."""
-        found = []
-        for name in self.runs():
-            others = self.spark.table(name).filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("stays"))
-            found.append(groups.join(others.hint("merge"), "digest").select("digest", F.col("stays").alias("keep_id"), "group_size"))
-        return reduce(DataFrame.unionByName, found) if found else None
-
-    def append(self, groups: DataFrame, batch: str) -> None:
-        """Add the digests of a batch that aren't there yet, as a run with one sorted file per bucket."""
-        for name in self.runs():
+    def holders(self, groups: DataFrame) -> DataFrame:
+        """Digests that the index holds, with the row that stays and the batch that brought it."""
+        found = [groups.join(self.spark.table(name).select("digest", F.col("keep_id").alias("stays"), "batch").hint("merge"), "digest")
+                 for name in self.runs()]
+        return reduce(DataFrame.unionByName, found).withColumnRenamed("stays", "keep_id")
+
+    def append(self, groups: DataFrame, batch: str, again: bool = True) -> None:
+        """Add unseen digests, as a run with one sorted file per bucket; ``again`` says that the batch may have been here before:
+        then those that it brought are left out."""
+        for name in self.runs() if again else []:
             own = self.spark.table(name).filter(F.col("batch") == batch).select("digest")
             groups = groups.join(own.hint("merge"), "digest", "left_anti")
         self._write(groups.select("digest", "keep_id", F.lit(batch).alias("batch")))
@@ -108,44 +107,30 @@ def deduplicate(docs: DataFrame, index: DigestIndex, scratch: Scratch, batch: st
     rows with the same largest doc_id, all are marked kept (their ids can't tell them apart); ``kept_documents`` leaves one.
     Empty input gives no rows. Other columns play no part.
     """
-    return _decided(text_digests(docs, scratch), index, scratch, batch or uuid.uuid4().hex)
+    return deduplicate_all(docs, index, scratch, 1, batch)
 
 
-def _decided(rows: DataFrame, index: DigestIndex, scratch: Scratch, batch: str) -> DataFrame:
-    groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    with index.sorted_scans():
-        # Both are written before the append, which changes what they would find.
-        fresh = scratch.keep(index.unseen(groups, batch).withColumn("is_fresh", F.lit(True)), f"fresh_{batch}")
-        seen = index.seen(groups, batch)
-        decided = fresh if seen is None else fresh.unionByName(
-            scratch.keep(seen.withColumn("is_fresh", F.lit(False)), f"seen_{batch}"))
-        index.append(fresh, batch)
-    # A plain join by exchange on both sides, so that a digest that holds a third of the rows is split at run time.
-    return (rows.join(decided, "digest")
-            .select("doc_id", "keep_id", "group_size",
-                    (F.col("is_fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "digest"))
-
-
-def deduplicate_all(docs: DataFrame, index: DigestIndex, scratch: Scratch, batches: int = 4) -> DataFrame:
+def deduplicate_all(docs: DataFrame, index: DigestIndex, scratch: Scratch, batches: int = 4, batch: str | None = None) -> DataFrame:
     """As ``deduplicate``, for a whole corpus that passes the index in several batches, larger doc_ids first.
 
-    ``group_size`` counts all rows of a text. The batches are ranges of the doc_id of about equal size, rows without one are
-    in the last; each meets the digests of those before it in the index.
+    The batches are ranges of the doc_id of about equal size, rows without one are in the last; each meets the digests of
+    those before it in the index. ``group_size`` counts all rows of a text.
     """
-    rows = text_digests(docs, scratch)
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
-    edges = sorted(set(cuts), reverse=True)
-    decided, above = [], None
-    for number, edge in enumerate([*edges, None]):
-        part = rows if above is None else rows.filter(F.coalesce(F.col("doc_id") <= above, F.lit(True)))
-        part = part if edge is None else part.filter(F.col("doc_id") > edge)
-        decided.append(scratch.keep(_decided(part, index, scratch, f"part_{number}"), f"decided_{number}"))
-        above = edge
-    found = reduce(DataFrame.unionByName, decided)
-    # Only texts with copies need their number; the others are told by the join's missing row.
-    sizes = rows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1")
-    return found.join(sizes, "digest", "left").select(
-        "doc_id", "keep_id", F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), "kept", "digest")
+    rows, name = text_digests(docs, scratch), batch or uuid.uuid4().hex
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] if batches > 1 else None
+    above = None
+    with index.sorted_scans():
+        for edge in [*sorted(set(cuts or []), reverse=True), None]:
+            part = rows if above is None else rows.filter(F.coalesce(F.col("doc_id") <= above, F.lit(True)))
+            part = part if edge is None else part.filter(F.col("doc_id") > edge)
+            own = f"{name} above {edge}"
+            index.append(index.unseen(part.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), own), own, batch is not None)
+            above = edge
+        sizes = rows.groupBy("digest").agg(F.count("*").alias("group_size"))
+        decided = scratch.keep(index.holders(sizes), "decided")
+    # A plain join by exchange on both sides, so that a digest that holds a third of the rows is split at run time.
+    kept = F.startswith("batch", F.lit(f"{name} above ")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    return rows.join(decided, "digest").select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest")
 
 
 def kept_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:

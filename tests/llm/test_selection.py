@@ -52,7 +52,7 @@ def test_index_persists_over_batches(documents, index, scratch, spark):
 def test_the_index_side_is_neither_shuffled_nor_sorted(documents, index, scratch, spark):
     for i in range(3):  # several appends: one file per bucket in each run
         exact_dedup.deduplicate(documents(*((i * 50 + n, f"text {i} {n}") for n in range(50))), index, exact_dedup.Scratch(spark))
-    groups = spark.table(index.runs()[0]).select("digest", F.lit(1).alias("group_size"))
+    groups = spark.table(index.runs()[0]).select("digest", F.lit(1).alias("keep_id"))
     with index.sorted_scans():
         plan = index.unseen(groups, "other")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan and "Sort [" not in plan
