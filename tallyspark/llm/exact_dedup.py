@@ -33,7 +33,7 @@ class DigestIndex:
     under a few GB). ``most_runs`` says how many runs there may be before they are merged.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int = 64, most_runs: int = 8):
+    def __init__(self, spark: SparkSession, name: str, buckets: int = 256, most_runs: int = 8):
         self.spark, self.name, self.buckets, self.most_runs = spark, name, buckets, most_runs
 
     def runs(self) -> list[str]:
