@@ -69,7 +69,7 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
     """
     batch, scratch = store.begin(mart.name), Scratch(store.spark)
     try:
-        entity = scratch.keep(entity, "entity")
+        entity = scratch.keep(entity, "entity") if mart.widen else entity  # else the caller has kept it
         ids = scratch.keep(ids.select("id").distinct(), "ids")
         children = RESERVATION_CHILDREN if mart.entity == "reservations" else TRANSACTION_CHILDREN
         near = mart.bound(source, entity, scratch.keep) if mart.bound else source.near_ids(id_ranges(entity), children)
@@ -234,8 +234,8 @@ def _partition_prefix(table: MartTable, year: int, month: int | None) -> Column:
 
 
 def close_periods(store: MartStore, mart: Mart, batch: Batch, done_monthly: bool, done_yearly: bool,
-                  since: datetime | None = None) -> tuple[bool, bool]:
-    """Close every month and year that is over and still to do; returns the flags for the log.
+                  since: datetime | None = None, merchants: Sequence[int] | int | str | None = None) -> tuple[bool, bool]:
+    """Close every month and year that is over and still to do, for all merchants or some; returns the flags for the log.
 
     That is the period before the batch if its flag says so, and all those that began between ``since`` (the end of the
     run before) and the batch, or within the batch, except the last one before its end: the next run closes that.
@@ -258,10 +258,10 @@ def close_periods(store: MartStore, mart: Mart, batch: Batch, done_monthly: bool
     for level in mart.levels:
         if level.table.calendar == ("year", "month"):
             for m in sorted(months):
-                resum_period(store, closing, mart, level, m // 12, m % 12 + 1)
+                resum_period(store, closing, mart, level, m // 12, m % 12 + 1, merchants)
         elif level.table.calendar == ("year",):
             for year in sorted(years):
-                resum_period(store, closing, mart, level, year)
+                resum_period(store, closing, mart, level, year, None, merchants)
     closing.commit()
     return todo["done_monthly"], todo["done_yearly"]
 
@@ -289,8 +289,9 @@ def run_sequence(store: MartStore, mart: Mart, source: Source, minutes: int, now
     """The next window after the last logged run: refresh, close periods, log.
 
     ``until`` gives a window of fixed length that stops there, instead of one that widens while nothing arrives. A run for
-    some merchants goes on from their own last run, the first one from the load of the whole mart; it leaves the log and
-    the closings of the whole mart alone.
+    some merchants goes on from their own last run, the first one from the load of the whole mart. It keeps a log of its own,
+    which says what is closed for these merchants, and closes months and years for them alone; the whole mart's log and
+    closings don't depend on it.
     """
     started = time.time()
     settle(store, mart)
@@ -305,9 +306,7 @@ def run_sequence(store: MartStore, mart: Mart, source: Source, minutes: int, now
         raise ValueError(f"the log of {mart.name} is empty: write a first row that says where to start")
     span = progress.reach_back(window, progress.moment(now), delay).first()
     batch = run_increment(store, mart, source, span["window_start"], span["window_end"], now, merchants=merchants)
-    monthly, yearly = bool(last["done_monthly"]), bool(last["done_yearly"])
-    if merchants is None:
-        monthly, yearly = close_periods(store, mart, batch, monthly, yearly, last["ts_end"])
+    monthly, yearly = close_periods(store, mart, batch, bool(last["done_monthly"]), bool(last["done_yearly"]), last["ts_end"], merchants)
     params = {"minutes": minutes, "start_time": span["window_start"], "end_time": span["window_end"]}
     write_log(store, job, batch, started, now, params, done_monthly=monthly, done_yearly=yearly)
     return batch

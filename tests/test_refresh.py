@@ -389,6 +389,38 @@ def test_every_month_that_a_batch_spans_is_closed(spark, folder):
     assert rows(store.load(years), "year") == [(2022,)]  # the year that is over
 
 
+def test_runs_for_some_merchants_close_their_own_periods(spark, folder):
+    """Runs for one merchant and for all, in turn, over the end of a year."""
+    def sold(id, day, merchant):
+        return sale(id, day=day, changed=day, merchant_id=merchant, total=id)
+
+    first = [sold(1, "2022-11-10", 1), sold(2, "2022-11-10", 2)]
+    later = [*first, *(sold(10 * m + i, d, m) for m in (1, 2) for i, d in enumerate(
+        ("2022-11-20", "2022-12-20", "2023-01-20", "2023-02-20")))]
+    store, mart = MartStore(spark, folder, "month"), refresh.TAX
+    jobs.initial_load(store, mart, shop(spark, transactions=[dict(r) for r in first]), at("2022-11-15", 0), NOW)
+    source = shop(spark, transactions=later)
+    raw, days, months, years = mart.tables
+    expected = refresh.full(mart, source)
+
+    def over(table, merchants, month=2):
+        """Rows of the full marts for periods before a month of 2023."""
+        place = [table.column_names.index(c) for c in table.calendar]
+        return [r for r in contents(expected[table.name], table)
+                if r[0] in merchants and tuple(r[i] for i in place) < (2023, month)[:len(place)]]
+
+    jobs.run_sequence(store, mart, source, 90 * 1440, NOW, merchants="1")  # to January
+    jobs.run_sequence(store, mart, source, 40 * 1440, NOW)                 # all merchants to December
+    jobs.run_sequence(store, mart, source, 90 * 1440, NOW, merchants="1")  # to February
+    assert [r for r in contents(store.load(months), months) if r[0] == 1] == over(months, {1}, 1)
+    assert [r for r in contents(store.load(years), years) if r[0] == 1] == over(years, {1})
+    jobs.run_sequence(store, mart, source, 90 * 1440, NOW)
+    jobs.run_sequence(store, mart, source, 90 * 1440, NOW)                 # closes what the last one saw the end of
+    assert_same_as_full(store, mart, source, [raw, days])
+    assert contents(store.load(months), months) == over(months, {1, 2})
+    assert contents(store.load(years), years) == over(years, {1, 2})
+
+
 def test_a_null_in_a_key_is_a_key(spark, folder):
     store = loaded(spark, folder, refresh.TAX, shop(spark, transactions=[sale(1, total=100, outlet_id=None)]))
     now = shop(spark, transactions=[sale(1, total=70, outlet_id=None)])
