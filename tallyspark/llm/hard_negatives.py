@@ -61,7 +61,7 @@ class Vectors:
 
 def vectors(group: pd.DataFrame, how: Mining, exact: type) -> Vectors:
     dim = int(group["dim"].iloc[0]) if len(group) else 0
-    values = np.stack(group["q"].to_numpy()).reshape(-1, dim) if len(group) else np.empty((0, 0), dtype=np.int64)
+    values = np.stack(group["q"].to_numpy()).reshape(len(group), dim) if len(group) else np.empty((0, 0), dtype=np.int64)
     return Vectors(group["vec_id"].to_numpy(np.int64), group["label"].to_numpy(np.int64), values.astype(np.int64), how.segments, exact)
 
 
@@ -121,6 +121,14 @@ def tiles(n: int, size: int) -> list[np.ndarray]:
     return [np.arange(at, min(at + size, n)) for at in range(0, n, size)]
 
 
+def growing_tiles(n: int, size: int) -> list[np.ndarray]:
+    """Small tiles first: what they find tells how much the later ones need."""
+    ends = [0]
+    while ends[-1] < n:
+        ends.append(min(n, ends[-1] + min(size, max(16, ends[-1]))))
+    return [np.arange(a, b) for a, b in zip(ends, ends[1:])]
+
+
 class Kept:
     """The best rows found so far for each of some searches, and the score that a row needs to be among them."""
 
@@ -145,7 +153,7 @@ def nearest_same(anchors: Vectors, rows: Vectors, how: Mining) -> tuple[Kept, Sc
     lowest, highest = np.iinfo(np.int64).min // 2, np.iinfo(np.int64).max // 2
     kept = Kept(np.full(len(anchors.ids), lowest), how.positives)
     for a in tiles(len(anchors.ids), how.tile):
-        for b in tiles(len(rows.ids), how.tile):
+        for b in growing_tiles(len(rows.ids), how.tile):
             wanted = anchors.ids[a][:, None] != rows.ids[b][None, :]
             found = scorer.pairs(a, b, wanted, kept.low[a], np.full(len(a), highest))
             kept.add(found.row, found.score, found.column, rows.ids[found.column])
@@ -167,7 +175,7 @@ def negatives_of(anchors: Vectors, rows: Vectors, owner: np.ndarray, positive: n
     np.maximum.at(top, owner, high)
     first = np.searchsorted(owner, np.arange(len(anchors.ids) + 1))
     for a in tiles(len(anchors.ids), how.tile):
-        for b in tiles(len(rows.ids), how.tile):
+        for b in growing_tiles(len(rows.ids), how.tile):
             need = np.full(len(anchors.ids), np.iinfo(np.int64).max // 2)
             np.minimum.at(need, owner, kept.low)
             wanted = anchors.labels[a][:, None] != rows.labels[b][None, :]
