@@ -1,14 +1,20 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-A text's terms are n-grams of its shape: letters, digits and spaces reduced to their class, runs collapsed, punctuation
-kept, together with how much its words repeat. Terms are weighted by log count and inverse document frequency, and a
-truncated singular value decomposition of the labelled sample gives the latent space. The labelled vectors, of proven size,
-are broadcast; every document is compared with all of them by exact cosine products, block by block, and its nearest
-neighbours vote with weights that grow with their similarity.
+A text's terms are of four kinds: its words; the letter triples within and around them; n-grams of its shape (letters, digits
+and spaces reduced to their class, runs collapsed, punctuation kept) together with how much its words repeat; and what stands
+on both sides of each gap between words. Terms are hashed, and weighted by damped count and inverse document frequency; every
+kind has its share of a text's vector. A truncated singular value decomposition of the labelled sample gives the latent space.
+The labelled vectors, of proven size, are broadcast; every document is compared with all of them by exact cosine products,
+block by block, and its nearest neighbours vote with weights that grow with their similarity. The part of a text that the
+latent space can't express lowers its similarity to everything, and a text that is much less like its neighbours than
+labelled ones are like theirs gets a lower score: what resembles nothing known isn't accepted.
 """
 
 from __future__ import annotations
 
+import string
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,10 +26,14 @@ from pyspark.sql import functions as F
 from tallyspark.llm import labelled
 from tallyspark.llm.tables import is_held_out, table
 
-BITS = 11
+SHAPE_BITS, GAP_BITS, LETTER_BITS, WORD_BITS = 11, 8, 12, 13
 #: Dimensions beside the hashed shapes: repeated words, repeated word pairs, a word right after itself.
 REPEATS = 3
-TERMS = (1 << BITS) + REPEATS
+#: Dimensions of each kind of term and its share of a text's vector.
+KINDS = {"shape": ((1 << SHAPE_BITS) + REPEATS, 1.0), "gaps": (1 << GAP_BITS, 0.8), "letters": (1 << LETTER_BITS, 1.2),
+         "words": (1 << WORD_BITS, 0.8)}
+ENDS = np.cumsum([size for size, _ in KINDS.values()])
+TERMS = int(ENDS[-1])
 
 
 @dataclass(frozen=True)
@@ -33,6 +43,9 @@ class Voting:
     neighbours: int = 25
     sharpness: float = 8.0  # a neighbour's weight is its cosine to this power
     accept: float = 0.7
+    unlike: float = 0.02    # share of the accepted labelled rows that may be less like their neighbours than the others
+    slack: float = 0.8      # what other texts need of their likeness
+    few_words: float = 10.0  # at this many words half that likeness is enough
     block: int = 256        # documents compared at once
 
 
@@ -45,25 +58,46 @@ def _shape_classes() -> np.ndarray:
     return classes
 
 
-_CLASSES = _shape_classes()
+def _letters() -> np.ndarray:
+    """Lower case; all that isn't a letter becomes a space."""
+    out = np.full(256, ord(" "), dtype=np.uint8)
+    out[128:] = np.arange(128, 256)
+    for lower in range(ord("a"), ord("z") + 1):
+        out[[lower, lower - 32]] = lower
+    return out
+
+
+_CLASSES, _LETTERS = _shape_classes(), _letters()
+
+
+def _collapsed(values: np.ndarray) -> np.ndarray:
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
 def term_vector(text: str | None) -> np.ndarray:
-    """Log-damped term counts of a whole text; null counts as empty."""
+    """Term counts of a whole text, logs for its shape, roots for all else; null counts as empty."""
     out = np.zeros(TERMS, dtype=np.float32)
+    shapes, gaps, letters, hashed_words = np.split(out, ENDS[:-1])
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
     for part in labelled.blocks(raw, 0):
-        shape = _CLASSES[part]
-        shape = shape[np.concatenate(([True], shape[1:] != shape[:-1]))] if len(shape) else shape
+        shape = _collapsed(_CLASSES[part])
         for n in (1, 2, 3, 4):
-            found = labelled.grams(shape, n, BITS)
-            out[: 1 << BITS] += np.bincount(found, minlength=1 << BITS)
-    out = np.log1p(out)
+            shapes[:-REPEATS] += np.bincount(labelled.grams(shape, n, SHAPE_BITS), minlength=1 << SHAPE_BITS)
+        gap = np.isin(shape[1:-1], (ord(" "), ord("\n")))
+        gaps += np.bincount(labelled.grams(shape, 3, GAP_BITS)[gap], minlength=len(gaps))
+        plain = _LETTERS[part]
+        plain = plain[np.concatenate(([True], (plain[1:] != ord(" ")) | (plain[:-1] != ord(" "))))] if len(plain) else plain
+        letters += np.bincount(labelled.grams(plain, 3, LETTER_BITS), minlength=len(letters))
     words = (text or "").split()
+    for word, times in Counter(words).items():
+        plain_word = word.strip(string.punctuation).lower().encode("utf-8", "surrogatepass")
+        hashed_words[zlib.crc32(plain_word) >> (32 - WORD_BITS)] += times
+    np.log1p(shapes, out=shapes)
+    np.sqrt(out[ENDS[0]:], out=out[ENDS[0]:])
     if len(words) > 1:
         pairs = len(words) - 1
-        out[1 << BITS:] = (4 * (1 - len(set(words)) / len(words)) ** 2, 12 * (1 - len(set(zip(words, words[1:]))) / pairs),
-                           12 * sum(a == b for a, b in zip(words, words[1:])) / pairs)
+        shapes[-REPEATS:] = (4 * (1 - len(set(words)) / len(words)) ** 2, 12 * (1 - len(set(zip(words, words[1:]))) / pairs),
+                             12 * sum(a == b for a, b in zip(words, words[1:])) / pairs)
     return out
 
 
@@ -73,22 +107,38 @@ class Space:
     axes: np.ndarray      # terms x rank
     vectors: np.ndarray   # labelled rows x rank, of length 1 or 0
     labels: np.ndarray
+    likeness: float = 0.0  # mean similarity to the neighbours that a full score takes of a long text
 
     def project(self, terms: np.ndarray) -> np.ndarray:
-        latent = unit(terms * self.weights) @ self.axes
-        return unit(latent)
+        """Places in the latent space: the shorter, the less of a text the space expresses."""
+        return balanced(terms * self.weights) @ self.axes
+
+    def neighbours(self, near: np.ndarray, how: Voting) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and labels of the nearest labelled rows, given the similarity to all."""
+        top = np.argpartition(-near, min(how.neighbours, near.shape[1]) - 1, axis=1)[:, :how.neighbours]
+        weight = np.clip(np.take_along_axis(near, top, axis=1), 0, None).astype(np.float64) ** how.sharpness
+        return weight, self.labels[top]
 
     def vote(self, terms: np.ndarray, how: Voting) -> np.ndarray:
-        """Share of label 1 among the weighted neighbours; without any, the labelled rows' share."""
+        """Share of label 1 among the weighted neighbours, less where they are unlike; without any, the labelled rows' share."""
         prior = float(self.labels.mean()) if len(self.labels) else 0.5
         if not len(self.labels):
             return np.full(len(terms), prior)
-        near = self.project(terms) @ self.vectors.T
-        k = min(how.neighbours, near.shape[1])
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(near, top, axis=1), 0, None).astype(np.float64) ** how.sharpness
-        total = weight.sum(axis=1)
-        return np.where(total > 1e-12, (weight * self.labels[top]).sum(axis=1) / np.maximum(total, 1e-12), prior)
+        weight, labels = self.neighbours(self.project(terms) @ self.vectors.T, how)
+        total, words = weight.sum(axis=1), n_words(terms)
+        least = weight.shape[1] * (self.likeness * words / (words + how.few_words)) ** how.sharpness
+        return np.where(total > 1e-12, (weight * labels).sum(axis=1) / np.maximum(np.maximum(total, least), 1e-12), prior)
+
+
+def n_words(terms: np.ndarray) -> np.ndarray:
+    """The number of words: their terms hold the roots of their counts."""
+    return (terms[:, ENDS[-2]:].astype(np.float64) ** 2).sum(axis=1)
+
+
+def balanced(rows: np.ndarray) -> np.ndarray:
+    """Every kind of term scaled to its share, each row to length 1."""
+    kinds = np.split(rows, ENDS[:-1], axis=1)
+    return unit(np.concatenate([unit(part) * np.float32(share) for part, (_, share) in zip(kinds, KINDS.values())], axis=1))
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -113,12 +163,29 @@ def fit(docs: DataFrame, labels: DataFrame, how: Voting) -> Space:
         scaled[i, np.frombuffer(row["at"], dtype=np.int32)] = np.frombuffer(row["value"], dtype=np.float32)
     y = np.array([r["y"] for r in rows], dtype=np.float64)
     del rows
-    weights = np.log((1 + len(y)) / (1 + np.count_nonzero(scaled, axis=0))).astype(np.float32) + 1
-    scaled *= weights
-    for row in scaled:
-        row /= np.linalg.norm(row) or 1
-    axes = principal_axes(scaled, min(how.rank, max(len(y), 1)))
-    return Space(weights, axes, unit(scaled @ axes).astype(np.float32), y)
+    return space_of(scaled, y, how)
+
+
+def space_of(terms: np.ndarray, y: np.ndarray, how: Voting) -> Space:
+    """The latent space of labelled rows given by their term vectors, which are overwritten."""
+    words = n_words(terms)
+    weights = np.log((1 + len(y)) / (1 + np.count_nonzero(terms, axis=0))).astype(np.float32) + 1
+    for at in range(0, len(terms), how.block):
+        terms[at:at + how.block] = balanced(terms[at:at + how.block] * weights)
+    axes = principal_axes(terms, min(how.rank, max(len(y), 1)))
+    latent = terms @ axes
+    space = Space(weights, axes, unit(latent).astype(np.float32), y)
+    good = np.flatnonzero((y > 0) & (words > 0))
+    if len(good) > how.neighbours:
+        means = []
+        for at in range(0, len(good), how.block):
+            some = good[at:at + how.block]
+            near = latent[some] @ space.vectors.T
+            near[np.arange(len(some)), some] = -1  # no row is its own neighbour
+            means.append(space.neighbours(near, how)[0].mean(axis=1))
+        likeness = np.concatenate(means) ** (1 / how.sharpness) * (1 + how.few_words / words[good])
+        space.likeness = how.slack * float(np.quantile(likeness, how.unlike))
+    return space
 
 
 def principal_axes(rows: np.ndarray, rank: int) -> np.ndarray:
@@ -132,7 +199,7 @@ def principal_axes(rows: np.ndarray, rank: int) -> np.ndarray:
 
 def score(docs: DataFrame, space: Space, how: Voting) -> DataFrame:
     """``docs`` with ``score``; a pass over the documents without any shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(space)  # rows and dimensions are bounded: about 1 MB
+    shared = docs.sparkSession.sparkContext.broadcast(space)  # rows and dimensions are bounded: about 3 MB
 
     @F.pandas_udf("double")
     def vote(texts: pd.Series) -> pd.Series:

@@ -52,6 +52,43 @@ def test_votes_are_the_blocked_products():
         assert score == pytest.approx(sum(c ** 8 * y for c, y in cosine) / sum(c ** 8 for c, _ in cosine), abs=1e-4)
 
 
+def test_random_letters_are_like_nothing_labelled(spark):
+    rng, labels = np.random.default_rng(8), table(spark, FOLDER, "labels")
+    docs = table(spark, FOLDER, "documents")
+    how = quality.Voting()
+    space = quality.fit(docs, labels, how)
+    good = [r["text"] for r in docs.join(labels.filter("quality = 1"), "doc_id").orderBy("doc_id").limit(80).collect()]
+    consonants = "bcdfghjklmnpqrstvwxz"
+
+    def scrambled(text):
+        drawn = [consonants[i] for i in rng.integers(0, len(consonants), len(text))]
+        return "".join((d.upper() if c.isupper() else d) if c.isalpha() else c for c, d in zip(text, drawn))
+
+    def accepted(texts):
+        return (space.vote(np.stack([quality.term_vector(t) for t in texts]), how) >= how.accept).mean()
+
+    assert accepted(good) > 0.97
+    assert accepted([" ".join(t.split()[:8]) for t in good]) > 0.95
+    assert accepted([" ".join(good[i:i + 20]) for i in range(40)]) > 0.95
+    assert accepted([scrambled(t) for t in good]) < 0.3
+
+
+def test_a_score_by_hand():
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(["one", "two", "three", "Four.", "five,"], 6 + i)) for i in range(60)]
+    y, how = rng.integers(0, 2, 60).astype(float), quality.Voting(neighbours=4, rank=6)
+    space = quality.space_of(np.stack([quality.term_vector(t) for t in texts]), y, how)
+    for text in ["one two", "Four. three three five,", "xyzzy plugh 77 $$ qqq", texts[3]]:
+        parts = np.split(quality.term_vector(text) * space.weights, quality.ENDS[:-1])
+        whole = np.concatenate([part / (np.linalg.norm(part) or 1) * share for part, (_, share) in zip(parts, quality.KINDS.values())])
+        place = whole / np.linalg.norm(whole) @ space.axes
+        near = sorted(((max(float(place @ v), 0.0) ** 8, label) for v, label in zip(space.vectors, y)), reverse=True)[:4]
+        words = len(text.split())
+        least = 4 * (space.likeness * words / (words + how.few_words)) ** 8
+        want = sum(w * label for w, label in near) / max(sum(w for w, _ in near), least)
+        assert space.vote(quality.term_vector(text)[None, :], how)[0] == pytest.approx(want, rel=1e-3, abs=1e-6)
+
+
 def test_the_regression_finds_the_word():
     x = np.zeros((200, 3), dtype=np.float32)
     x[:50, 0], x[::3, 1] = 1, 1
