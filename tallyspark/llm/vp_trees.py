@@ -1,9 +1,11 @@
 """Nearest neighbours by Euclidean distance over vantage-point trees, one per shard.
 
-Vectors are dealt into shards of bounded size; each shard's tree is built once, in one task, and written as one row. Queries
-are gathered into blocks of bounded size. Every block meets every shard's tree in a join on the shard, and the block's
-queries walk down the tree together. A branch is left out if the triangle inequality rules it out for the distance of the
-k-th neighbour so far, times a factor: at factor 1 the search is exact, below 1 it leaves out more and may miss some.
+A small vantage-point tree over a bounded sample cuts space into cells; a cell's rows, split by hash where they are many, are
+shards of bounded size. Each shard's tree is built once, in one task, and written as one row. A query first searches the cell
+it lies in. The distance of its k-th neighbour there decides which other cells it has to visit. In a shard the queries
+walk down the tree together, block by block. A cell or branch is left out if the triangle inequality rules it out for
+the distance of the k-th neighbour so far, times a factor: at factor 1 the search is exact, below 1 it leaves out more and may
+miss some.
 """
 
 from __future__ import annotations
@@ -25,6 +27,9 @@ class Search:
     factor: float = 0.9
     shard_rows: int = 8192
     block_rows: int = 1024
+    chunk_rows: int = 16384  # queries that meet a shard in one task
+    cells: int = 1024        # at most
+    sample: int = 8192       # rows that the cells are made of, at most
     leaf: int = 64
     seed: int = 11
 
@@ -43,6 +48,56 @@ def distances(a: np.ndarray, point: np.ndarray) -> np.ndarray:
     return np.sqrt(np.cumsum((a - point) ** 2, axis=1)[:, -1]) if a.shape[1] else np.zeros(len(a))
 
 
+@dataclass
+class Top:
+    """The tree of cells: per node the vantage point, the largest distance inside, and both children (a cell c as ~c)."""
+    points: np.ndarray
+    cuts: list[float]
+    children: list[list[int]]
+    cells: int
+
+    def cells_of(self, vectors: np.ndarray) -> np.ndarray:
+        return self.within(vectors, np.zeros(len(vectors)), 0.0).argmax(axis=1)
+
+    def within(self, vectors: np.ndarray, kth: np.ndarray, factor: float) -> np.ndarray:
+        """Which cells may hold something nearer than each vector's bound; the vector's own one always counts."""
+        out = np.zeros((len(vectors), self.cells), dtype=bool)
+        slack = np.where(np.isinf(kth), np.inf, factor * kth)
+        waiting = [(0 if self.cuts else ~0, np.arange(len(vectors)))]
+        while waiting:
+            n, active = waiting.pop()
+            if n < 0:
+                out[active, ~n] = True
+                continue
+            gap = distances(vectors[active], self.points[n]) - self.cuts[n]
+            reach = np.where(slack[active] > 0, slack[active] + 1e-9 * (1 + np.abs(self.cuts[n])), 0)
+            inner, outer = self.children[n]
+            waiting += [(inner, active[gap <= reach]), (outer, active[(gap > 0) | (-gap <= reach) & (reach > 0)])]
+        return out
+
+
+def top(vectors: np.ndarray, cells: int) -> Top:
+    """Cells, at most so many, that hold about equal parts of the vectors."""
+    points, cuts, children, n_cells = [], [], [], 0
+    waiting = [(np.arange(len(vectors)), cells, -1, 0)]
+    while waiting:
+        rows, wanted, parent, side = waiting.pop()
+        away = distances(vectors[rows], vectors[rows[0]]) if wanted > 1 and len(rows) > 1 else np.zeros(len(rows))
+        cut = float(np.quantile(away, 0.5, method="lower")) if len(away) else 0.0
+        inside = away <= cut
+        here = len(cuts)
+        if inside.all():
+            here, n_cells = ~n_cells, n_cells + 1
+        else:
+            points.append(vectors[rows[0]])
+            cuts.append(cut)
+            children.append([0, 0])
+            waiting += [(rows[inside], wanted // 2, here, 0), (rows[~inside], wanted // 2, here, 1)]
+        if parent >= 0:
+            children[parent][side] = here
+    return Top(np.array(points), cuts, children, n_cells)
+
+
 def build(ids: np.ndarray, vectors: np.ndarray, how: Search) -> Tree:
     order, nodes = np.argsort(ids, kind="stable"), []
     rng = np.random.Generator(np.random.PCG64(how.seed))
@@ -76,12 +131,12 @@ def build(ids: np.ndarray, vectors: np.ndarray, how: Search) -> Tree:
 class Walk:
     """The search of one block of queries in one tree."""
 
-    def __init__(self, tree: Tree, ids: np.ndarray, queries: np.ndarray, how: Search):
+    def __init__(self, tree: Tree, ids: np.ndarray, queries: np.ndarray, kth: np.ndarray, how: Search):
         self.tree, self.own, self.queries, self.how = tree, ids, queries, how
         self.squares = (tree.vectors ** 2).sum(axis=1)
         self.best = [(np.empty(0), np.empty(0, dtype=np.int64)) for _ in ids]
-        self.kth = np.full(len(ids), np.inf)
-        self.compared = 0
+        self.kth = kth.copy()
+        self.compared = np.zeros(len(ids), dtype=np.int64)
         if len(ids):
             self.visit(0, np.arange(len(ids)))
 
@@ -105,7 +160,7 @@ class Walk:
         q = self.queries[active]
         square = (q ** 2).sum(axis=1)[:, None] + self.squares[None, start:end]
         near = square - 2 * (q @ vectors.T) <= self.kth[active][:, None] ** 2 + 1e-9 * (1 + square)
-        self.compared += near.size
+        self.compared[active] += end - start
         for row in np.flatnonzero(near.any(axis=1)):
             i = active[row]
             hits = np.flatnonzero(near[row] & (ids != self.own[i]))
@@ -114,12 +169,17 @@ class Walk:
             top = np.lexsort((v, d))[: self.how.k]
             self.best[i] = d[top], v[top]
             if len(top) == self.how.k:
-                self.kth[i] = d[top[-1]]
+                self.kth[i] = min(self.kth[i], d[top[-1]])
 
     def found(self) -> pd.DataFrame:
+        """What was found, and a row for each query with the number of vectors it was compared with."""
         sizes = [len(d) for d, _ in self.best]
-        return pd.DataFrame({"query_id": np.repeat(self.own, sizes), "vec_id": np.concatenate([v for _, v in self.best]),
-                             "score": np.concatenate([d for d, _ in self.best])})
+        none = np.full(len(self.own), np.nan)
+        return pd.DataFrame({
+            "query_id": np.concatenate([np.repeat(self.own, sizes), self.own]),
+            "vec_id": np.concatenate([v for _, v in self.best] + [self.own]),
+            "score": np.concatenate([d for d, _ in self.best] + [none]),
+            "compared": np.concatenate([np.zeros(sum(sizes), dtype=np.int64), self.compared])})
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -131,15 +191,102 @@ def usable(rows: DataFrame) -> DataFrame:
         & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v")))
 
 
-def trees(rows: DataFrame, shards: int, how: Search) -> DataFrame:
+def trees(dealt: DataFrame, how: Search) -> DataFrame:
     """One row per shard with its tree."""
     def of(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         tree = build(group["vec_id"].to_numpy(np.int64), np.stack(group["v"].to_numpy()).astype(np.float64), how)
-        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "ids": [tree.ids.tobytes()],
+        return pd.DataFrame({"dim": [key[0]], "cell": [key[1]], "shard": [key[2]], "ids": [tree.ids.tobytes()],
                              "vectors": [tree.vectors.tobytes()], "nodes": [tree.nodes.tobytes()]})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("dim", "shard").applyInPandas(of, "dim int, shard int, ids binary, vectors binary, nodes binary")
+    return dealt.groupBy("dim", "cell", "shard").applyInPandas(
+        of, "dim int, cell int, shard int, ids binary, vectors binary, nodes binary")
+
+
+def tops(rows: DataFrame, n_rows: int, how: Search) -> dict[int, Top]:
+    """A tree of cells for each vector length in a sample of bounded size; other lengths have one cell."""
+    wanted = min(how.cells, -(-n_rows // how.shard_rows))
+    if wanted < 2:
+        return {}
+    some = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(min(how.sample, 64 * wanted)).select("dim", "v").collect()
+    lengths = {row["dim"] for row in some}
+    return {dim: top(np.array([r["v"] for r in some if r["dim"] == dim]), wanted) for dim in sorted(lengths)}
+
+
+def _of_each_length(vectors: pd.Series):
+    lengths = vectors.map(len).to_numpy()
+    for dim in np.unique(lengths):
+        at = np.flatnonzero(lengths == dim)
+        yield int(dim), at, np.stack(vectors.iloc[at].to_numpy()).astype(np.float64)
+
+
+def found(rows: DataFrame, queries: DataFrame, scratch: Scratch, how: Search) -> DataFrame:
+    """``query_id, vec_id, score, compared``: the nearest of every shard that a query visits, and one row per query and
+    shard without a score that tells with how many vectors it was compared."""
+    rows, queries = usable(rows), usable(queries)
+    n_rows, n_queries = rows.count(), queries.count()
+    shared = rows.sparkSession.sparkContext.broadcast(tops(rows, n_rows, how))  # how.cells vectors at most per length
+
+    @F.pandas_udf("int")
+    def home(vectors: pd.Series) -> pd.Series:
+        out = np.zeros(len(vectors), dtype=np.int32)
+        for dim, at, v in _of_each_length(vectors):
+            if dim in shared.value:
+                out[at] = shared.value[dim].cells_of(v)
+        return pd.Series(out)
+
+    @F.pandas_udf("array<int>")
+    def others(vectors: pd.Series, cell: pd.Series, kth: pd.Series) -> pd.Series:
+        out = pd.Series([[]] * len(vectors))
+        for dim, at, v in _of_each_length(vectors):
+            if dim in shared.value:
+                within = shared.value[dim].within(v, kth.to_numpy()[at], how.factor)
+                within[np.arange(len(at)), cell.to_numpy()[at]] = False
+                for i, mask in zip(at, within):
+                    out.iat[i] = np.flatnonzero(mask).tolist()
+        return out
+
+    celled = scratch.keep(rows.withColumn("cell", home("v")), "cells")
+    sizes = celled.groupBy("dim", "cell").agg(F.ceil(F.count("*") / how.shard_rows).cast("int").alias("shards"))
+    place = F.xxhash64("vec_id", "v")
+    dealt = celled.join(sizes, ["dim", "cell"]).withColumn("shard", F.pmod(place, F.col("shards")).cast("int"))
+    planted = scratch.keep(trees(dealt.drop("shards"), how), "trees")
+    chunks = max(1, -(-n_queries // how.chunk_rows))
+    copies = planted.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+
+    def search(asked: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for row in tree.itertuples():
+            dim = int(row.dim)
+            grown = Tree(np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.vectors).reshape(-1, dim),
+                         np.frombuffer(row.nodes).reshape(-1, 7))
+            for at in range(0, len(asked), how.block_rows):
+                block = asked.iloc[at:at + how.block_rows]
+                parts.append(Walk(grown, block["vec_id"].to_numpy(np.int64), np.stack(block["v"].to_numpy()).astype(np.float64),
+                                  block["kth"].to_numpy(np.float64), how).found())
+        return pd.concat(parts) if parts else pd.DataFrame(
+            {"query_id": [], "vec_id": [], "score": [], "compared": []}).astype({"query_id": "int64", "vec_id": "int64", "compared": "int64"})
+
+    def searched(asked: DataFrame) -> DataFrame:
+        """Queries with a cell to search and a bound meet the trees of the cell's shards."""
+        met = (asked.join(sizes, ["dim", "cell"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+               .withColumn("chunk", F.pmod(place, F.lit(chunks)).cast("int")))
+        keys = ("dim", "cell", "shard", "chunk")
+        return met.select(*keys, "vec_id", "v", "kth").groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(
+            search, "query_id long, vec_id long, score double, compared long")
+
+    asked = queries.withColumn("cell", home("v"))
+    first = scratch.keep(searched(asked.withColumn("kth", F.lit(float("inf")))), "at_home")
+    bound = (best_of(first, how).groupBy("query_id")
+             .agg(F.when(F.count("*") == how.k, F.max("score")).alias("kth")).withColumnRenamed("query_id", "vec_id"))
+    rest = (asked.join(bound, "vec_id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("inf"))))
+            .withColumn("cell", F.explode(others("v", "cell", "kth"))))
+    return first.unionByName(searched(rest))
+
+
+def best_of(hits: DataFrame, how: Search) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return (hits.filter(F.col("score").isNotNull() & ~F.isnan("score")).withColumn("rank", F.row_number().over(best))
+            .filter(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", "score"))
 
 
 def nearest(rows: DataFrame, queries: DataFrame, scratch: Scratch, how: Search = Search()) -> DataFrame:
@@ -150,25 +297,7 @@ def nearest(rows: DataFrame, queries: DataFrame, scratch: Scratch, how: Search =
     vec_id take no part. Vectors of different lengths aren't compared. With fewer candidates than ``k`` all are returned;
     empty input gives no rows. Other columns play no part.
     """
-    rows, queries = usable(rows), usable(queries)
-    shards = max(1, -(-rows.count() // how.shard_rows))
-    blocks = max(1, -(-queries.count() // how.block_rows))
-    planted = scratch.keep(trees(rows, shards, how), "trees")
-    asked = (queries.groupBy("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).alias("block"))
-             .agg(F.collect_list("vec_id").alias("q_ids"), F.flatten(F.collect_list("v")).alias("q")))
-
-    def search(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        row = group.iloc[0]
-        dim = int(key[0])
-        tree = Tree(np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["vectors"]).reshape(-1, dim),
-                    np.frombuffer(row["nodes"]).reshape(-1, 7))
-        return Walk(tree, np.asarray(row["q_ids"], dtype=np.int64), np.asarray(row["q"]).reshape(-1, dim), how).found()
-
-    met = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(planted, ["dim", "shard"])
-    found = met.groupBy("dim", "shard", "block").applyInPandas(search, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= how.k).select(
-        "query_id", "rank", "vec_id", "score")
+    return best_of(found(rows, queries, scratch, how), how)
 
 
 def op6_vp_trees(spark: SparkSession, folder: str) -> DataFrame:

@@ -157,6 +157,24 @@ def test_vp_trees_against_brute_force(spark, scratch, factor, least):
     assert vp_trees.nearest(empty, empty, vp_trees.Scratch(spark), how).collect() == []
 
 
+@pytest.mark.parametrize("factor, least", [(1.0, 1.0), (0.9, 0.95)])
+def test_far_cells_are_not_visited(spark, scratch, factor, least):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(40, 16)) * 30
+    rows = [(i, [float(x) for x in centres[i % 40] + rng.normal(size=16)]) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    how = vp_trees.Search(factor=factor, shard_rows=200, leaf=16)
+    asked = frame.filter("vec_id % 50 = 7")
+    raw = scratch.keep(vp_trees.found(frame, asked, vp_trees.Scratch(spark), how), "raw")
+    assert raw.agg({"compared": "sum"}).first()[0] < 0.15 * 4000 * asked.count()
+    want = brute(rows, [r for r in rows if r[0] % 50 == 7], 10)
+    got = {}
+    for r in vp_trees.best_of(raw, how).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = sum(len(got[q] & {i for _, i in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= least
+
+
 def test_every_operator_has_a_query():
     assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
