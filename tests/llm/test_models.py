@@ -125,6 +125,41 @@ def test_ngrams_are_told_apart_exactly():
     assert [len(toxicity.present(t)) for t in (None, "", "a", "ab")] == [0, 0, 0, 1]
 
 
+def plain_grams(text):
+    plain = bytes(toxicity._LETTERS[toxicity.bytes_of(text)])
+    return [(i, int.from_bytes(plain[i:i + n], "little")) for n in toxicity.SIZES for i in range(len(plain) - n + 1)]
+
+
+def test_toxic_counts_ratios_and_windows_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    words = ["idiot", "clown", "kind", "tree", "Été", "x", "river,", "1984"]
+    texts = [(" ".join(rng.choice(words, rng.integers(0, 40))), int(rng.integers(0, 2))) for _ in range(60)] + [(None, 1), ("", 0)]
+    rows, how = spark.createDataFrame(texts, "text string, y int"), toxicity.Model(features=40)
+    holds = [({c for _, c in plain_grams(t)}, y) for t, y in texts]
+    want = {c: (sum(c in h for h, y in holds if y), sum(c in h for h, y in holds if not y)) for c in set().union(*(h for h, _ in holds))}
+    assert {np.uint64(np.int64(r[0])).item(): (r[1], r[2]) for r in toxicity.counted(rows, how).collect()} == want
+    n = sum(y for _, y in texts)
+    m, ranked = len(texts) - n, []
+    for code, (a, b) in want.items():
+        if a + b >= how.least_docs:
+            chi2 = (n + m) * (a * m - b * n) ** 2 / ((a + b) * (n + m - a - b + 1) * n * m)
+            ranked.append((chi2, code, math.log((a + 1) / (n + 2)) - math.log((b + 1) / (m + 2))))
+    codes, ratios = toxicity.chosen(rows, how)
+    least = sorted(ranked, reverse=True)[how.features - 1][0]
+    known = {code: (chi2, ratio) for chi2, code, ratio in ranked}
+    for code, ratio in zip(codes.view(np.uint64).tolist(), ratios):
+        assert known[code][0] >= least - 1e-9 and ratio == pytest.approx(known[code][1])
+    kept = np.sort(codes.view(np.uint64))
+    weights = dict(zip(kept.tolist(), rng.normal(size=len(kept))))
+    model = toxicity.Classifier(toxicity.Kept.of(kept), np.array(list(weights.values())), -0.3, 50)
+    for text in [t for t, _ in texts[:25]] + [None, "", " ".join(rng.choice(words, 500))]:
+        found, length = [(i, c) for i, c in plain_grams(text) if c in weights], len(toxicity.bytes_of(text))
+        starts = [k * 25 for k in range(length) if k * 25 < length - 50]
+        sets = [{c for i, c in found if s <= i < s + 50} for s in starts] + [{c for i, c in found if i >= length - 50}]
+        best = max(sum(weights[c] for c in s) for s in sets)
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(0.3 - best)))
+
+
 def brute(rows, queries, k):
     out = {}
     for q, a in queries:
