@@ -18,7 +18,7 @@ from tallyspark.schema import (
     MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_RAW, SALES_YEARLY, SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY,
     TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY,
 )
-from tallyspark.session import shared_dir, tune
+from tallyspark.session import Scratch, shared_dir, tune
 from tallyspark.sinks.store import MartStore
 from tallyspark.sources.jdbc import counted_frame, plan_slices
 from tallyspark.sources.sample_tables import SampleTables
@@ -649,12 +649,18 @@ def cdc_resumed(t: SampleTables) -> DataFrame:
 
 @query
 def transactions_in_slices(t: SampleTables) -> DataFrame:
-    """A table read by the planned slices of a skewed key, row by row."""
-    skewed = t.transactions().withColumn("key", F.col("id") * F.col("id") * F.col("id"))
+    """A table read by the planned slices of a skewed key, row by row.
+
+    The cube of an id outgrows a bigint from 2,097,152 on, so slices are planned and read by its exact decimal; the result
+    has the key as a bigint, null where no bigint holds it.
+    """
+    cube = F.expr("cast(id AS decimal(38,0)) * id * id").cast("decimal(38,0)")
+    skewed = Scratch(t.spark).keep(t.transactions().select("id", cube.alias("key")), "skewed")
     low, high, rows = skewed.agg(F.min("key"), F.max("key"), F.count("*")).first()
     slices = plan_slices(counted_frame(skewed, "key"), "key", low, high, rows)
-    parts = [skewed.filter(s).select("id", "key") for s in slices]
-    return reduce(DataFrame.unionByName, parts).groupBy("id", "key").agg(F.count("*").alias("times"))
+    parts = [skewed.filter(s) for s in slices]
+    times = reduce(DataFrame.unionByName, parts).groupBy("id", "key").agg(F.count("*").alias("times"))
+    return times.withColumn("key", F.expr("try_cast(key AS bigint)"))
 
 
 # -- stored marts and streams ----------------------------------------------------------------------------------------

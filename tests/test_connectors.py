@@ -1,7 +1,10 @@
 """JDBC options, checked on stand-ins for Spark's reader and writer (no database is started), and table mapping."""
 
+from datetime import datetime
+
 import pytest
 
+from checks.queries import QUERIES
 from tallyspark.functions.times import seconds_of_day
 from tallyspark.operators.aggregate import aggregate, surrogate_key
 from tallyspark.operators.keys import delete_range
@@ -9,6 +12,7 @@ from tallyspark.session import shared_dir
 from tallyspark.sinks import jdbc as sink
 from tallyspark.sources import jdbc
 from tallyspark.sources.pos_tables import POS_COLUMNS, from_pos_tables
+from tallyspark.sources.sample_tables import FILES
 from tests.shop import DEFAULTS, frame, rows
 
 
@@ -86,6 +90,31 @@ def test_slices_of_tables_without_ids(spark):
     assert [df.filter(p).count() for p in jdbc.plan_slices(jdbc.counted_frame(df, "id"), "id", None, None, 3)] == [3, 0]
 
 
+def test_slices_of_ids_beyond_a_bigint(spark):
+    df = spark.range(9_000_000, 9_002_000).selectExpr("id", "cast(id AS decimal(38,0)) * id * id AS key")
+    low, high, rows = df.selectExpr("min(key)", "max(key)", "count(*)").first()
+    slices = jdbc.plan_slices(jdbc.counted_frame(df, "key"), "key", low, high, rows, slices=10)
+    counts = [df.filter(p).count() for p in slices]
+    assert sum(counts) == 2000 and max(counts) <= 400
+
+
+def test_cells_of_huge_ids_are_cut_exactly(spark):
+    low, width = 2 ** 62, 3
+    df = spark.range(low, low + 300).toDF("id")
+    cells = jdbc.counted_frame(df, "id")(low, low + 300, width)
+    assert sorted((r["cell"], r["rows"]) for r in cells) == [(i, 3) for i in range(100)]
+
+
+def test_query_of_slices_holds_large_ids(spark, tmp_path):
+    ids = [7, 2_097_151, 2_097_152, 9_000_000]
+    moment = datetime(1998, 2, 6)
+    for name, rows in {"nation": [(2, "n", 1)], "customer": [(5, "c", 2, 1.0, "m")],
+                       "orders": [(i, 5, "F", 10.0, moment, "5-LOW") for i in ids]}.items():
+        spark.createDataFrame(rows, FILES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = {r["id"]: (r["key"], r["times"]) for r in QUERIES["transactions_in_slices"](spark, str(tmp_path)).collect()}
+    assert found == {i: (i ** 3 if i < 2 ** 21 else None, 1) for i in ids}
+
+
 def test_append_options():
     df = Frame()
     sink.append(df, "jdbc:x?a=1", "t", {"user": "u"}, untyped_text=True, connections=3)
