@@ -15,7 +15,7 @@ from __future__ import annotations
 import string
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -158,22 +158,51 @@ def fit(docs: DataFrame, labels: DataFrame, how: Voting) -> Space:
     rows = labelled.sample(docs, labels, "quality", how.sample).mapInPandas(
         terms, "y int, at binary, value binary").collect()
     rows.sort(key=lambda r: (r["y"], r["at"], r["value"]))  # the same space whatever order the rows come in
-    scaled = np.zeros((len(rows), TERMS), dtype=np.float32)
-    for i, row in enumerate(rows):
-        scaled[i, np.frombuffer(row["at"], dtype=np.int32)] = np.frombuffer(row["value"], dtype=np.float32)
-    y = np.array([r["y"] for r in rows], dtype=np.float64)
-    del rows
-    return space_of(scaled, y, how)
-
-
-def space_of(terms: np.ndarray, y: np.ndarray, how: Voting) -> Space:
-    """The latent space of labelled rows given by their term vectors, which are overwritten."""
-    words = n_words(terms)
-    weights = np.log((1 + len(y)) / (1 + np.count_nonzero(terms, axis=0))).astype(np.float32) + 1
-    for at in range(0, len(terms), how.block):
-        terms[at:at + how.block] = balanced(terms[at:at + how.block] * weights)
+    packed = PackedRows([np.frombuffer(r["at"], dtype=np.int32) for r in rows],
+                        [np.frombuffer(r["value"], dtype=np.float32) for r in rows], how.block)
+    return space_of(packed, np.array([r["y"] for r in rows], dtype=np.float64), how)
+
+
+class PackedRows:
+    """Term vectors by their places and values; only a block of rows at a time is laid out whole."""
+
+    def __init__(self, at: list[np.ndarray], values: list[np.ndarray], block: int):
+        self.at, self.values, self.block = at, values, block
+
+    @classmethod
+    def of(cls, rows: np.ndarray, block: int) -> PackedRows:
+        at = [np.flatnonzero(row).astype(np.int32) for row in rows]
+        return cls(at, [row[where] for row, where in zip(rows, at)], block)
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        """First row and whole vectors of each block."""
+        for first in range(0, len(self), self.block):
+            out = np.zeros((min(self.block, len(self) - first), TERMS), dtype=np.float32)
+            for row, at, values in zip(out, self.at[first:], self.values[first:]):
+                row[at] = values
+            yield first, out
+
+    def times(self, right: np.ndarray) -> np.ndarray:
+        return np.concatenate([rows @ right for _, rows in self.blocks()] or [np.zeros((0, right.shape[1]), dtype=np.float32)])
+
+    def each(self, change: Callable[[np.ndarray], np.ndarray]) -> PackedRows:
+        """The rows changed block by block; what is 0 stays 0."""
+        values = [row[self.at[first + i]] for first, rows in self.blocks() for i, row in enumerate(change(rows))]
+        return PackedRows(self.at, values, self.block)
+
+
+def space_of(terms: PackedRows | np.ndarray, y: np.ndarray, how: Voting) -> Space:
+    """The latent space of labelled rows given by their term vectors."""
+    terms = PackedRows.of(terms, how.block) if isinstance(terms, np.ndarray) else terms
+    words = np.concatenate([n_words(rows) for _, rows in terms.blocks()] or [np.zeros(0)])
+    found = np.bincount(np.concatenate([*terms.at, np.zeros(0, dtype=np.int32)]), minlength=TERMS)
+    weights = np.log((1 + len(y)) / (1 + found)).astype(np.float32) + 1
+    terms = terms.each(lambda rows: balanced(rows * weights))
     axes = principal_axes(terms, min(how.rank, max(len(y), 1)))
-    latent = terms @ axes
+    latent = terms.times(axes)
     space = Space(weights, axes, unit(latent).astype(np.float32), y)
     good = np.flatnonzero((y > 0) & (words > 0))
     if len(good) > how.neighbours:
@@ -188,12 +217,15 @@ def space_of(terms: np.ndarray, y: np.ndarray, how: Voting) -> Space:
     return space
 
 
-def principal_axes(rows: np.ndarray, rank: int) -> np.ndarray:
-    """The leading right singular vectors, by subspace iteration: no square matrix of the terms is built."""
-    axes = np.random.Generator(np.random.PCG64(5)).normal(size=(rows.shape[1], 2 * rank)).astype(np.float32)
+def principal_axes(rows: PackedRows, rank: int) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration: neither the rows nor a square matrix of the terms is built whole."""
+    axes = np.random.Generator(np.random.PCG64(5)).normal(size=(TERMS, 2 * rank)).astype(np.float32)
     for _ in range(12):
-        axes, _ = np.linalg.qr(rows.T @ (rows @ axes))
-    _, _, turn = np.linalg.svd(rows @ axes, full_matrices=False)
+        moved = np.zeros_like(axes)
+        for _, some in rows.blocks():
+            moved += some.T @ (some @ axes)
+        axes, _ = np.linalg.qr(moved)
+    _, _, turn = np.linalg.svd(rows.times(axes), full_matrices=False)
     return np.ascontiguousarray((axes @ turn.T)[:, :rank])
 
 

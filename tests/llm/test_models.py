@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, nearest neighbours by recall, the registered queries and the pipeline."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -89,6 +90,17 @@ def test_a_score_by_hand():
         assert space.vote(quality.term_vector(text)[None, :], how)[0] == pytest.approx(want, rel=1e-3, abs=1e-6)
 
 
+def test_the_latent_space_is_fitted_without_a_whole_matrix():
+    rng = np.random.default_rng(4)
+    at = [np.unique(rng.integers(0, quality.TERMS, 300)).astype(np.int32) for _ in range(1500)]
+    packed = quality.PackedRows(at, [rng.random(len(a)).astype(np.float32) for a in at], 256)
+    tracemalloc.start()
+    space = quality.space_of(packed, rng.integers(0, 2, 1500).astype(float), quality.Voting())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert space.vectors.shape == (1500, 32) and peak < 1500 * quality.TERMS * 4
+
+
 def test_the_regression_finds_the_word():
     x = np.zeros((200, 3), dtype=np.float32)
     x[:50, 0], x[::3, 1] = 1, 1
