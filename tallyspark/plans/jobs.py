@@ -198,8 +198,8 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
         there = store.load(mart.raw).filter(F.col("p_month").between(f"{start:%Y-%m}", f"{end:%Y-%m}"))
         stored = scratch.keep(there.filter(in_range(mart.raw, start, end, scope)).select(
             F.col(mart.raw.key[0]).alias("id")).distinct(), "stored")
-        moved = having_keys(found, lacking_keys(stored, inside, ["id"]), ["id"])
-        entity = scratch.keep(inside.unionByName(moved), "found")
+        moved = scratch.keep(having_keys(found, lacking_keys(stored, inside, ["id"]), ["id"]), "moved")
+        entity = inside.unionByName(moved)
         linked = stored_links(store, mart, entity, None if mart.links is None else in_range(mart.links, start, end, scope))
         batch = mart.batch(source, entity, linked)
         refresh_stored(store, mart, source, batch, stored.union(batch.select("id")), by_day=True, resum=resum, linked=linked)

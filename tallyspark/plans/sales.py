@@ -50,17 +50,31 @@ def product_summary(details: DataFrame) -> DataFrame:
     )
 
 
-def addon_costs(details: DataFrame, addons: DataFrame) -> DataFrame:
+def addon_costs(details: DataFrame, addons: DataFrame, whole: bool = True) -> DataFrame:
     """Cost of add-ons per transaction.
 
-    Add-ons are summed per line first, so the join to the lines is one to one whatever a line carries.
+    Add-ons are summed per line first, so the join to the lines is one to one whatever a line carries. Add-ons that name their
+    transaction are dealt by it together with the lines, and no row travels twice.
     """
-    per_line = addons.groupBy("detail_id").agg(
-        total(F.col("quantity") * F.col("material_quantity") * F.col("unit_cost")).alias("line_cost"))
+    cost = F.col("quantity") * F.col("material_quantity") * F.col("unit_cost")
+    if "transaction_id" in addons.columns:
+        lines = dealt(details.select("transaction_id", "detail_id", F.lit(1).alias("lines"), F.lit(0).alias("addons"), F.lit(None).alias("cost")),
+                      addons.select("transaction_id", "detail_id", F.lit(0).alias("lines"), F.lit(1).alias("addons"), cost.alias("cost")),
+                      whole).groupBy("transaction_id", "detail_id").agg(
+            F.sum("lines").alias("lines"), F.sum("addons").alias("addons"), total("cost").alias("line_cost"))
+        lines = lines.filter("lines > 0 AND addons > 0 AND detail_id IS NOT NULL")
+        return lines.groupBy("transaction_id").agg(total_or_zero(F.col("line_cost") * F.col("lines").cast("int")).alias("hpp_addon"))
+    per_line = addons.groupBy("detail_id").agg(total(cost).alias("line_cost"))
     return (details.select("detail_id", "transaction_id").join(per_line, "detail_id")
             .groupBy("transaction_id").agg(total_or_zero("line_cost").alias("hpp_addon")))
 
 
+def dealt(details: DataFrame, children: DataFrame, whole: bool) -> DataFrame:
+    """Lines and what hangs on them, dealt by the transaction that both name; rows of a batch are so already."""
+    both = details.unionByName(children)
+    return both.repartition("transaction_id") if whole else both
+
+
 def commission_summary(commissions: DataFrame) -> DataFrame:
     return commissions.groupBy("transaction_id").agg(total_or_zero("nominal").alias("commission"))
 
@@ -97,14 +111,14 @@ def settled_commission() -> Column:
     return F.when(counted, money_or_zero("commission")).otherwise(money(F.lit(0)))
 
 
-def star(source: Source, transactions: DataFrame) -> DataFrame:
+def star(source: Source, transactions: DataFrame, whole: bool) -> DataFrame:
     """Transactions with the summaries of their lines, add-ons, commissions and payments.
 
     Every summary is keyed by the transaction, so the joins never multiply rows and all use the same shuffle key.
     """
     summaries = (
         payment_summary(source.payments), product_summary(source.details),
-        addon_costs(source.details, source.addons), commission_summary(source.commissions),
+        addon_costs(source.details, source.addons, whole), commission_summary(source.commissions),
     )
     facts = transactions.withColumnRenamed("id", "transaction_id")
     return reduce(lambda left, right: left.join(right, "transaction_id", "left"), summaries, facts)
@@ -116,7 +130,7 @@ def sales_raw(source: Source, transactions: DataFrame | None = None) -> DataFram
     ``transactions`` limits the work to a batch; without it the whole source is taken.
     """
     chosen = (source.transactions if transactions is None else transactions).filter(is_sale() & rules.is_active())
-    joined = star(children_of(source, None if transactions is None else chosen), chosen)
+    joined = star(children_of(source, None if transactions is None else chosen), chosen, transactions is None)
     return SALES_RAW.conform(joined.select(
         F.col("transaction_id").alias("id_transaction"), "merchant_id", "outlet_id",
         rules.is_refund().alias("is_refund"), F.col("sold_at").alias("datetime"), F.to_date("sold_at").alias("date"),

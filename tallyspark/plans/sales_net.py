@@ -44,7 +44,7 @@ def sales_net_raw(source: Source, transactions: DataFrame | None = None) -> Data
     """One row per active transaction that settles its own bill, with the parts of a split bill added to the parent."""
     window = (source.transactions if transactions is None else transactions).filter(is_sale())
     chosen = window.filter(rules.is_active() & rules.settles_own_bill())
-    joined = star(children_of(source, None if transactions is None else chosen), chosen)
+    joined = star(children_of(source, None if transactions is None else chosen), chosen, transactions is None)
     parts = split_bill_children(source, window).select(
         F.col("id_transaction").alias("transaction_id"), F.col("total").alias("part_total"),
         F.col("mdr").alias("part_mdr"))

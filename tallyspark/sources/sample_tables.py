@@ -134,7 +134,7 @@ class SampleTables:
             "p_partkey", "cast(1 AS decimal(6,2)) AS quantity", "cast(p_size AS decimal(6,2)) AS material_quantity",
             f"{_amount(_hundredths('p_retailprice'))} AS unit_cost")
         return self._lines().join(part, F.expr("part = p_partkey")).select(
-            "detail_id", part.quantity, "material_quantity", "unit_cost")
+            "transaction_id", "detail_id", part.quantity, "material_quantity", "unit_cost")
 
     def commissions(self) -> DataFrame:
         return self._lines("l_returnflag = 'A'").selectExpr(
@@ -151,8 +151,8 @@ class SampleTables:
     def detail_extends(self) -> DataFrame:
         """One extension for each line with status F, two for the first line of a transaction."""
         lines = self._lines("l_linestatus = 'F'")
-        return lines.selectExpr("detail_id AS id", "detail_id").union(
-            lines.filter("line = 1").selectExpr("detail_id AS id", "detail_id"))
+        columns = ("detail_id AS id", "transaction_id", "detail_id")
+        return lines.selectExpr(*columns).union(lines.filter("line = 1").selectExpr(*columns))
 
     def accounts(self) -> DataFrame:
         return self.table("customer").selectExpr(

@@ -12,6 +12,7 @@ from tallyspark.operators.keys import having_keys
 # Child table -> the column that points at the transaction.
 TRANSACTION_CHILDREN = {"details": "transaction_id", "commissions": "transaction_id", "payments": "transaction_id",
                         "promos": "transaction_id"}
+#: They name the line, and may name its transaction, too.
 LINE_CHILDREN = ("addons", "detail_extends")
 RESERVATION_CHILDREN = {"services": "reservation_id"}
 #: Literal ranges that a batch's ids are summed up by at most.
@@ -43,8 +44,18 @@ class Source:
 
         A semi join: Spark broadcasts the ids while they are few and shuffles both sides when they are not.
         """
+        def of(rows: DataFrame, column: str) -> DataFrame:
+            # A child without a parent belongs to nothing, so a plain join does, and leaves the rows dealt by their parent.
+            return rows.join(ids.select(F.col("id").alias("_id")), F.col(column) == F.col("_id"), "left_semi")
+
         def limited(table: str, column: str) -> Callable[[], DataFrame]:
-            return lambda: having_keys(getattr(self, table), ids.withColumnRenamed("id", column), [column])
+            return lambda: of(getattr(self, table), column)
+
+        def of_lines(table: str) -> DataFrame:
+            rows = getattr(self, table)
+            if "transaction_id" in rows.columns:
+                return of(rows, "transaction_id")
+            return having_keys(rows, children.details.select("detail_id"), ["detail_id"])
 
         builders = dict(self._builders)
         builders.update({t: limited(t, c) for t, c in TRANSACTION_CHILDREN.items() if t in builders})
@@ -52,17 +63,21 @@ class Source:
         # What hangs on the lines is limited to the lines of the batch before anything is summed.
         for table in LINE_CHILDREN:
             if table in builders:
-                builders[table] = lambda table=table: having_keys(
-                    getattr(self, table), children.details.select("detail_id"), ["detail_id"])
+                builders[table] = lambda table=table: of_lines(table)
         return Source(builders)
 
     def near_ids(self, ranges: Sequence[tuple[int, int]], columns: Mapping[str, str]) -> Source:
         """Tables limited to literal ranges of the column named for each, which reach the files' statistics or a database
         as a plain filter."""
         def limited(table: str, column: str) -> Callable[[], DataFrame]:
-            return lambda: getattr(self, table).filter(in_ranges(column, ranges))
+            def build() -> DataFrame:
+                rows = getattr(self, table)
+                return rows.filter(in_ranges(column, ranges)) if column in rows.columns else rows
+            return build
 
         builders = dict(self._builders)
+        if "details" in columns:
+            columns = {**columns, **dict.fromkeys(LINE_CHILDREN, columns["details"])}
         builders.update({t: limited(t, c) for t, c in columns.items() if t in builders})
         return Source(builders)
 
