@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tallyspark.plans.sales import addon_costs
+from tallyspark.plans.sales import addon_costs, line_summaries, product_summary, sales_raw
 from tallyspark.plans.tax import line_taxes, tax_raw
+from tallyspark.session import RUNTIME_CONF
 from tallyspark.sources.sample_tables import SampleTables
 from tallyspark.sources.tables import Source
 
@@ -62,3 +63,42 @@ def test_lines_travel_once_to_a_full_tax_mart(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not [line for line in plan.splitlines() if "hashpartitioning(" in line and "detail_id" in line.split("hashpartitioning(")[1].split(")")[0]]
+
+
+def test_products_and_addons_of_lines_in_one_pass(spark):
+    def make(lines, addons, whole=True):
+        lines = lines.withColumns({"quantity": F.expr("cast(if(detail_id = 3, NULL, 2.5) AS decimal(8,2))"),
+                                   "unit_cost": F.expr("cast(detail_id AS decimal(8,2))"), "total_price": F.expr("cast(7 AS decimal(8,2))")})
+        found = line_summaries(lines, addons, whole)
+        if len(found) == 2:
+            # Summed one by one, and joined as the star does.
+            found = [product_summary(lines).join(addon_costs(lines, addons), "transaction_id", "left").na.fill(0, ["hpp_addon"])]
+        return found[0].filter("transaction_id IS NOT NULL").select("transaction_id", "product", "hpp_product", "gross_sales", "hpp_addon")
+    one, two, three = both_ways(spark, CHILDREN, make)
+    assert one == two == three and len(one) == 4
+
+
+def test_lines_are_read_once_for_products_and_addons(spark):
+    """Four tables hang on a transaction: payments, lines, add-ons and commissions."""
+    plan = sales_raw(SampleTables(spark, "/root/testdata/sf0.001").source())._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [l_orderkey" in line for line in plan.splitlines()) == 4
+
+
+def test_lines_of_a_batch_are_cut_down_where_they_are_scanned(spark, tmp_path):
+    """Every scan of the lines asks the filter of the batch's ids, before anything is shuffled."""
+    bloom = {k: v for k, v in RUNTIME_CONF.items() if "bloomFilter" in k}
+    conf = {**bloom, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    source = SampleTables(spark, "/root/testdata/sf0.001").source()
+    source.transactions.filter("id % 10 = 3").write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.schema(source.transactions.schema).parquet(f"{tmp_path}/batch")
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for raw, scans in ((sales_raw, 4), (tax_raw, 3)):
+            lines = raw(source, batch)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            asked = [line for line in lines if "might_contain" in line and "xxhash64(l_orderkey" in line]
+            assert len(asked) == scans
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
