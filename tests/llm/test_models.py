@@ -5,10 +5,11 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyspark.llm import quality, queries, toxicity, vp_trees
-from tallyspark.llm.tables import table
+from tallyspark.llm.tables import is_held_out, table
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -24,6 +25,25 @@ def test_quality_on_held_out_rows(spark, scratch):
     assert accuracy(found, table(spark, FOLDER, "labels"), "quality") > 0.95
 
 
+def test_quality_is_not_fitted_on_the_driver(spark, documents, monkeypatch):
+    """The driver gets the finished space: neither the sample's terms nor the decomposition pass its memory."""
+    rows = [(i, f"word{i % 7} other{i % 5} " * (i % 9 + 1)) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], LABELS)
+    known = {r["doc_id"]: r["y"] for r in labels.filter(~is_held_out(F.col("doc_id"))).selectExpr("doc_id", "quality AS y").collect()}
+    terms = [(known[i], quality.term_vector(text)) for i, text in rows if i in known]
+    terms.sort(key=lambda t: (t[0], np.flatnonzero(t[1]).astype(np.int32).tobytes(), t[1][np.flatnonzero(t[1])].tobytes()))
+    how = quality.Voting(neighbours=5, rank=6)
+    want = quality.space_of(np.stack([t for _, t in terms]), np.array([y for y, _ in terms], dtype=float), how)
+
+    def refuse(*args):
+        raise AssertionError("fitted on the driver")
+
+    monkeypatch.setattr(quality, "space_of", refuse)
+    space = quality.fit(documents(*rows), labels, how)
+    some = np.stack([t for _, t in terms[::5]])
+    assert space.vote(some, how) == pytest.approx(want.vote(some, how), rel=1e-4)
+
+
 def test_toxicity_on_held_out_rows(spark, scratch):
     found = toxicity.op7_toxicity(spark, FOLDER)
     assert found.count() == table(spark, FOLDER, "documents").count()
