@@ -52,16 +52,16 @@ TRANSACTION = (
     "if(o_orderkey % 4 <> 0, concat('note ', o_orderkey), NULL) AS note",
     "if(o_orderkey % 23 <> 0, o_orderkey % 9, NULL) AS item_count",
 )
+# (order, line number) repeats in the files; the line is told apart by all its columns. Made of the line's own columns after
+# it has met its part, so that no value travels there twice.
+DETAIL_ID = ("named_struct('o', transaction_id, 'n', line, 'p', part, 's', supplier, 'q', line_quantity, 'x', price) AS detail_id")
 LINE = (
-    # (order, line number) repeats in the files; the line is told apart by all its columns.
-    f"""named_struct('o', l_orderkey, 'n', l_linenumber, 'p', l_partkey, 's', l_suppkey,
-        'q', {_hundredths('l_quantity')}, 'x', {_hundredths('l_extendedprice')}) AS detail_id""",
-    "l_orderkey AS transaction_id", "l_linenumber AS line", "l_partkey AS part",
-    f"{_hundredths('l_quantity')} AS quantity", f"{_hundredths('l_extendedprice')} AS price",
+    "l_orderkey AS transaction_id", "l_linenumber AS line", "l_partkey AS part", "l_suppkey AS supplier",
+    f"{_hundredths('l_quantity')} AS line_quantity", f"{_hundredths('l_extendedprice')} AS price",
     f"{_hundredths('l_discount')} AS discount", f"{_hundredths('l_tax')} AS tax", "l_returnflag", "l_linestatus",
 )
 DETAIL = (
-    "detail_id", "transaction_id", f"{_price('quantity')} AS quantity", "unit_cost", f"{_price('price')} AS total_price",
+    DETAIL_ID, "transaction_id", f"{_price('line_quantity')} AS quantity", "unit_cost", f"{_price('price')} AS total_price",
     f"{_amount('price * tax')} AS product_tax", f"{_amount('price * (tax + 1)')} AS total_product_tax",
 )
 RESERVATION = (
@@ -133,8 +133,8 @@ class SampleTables:
         part = self.table("part").filter("p_type = 'PROMO'").selectExpr(
             "p_partkey", "cast(1 AS decimal(6,2)) AS quantity", "cast(p_size AS decimal(6,2)) AS material_quantity",
             f"{_amount(_hundredths('p_retailprice'))} AS unit_cost")
-        return self._lines().join(part, F.expr("part = p_partkey")).select(
-            "transaction_id", "detail_id", part.quantity, "material_quantity", "unit_cost")
+        return self._lines().join(part, F.expr("part = p_partkey")).selectExpr(
+            "transaction_id", DETAIL_ID, "quantity", "material_quantity", "unit_cost")
 
     def commissions(self) -> DataFrame:
         return self._lines("l_returnflag = 'A'").selectExpr(
@@ -152,7 +152,8 @@ class SampleTables:
         """One extension for each line with status F, two for the first line of a transaction."""
         lines = self._lines("l_linestatus = 'F'")
         columns = ("detail_id AS id", "transaction_id", "detail_id")
-        return lines.selectExpr(*columns).union(lines.filter("line = 1").selectExpr(*columns))
+        return lines.selectExpr("*", DETAIL_ID).selectExpr(*columns).union(
+            lines.filter("line = 1").selectExpr("*", DETAIL_ID).selectExpr(*columns))
 
     def accounts(self) -> DataFrame:
         return self.table("customer").selectExpr(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tallyspark.plans.sales import addon_costs, line_summaries, product_summary, sales_raw
 from tallyspark.plans.tax import line_taxes, tax_raw
 from tallyspark.session import RUNTIME_CONF
-from tallyspark.sources.sample_tables import SampleTables
+from tallyspark.sources.sample_tables import FILES, SampleTables
 from tallyspark.sources.tables import Source
 
 # Line 2 is there twice, line 3 hangs on nothing, line 9 has no transaction, one line has no id.
@@ -102,3 +102,24 @@ def test_lines_of_a_batch_are_cut_down_where_they_are_scanned(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_an_id_of_a_line_is_made_after_it_met_its_part(spark, tmp_path):
+    """The id repeats the line's own columns, so it isn't shuffled to the parts with them; null columns stay part of it."""
+    line = {"l_orderkey": 1, "l_partkey": 2, "l_suppkey": 3, "l_linenumber": 4, "l_quantity": 5.0, "l_extendedprice": 6.25,
+            "l_discount": 0.1, "l_tax": 0.2, "l_returnflag": "A", "l_linestatus": "F", "l_shipdate": None}
+    rows = [line, {**line, "l_suppkey": None, "l_quantity": None}, {**line, "l_partkey": None}]
+    part = {"p_partkey": 2, "p_name": "n", "p_brand": "b", "p_type": "PROMO", "p_size": 7, "p_retailprice": 8.5}
+    for name, data in (("lineitem", rows), ("part", [part])):
+        spark.createDataFrame(data, FILES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    source = SampleTables(spark, str(tmp_path)).source()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for lines, ids in ((source.details, {(1, 4, 2, 3, 500, 625), (1, 4, 2, None, None, 625), (1, 4, None, 3, 500, 625)}),
+                           (source.addons, {(1, 4, 2, 3, 500, 625), (1, 4, 2, None, None, 625)})):
+            plan = lines._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("named_struct(") == 1 and plan.index("named_struct(") < plan.index("Exchange hashpartitioning(part")
+            found = [tuple(r["detail_id"]) for r in lines.select("detail_id").collect()]
+            assert set(found) == ids and len(found) == len(ids)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
