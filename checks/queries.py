@@ -193,13 +193,12 @@ def grouped_measures(t: SampleTables) -> DataFrame:
 
 def stored_transactions(t: SampleTables) -> DataFrame:
     """Transactions as they were before the batch: later ones are absent or had another day, type and status."""
-    now = t.transactions()
-    moved = now.filter((F.col("updated_at") >= progress.moment(BATCH_START)) & (F.col("id") % 2 == 0)).withColumns({
-        "sold_at": F.col("sold_at") - F.make_dt_interval(days=F.lit(40)),
-        "order_type": F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("order_type")),
-        "status": F.lit("1"),
+    early, late = F.col("updated_at") < progress.moment(BATCH_START), F.col("updated_at") >= progress.moment(BATCH_START)
+    return t.transactions().filter(early | (late & (F.col("id") % 2 == 0))).withColumns({
+        "sold_at": F.when(late, F.col("sold_at") - F.make_dt_interval(days=F.lit(40))).otherwise(F.col("sold_at")),
+        "order_type": F.when(late & (F.col("id") % 3 == 0), 1).otherwise(F.col("order_type")),
+        "status": F.when(late, F.lit("1")).otherwise(F.col("status")),
     })
-    return now.filter(F.col("updated_at") < progress.moment(BATCH_START)).unionByName(moved)
 
 
 def stored_reservations(t: SampleTables) -> DataFrame:

@@ -53,8 +53,11 @@ def changed_by(table: MartTable, delta: DataFrame) -> DataFrame:
 
 
 def checksums(rows: DataFrame, by: Mapping[str, Column]) -> DataFrame:
-    """How many rows there are by some keys, and a digest of them that doesn't depend on their order."""
-    row = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(rows.columns)))
+    """How many rows there are by some keys, and a digest of them that doesn't depend on their order.
+
+    The hash of a row leaves nulls out, so it is told beside each value whether there is one.
+    """
+    row = F.xxhash64(*(part for c in sorted(rows.columns) for part in (F.col(c).isNull(), F.col(c))))
     return rows.groupBy(*(c.alias(k) for k, c in by.items())).agg(
         F.count("*").alias("rows"), F.sum(row.cast("decimal(38,0)")).cast("decimal(38,0)").alias("digest"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -72,7 +72,7 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
         entity = scratch.keep(entity, "entity") if mart.widen else entity  # else the caller has kept it
         ids = scratch.keep(ids.select("id").distinct(), "ids")
         children = RESERVATION_CHILDREN if mart.entity == "reservations" else TRANSACTION_CHILDREN
-        near = mart.bound(source, entity, scratch.keep) if mart.bound else source.near_ids(id_ranges(entity), children)
+        near = mart.bound(source, entity, scratch.keep) if mart.bound else nearby(source, entity, children, scratch)
         rows = scratch.keep(mart.raw_rows(near, entity), "rows")
         new, known = scratch.keep(ledger_rows(mart, rows), "new"), scratch.keep(located(store, mart, ids), "known")
         changed = ids if resum else scratch.keep(changed_ids(new, known, by_day), "changed")
@@ -94,6 +94,12 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
         scratch.clean()
 
 
+def nearby(source: Source, entity: DataFrame, children: Mapping[str, str], scratch: Scratch) -> Source:
+    """The source limited to what a batch can need."""
+    ranges = id_ranges(entity)
+    return (source.narrowed(entity, ranges, scratch.keep) if children is TRANSACTION_CHILDREN else source).near_ids(ranges, children)
+
+
 def carry_up(store: MartStore, batch: Changes, mart: Mart, doomed: DataFrame, rows: DataFrame, scratch: Scratch,
              before: date | None, resum: bool) -> None:
     """Stage every level after a batch.

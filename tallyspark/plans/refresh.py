@@ -17,10 +17,7 @@ from tallyspark.schema import (
     COMPLIMENT_RAW, MartTable, SALES_DAILY, SALES_HOURLY, SALES_MONTHLY, SALES_NET_LINKS, SALES_RAW, SALES_YEARLY,
     SUMMARY_DAILY, SUMMARY_RAW, TAX_DAILY, TAX_MONTHLY, TAX_RAW, TAX_YEARLY, UTILIZATION_DAILY, UTILIZATION_RAW, ledger_of,
 )
-from tallyspark.sources.tables import Source
-
-# Stores an intermediate result under a name and returns it read back.
-Keep = Callable[[DataFrame, str], DataFrame]
+from tallyspark.sources.tables import Keep, Source
 
 
 @dataclass(frozen=True)

@@ -72,24 +72,19 @@ def addon_costs(details: DataFrame, addons: DataFrame, whole: bool = True) -> Da
 def line_summaries(details: DataFrame, addons: DataFrame, whole: bool = True) -> list[DataFrame]:
     """Products and add-on costs per transaction.
 
-    Where add-ons name their transaction, both come from one pass: the lines are read and dealt once, with the add-ons.
+    Where add-ons name their transaction, both come from one pass: the lines are read and dealt once, by it, and meet the add-ons
+    of the same line there. Add-ons are summed per line first, so no line is repeated; they are dealt once more after that,
+    so that Spark knows how few they are and needn't sort the lines to join them.
     """
     if "transaction_id" not in addons.columns:
         return [product_summary(details), addon_costs(details, addons, whole)]
-    measures = {"quantity": F.col("quantity"), "cost": F.col("quantity") * F.col("unit_cost"), "total_price": F.col("total_price")}
-    both = dealt(
-        details.select("transaction_id", "detail_id", F.lit(1).alias("lines"), F.lit(0).alias("addons"), F.lit(None).alias("addon_cost"),
-                       *(c.alias(m) for m, c in measures.items())),
-        addons.select("transaction_id", "detail_id", F.lit(0).alias("lines"), F.lit(1).alias("addons"),
-                      (F.col("quantity") * F.col("material_quantity") * F.col("unit_cost")).alias("addon_cost"),
-                      *(F.lit(None).alias(m) for m in measures)), whole)
-    lines = both.groupBy("transaction_id", "detail_id").agg(
-        F.sum("lines").alias("lines"), F.sum("addons").alias("addons"), total("addon_cost").alias("line_cost"),
-        *(F.sum(m).alias(m) for m in measures)).filter("lines > 0")
-    carried = F.when((F.col("addons") > 0) & F.col("detail_id").isNotNull(), F.col("line_cost") * F.col("lines").cast("int"))
+    key, cost = ["transaction_id", "detail_id"], F.col("quantity") * F.col("material_quantity") * F.col("unit_cost")
+    per_line = addons.groupBy(*key).agg(total(cost).alias("line_cost")).repartition("transaction_id")
+    lines = details.select(*key, "quantity", (F.col("quantity") * F.col("unit_cost")).alias("cost"), "total_price")
+    lines = (lines.repartition("transaction_id") if whole else lines).join(per_line, key, "left")
     return [lines.groupBy("transaction_id").agg(
         total_or_zero("quantity").alias("product"), total_or_zero("cost").alias("hpp_product"),
-        total_or_zero("total_price").alias("gross_sales"), total_or_zero(carried).alias("hpp_addon"))]
+        total_or_zero("total_price").alias("gross_sales"), total_or_zero("line_cost").alias("hpp_addon"))]
 
 
 def dealt(details: DataFrame, children: DataFrame, whole: bool) -> DataFrame:

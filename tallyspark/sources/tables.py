@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.operators.keys import having_keys
 
+# Stores an intermediate result under a name and returns it read back.
+Keep = Callable[[DataFrame, str], DataFrame]
 # Child table -> the column that points at the transaction.
 TRANSACTION_CHILDREN = {"details": "transaction_id", "commissions": "transaction_id", "payments": "transaction_id",
                         "promos": "transaction_id"}
@@ -20,10 +22,14 @@ ID_RANGES = 16
 
 
 class Source:
-    """Source tables by name, each built on first use so that a job only scans what it reads."""
+    """Source tables by name, each built on first use so that a job only scans what it reads.
 
-    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
-        self._builders = dict(builders)
+    Where several children are made of one table, ``shared`` builds them anew from its rows of some transactions, kept once.
+    """
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]],
+                 shared: Callable[[DataFrame, Keep], Mapping[str, Callable[[], DataFrame]]] | None = None):
+        self._builders, self._shared = dict(builders), shared
         self._built: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -39,6 +45,22 @@ class Source:
         builders.update({name: (lambda frame=frame: frame) for name, frame in frames.items()})
         return Source(builders)
 
+    def narrowed(self, ids: DataFrame, ranges: Sequence[tuple[int, int]], keep: Keep) -> Source:
+        """The same source, its children read once for a batch (column ``id``) where they share a table."""
+        if self._shared is None or not ranges:
+            return self
+        made: dict[str, Callable[[], DataFrame]] = {}
+
+        def child(table: str) -> Callable[[], DataFrame]:
+            def build() -> DataFrame:
+                # The ranges hold all ids. As a filter they tell Spark that the ids select something of the table.
+                made.update(made or self._shared(ids.select("id").filter(in_ranges("id", ranges)), keep))
+                return made[table]()
+            return build
+
+        # A mart that reads no child has none read for it.
+        return Source(self._builders | {t: child(t) for t in (*TRANSACTION_CHILDREN, *LINE_CHILDREN) if t in self._builders})
+
     def of_transactions(self, ids: DataFrame) -> Source:
         """Child tables limited to the listed transactions (column ``id``).
 

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from checks.queries import stored_transactions
+from tallyspark.operators.deltas import checksums
 from tallyspark.plans.sales import addon_costs, line_summaries, product_summary, sales_raw
 from tallyspark.plans.tax import line_taxes, tax_raw
 from tallyspark.session import RUNTIME_CONF
 from tallyspark.sources.sample_tables import FILES, SampleTables
-from tallyspark.sources.tables import Source
+from tallyspark.sources.tables import TRANSACTION_CHILDREN, Source, id_ranges
 
 # Line 2 is there twice, line 3 hangs on nothing, line 9 has no transaction, one line has no id.
 LINES = [(1, 10), (2, 10), (2, 10), (3, 10), (4, 11), (5, 12), (9, None), (None, 12), (None, 13)]
@@ -123,3 +125,57 @@ def test_an_id_of_a_line_is_made_after_it_met_its_part(spark, tmp_path):
             assert set(found) == ids and len(found) == len(ids)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_meet_their_addons_where_they_were_dealt(spark):
+    """Only the add-ons are grouped by line. The lines are dealt by their transaction alone and join them there."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": RUNTIME_CONF.get(
+        "spark.sql.requireAllClusterKeysForCoPartition", "true")}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        execution = sales_raw(SampleTables(spark, "/root/testdata/sf0.001").source())._jdf.queryExecution()
+        assert "Union" not in execution.optimizedPlan().toString()
+        by_line = [line for line in execution.executedPlan().toString().splitlines()
+                   if "hashpartitioning(" in line and "detail_id" in line.split("hashpartitioning(")[1].split(")")[0]]
+        assert len(by_line) <= 1
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_children_of_a_batch_read_their_lines_once(spark, tmp_path):
+    """They are made of the batch's lines, kept once. A batch of most transactions has no lines copied."""
+    source, kept = SampleTables(spark, "/root/testdata/sf0.001").source(), []
+
+    def keep(df, name):
+        kept.append(name)
+        path = f"{tmp_path}/{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    batch = source.transactions.filter("id % 10 = 3")
+    near = source.narrowed(batch, id_ranges(batch), keep).near_ids(id_ranges(batch), TRANSACTION_CHILDREN)
+    assert kept == []
+    assert not [f for f in near.payments.inputFiles() + near.commissions.inputFiles() if str(tmp_path) not in f]
+    assert kept == ["lineitem"]
+    for raw in (sales_raw, tax_raw):
+        assert sorted(map(str, raw(near, batch).collect())) == sorted(map(str, raw(source, batch).collect()))
+    assert source.narrowed(source.transactions, id_ranges(source.transactions), keep).details.count() == source.details.count()
+    assert kept == ["lineitem"]
+
+
+def test_earlier_transactions_are_read_once(spark):
+    """Two scans of the orders: for themselves and for the heads of the split bills."""
+    plan = stored_transactions(SampleTables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [o_orderkey" in line for line in plan.splitlines()) == 2
+
+
+def test_a_digest_tells_nulls_from_values_and_by_column(spark):
+    rows = [(1, None, 5), (2, 5, None), (3, None, None), (4, 0, 5), (5, 5, 5)]
+    found = checksums(spark.createDataFrame(rows, "id long, a long, b long").select("a", "b", F.col("id").alias("k")).withColumn("k", F.col("k") * 0),
+                      {"a": F.col("a"), "b": F.col("b")}).collect()
+    assert len({r["digest"] for r in found}) == 5
+    plan = checksums(spark.createDataFrame(rows, "id long, a long, b long"), {"id": F.col("id")})._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in plan
