@@ -63,8 +63,8 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
 
     ``entity`` holds the source rows as they are now, ``ids`` everything that may have changed, deleted rows included. Ids
     whose raw rows are what the ledger knows of them are left out, so a window that overlaps the last one doesn't write
-    again what that has written. Of the others the old raw rows are found by the ledger's places. Levels take the old rows
-    off and add the new ones, key by key; ``resum`` sums the touched keys from the finer level instead, for levels that may
+    again what that has written. Of the others the new raw rows are kept apart, so that all rows travel once to meet their ids,
+    and the old ones are found by the ledger's places. Levels take the old rows off and add the new ones, key by key; ``resum`` sums the touched keys from the finer level instead, for levels that may
     be wrong themselves. ``by_day`` compares whole days before ids. All tables are put in place by one record.
     """
     batch, scratch = store.begin(mart.name), Scratch(store.spark)
@@ -75,15 +75,17 @@ def refresh_stored(store: MartStore, mart: Mart, source: Source, entity: DataFra
         near = mart.bound(source, entity, scratch.keep) if mart.bound else nearby(source, entity, children, scratch)
         rows = scratch.keep(mart.raw_rows(near, entity), "rows")
         new, known = scratch.keep(ledger_rows(mart, rows), "new"), scratch.keep(located(store, mart, ids), "known")
-        changed = ids if resum else scratch.keep(changed_ids(new, known, by_day), "changed")
-        count = changed.count()
+        changed = ids if resum else scratch.keep(changed_ids(new, known, by_day, scratch.keep), "changed")
+        count, low = changed.agg(F.count("*"), F.min("id")).first()
         if count:
-            new, known = (having_keys(df, changed, ["id"]) for df in (new, known))
-            rows = stored_rows(rows, mart, changed)
-            doomed = scratch.keep(raw_of(store, mart, known, changed).select(*mart.raw.column_names), "doomed")
+            # All ids pass. As a filter it tells Spark that they may be few of the table's, so that their Bloom filter is asked.
+            few = changed if low is None else changed.filter(F.coalesce("id", F.lit(low)) >= low)
+            rows = stored_rows(rows, mart, few)
+            rows = rows if resum else scratch.keep(rows, "fresh")
+            doomed = scratch.keep(raw_of(store, mart, having_keys(known, few, ["id"]), few).select(*mart.raw.column_names), "doomed")
             places = [*mart.raw.key, *mart.raw.calendar]
             batch.replace(mart.raw, doomed.select(*places).union(rows.select(*places)).distinct(), rows)
-            batch.replace(mart.ledger, changed, new)
+            batch.replace(mart.ledger, changed, ledger_rows(mart, rows))
             carry_up(store, batch, mart, doomed, rows, scratch, before, resum)
         if mart.links:
             replace_links(store, batch, mart, ids if linked is None else linked.select(F.col(mart.links.key[0]).alias("id")).union(ids),
@@ -204,7 +206,7 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
         there = store.load(mart.raw).filter(F.col("p_month").between(f"{start:%Y-%m}", f"{end:%Y-%m}"))
         stored = scratch.keep(there.filter(in_range(mart.raw, start, end, scope)).select(
             F.col(mart.raw.key[0]).alias("id")).distinct(), "stored")
-        moved = scratch.keep(having_keys(found, lacking_keys(stored, inside, ["id"]), ["id"]), "moved")
+        moved = scratch.keep(elsewhere(found, scratch.keep(lacking_keys(stored, inside, ["id"]), "gone")), "moved")
         entity = inside.unionByName(moved)
         linked = stored_links(store, mart, entity, None if mart.links is None else in_range(mart.links, start, end, scope))
         batch = mart.batch(source, entity, linked)
@@ -214,6 +216,11 @@ def run_recovery(store: MartStore, mart: Mart, source: Source, start: datetime,
         scratch.clean()
 
 
+def elsewhere(found: DataFrame, gone: DataFrame) -> DataFrame:
+    """Source rows of ids that have left the range. The source is asked for the ranges of these, and for nothing if there are none."""
+    return having_keys(found.filter(in_ranges("id", id_ranges(gone.filter("id IS NOT NULL")))), gone, ["id"])
+
+
 def covered_months(spark: SparkSession, start: date, end: date) -> list[Row]:
     """Year and month of every month in a range, oldest first; as long as the calendar says."""
     months = spark.range(1).select(F.explode(times.months_covered(F.lit(start), F.lit(end))).alias("first"))

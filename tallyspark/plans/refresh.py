@@ -183,14 +183,15 @@ def ledger_rows(mart: Mart, raw: DataFrame) -> DataFrame:
     return checksums(raw.select(*mart.raw.column_names), places)
 
 
-def changed_ids(new: DataFrame, known: DataFrame, by_day: bool) -> DataFrame:
+def changed_ids(new: DataFrame, known: DataFrame, by_day: bool, keep: Keep) -> DataFrame:
     """Ids whose raw rows aren't what the ledger knows of them.
 
     With ``by_day`` days are compared first, per merchant and outlet, and ids only within those that differ: over a long
-    range most don't, and a checksum of each is far less than its ids.
+    range most don't, and a checksum of each is far less than its ids. The days are kept, so that Spark knows how few they
+    are before it shuffles all ids to meet them.
     """
     if by_day:
-        days = differing(new, known, ["merchant_id", "outlet_id", "date"])
+        days = keep(differing(new, known, ["merchant_id", "outlet_id", "date"]), "days")
         new, known = (having_keys(df, days, ["merchant_id", "outlet_id", "date"]) for df in (new, known))
     return differing(new, known, ["id", "merchant_id", "outlet_id", "date"]).select("id").distinct()
 

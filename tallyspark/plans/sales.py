@@ -73,15 +73,17 @@ def line_summaries(details: DataFrame, addons: DataFrame, whole: bool = True) ->
     """Products and add-on costs per transaction.
 
     Where add-ons name their transaction, both come from one pass: the lines are read and dealt once, by it, and meet the add-ons
-    of the same line there. Add-ons are summed per line first, so no line is repeated; they are dealt once more after that,
-    so that Spark knows how few they are and needn't sort the lines to join them.
+    of the same line there. Add-ons are dealt by it, too, and summed per line first, so no line is repeated. Rows of a batch, and
+    those of ``Source.dealt``, are dealt so already (not ``whole``).
     """
     if "transaction_id" not in addons.columns:
         return [product_summary(details), addon_costs(details, addons, whole)]
     key, cost = ["transaction_id", "detail_id"], F.col("quantity") * F.col("material_quantity") * F.col("unit_cost")
-    per_line = addons.groupBy(*key).agg(total(cost).alias("line_cost")).repartition("transaction_id")
+    if whole:
+        details, addons = details.repartition("transaction_id"), addons.repartition("transaction_id")
+    per_line = addons.groupBy(*key).agg(total(cost).alias("line_cost"))
     lines = details.select(*key, "quantity", (F.col("quantity") * F.col("unit_cost")).alias("cost"), "total_price")
-    lines = (lines.repartition("transaction_id") if whole else lines).join(per_line, key, "left")
+    lines = lines.join(per_line, key, "left")
     return [lines.groupBy("transaction_id").agg(
         total_or_zero("quantity").alias("product"), total_or_zero("cost").alias("hpp_product"),
         total_or_zero("total_price").alias("gross_sales"), total_or_zero("line_cost").alias("hpp_addon"))]
@@ -123,9 +125,12 @@ def children_of(source: Source, transactions: DataFrame | None) -> Source:
     return source if transactions is None else source.of_transactions(transactions.select(F.col("id")))
 
 
-def settled_commission() -> Column:
+def commission_counts() -> Column:
     """Commission counts once the transaction is paid and is not a later part of a split bill."""
-    counted = rules.settles_own_bill() & F.col("paid_at").isNotNull()
+    return rules.settles_own_bill() & F.col("paid_at").isNotNull()
+
+
+def settled_commission(counted: Column) -> Column:
     return F.when(counted, money_or_zero("commission")).otherwise(money(F.lit(0)))
 
 
@@ -134,8 +139,10 @@ def star(source: Source, transactions: DataFrame, whole: bool) -> DataFrame:
 
     Every summary is keyed by the transaction, so the joins never multiply rows and all use the same shuffle key.
     """
+    deal = whole and "transaction_id" in source.addons.columns
+    details, addons = (source.dealt("details"), source.dealt("addons")) if deal else (source.details, source.addons)
     summaries = (
-        payment_summary(source.payments), *line_summaries(source.details, source.addons, whole),
+        payment_summary(source.payments), *line_summaries(details, addons, whole and not deal),
         commission_summary(source.commissions),
     )
     facts = transactions.withColumnRenamed("id", "transaction_id")
@@ -148,16 +155,19 @@ def sales_raw(source: Source, transactions: DataFrame | None = None) -> DataFram
     ``transactions`` limits the work to a batch; without it the whole source is taken.
     """
     chosen = (source.transactions if transactions is None else transactions).filter(is_sale() & rules.is_active())
-    joined = star(children_of(source, None if transactions is None else chosen), chosen, transactions is None)
+    # What the rules make of other columns is made before the transactions are dealt, so that those stay behind.
+    facts = chosen.select(
+        "id", "merchant_id", "outlet_id", "sold_at", "total", "refund", "cash_change", rules.order_type().alias("order_type"),
+        rules.is_refund().alias("is_refund"), rules.counts_as_transaction().alias("count_transaction"), commission_counts().alias("settled"))
+    joined = star(children_of(source, None if transactions is None else chosen), facts, transactions is None)
     return SALES_RAW.conform(joined.select(
         F.col("transaction_id").alias("id_transaction"), "merchant_id", "outlet_id",
-        rules.is_refund().alias("is_refund"), F.col("sold_at").alias("datetime"), F.to_date("sold_at").alias("date"),
+        "is_refund", F.col("sold_at").alias("datetime"), F.to_date("sold_at").alias("date"),
         money("total").alias("sales_value"), paid_value().alias("payment_value"),
         money_or_zero("gross_sales").alias("gross_sales"), money("refund").alias("refund"),
-        rules.order_type().alias("order_type"), money_or_zero("product").alias("product"),
+        "order_type", money_or_zero("product").alias("product"),
         money_or_zero("hpp_product").alias("hpp_product"), money_or_zero("hpp_addon").alias("hpp_addon"),
-        money_or_zero("mdr").alias("mdr"), settled_commission().alias("commission"),
-        rules.counts_as_transaction().alias("count_transaction"),
+        money_or_zero("mdr").alias("mdr"), settled_commission(F.col("settled")).alias("commission"), "count_transaction",
     ))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyspark.functions import rules
 from tallyspark.functions.money import MONEY, money_or_zero, total, total_or_zero, total_where
 from tallyspark.operators.keys import distinct_keys, having_keys, lacking_keys
-from tallyspark.plans.sales import children_of, is_sale, paid_value, settled_commission, star
+from tallyspark.plans.sales import children_of, commission_counts, is_sale, paid_value, settled_commission, star
 from tallyspark.schema import SALES_RAW
 from tallyspark.sources.tables import TRANSACTION_CHILDREN, Source, id_ranges
 
@@ -57,7 +57,7 @@ def sales_net_raw(source: Source, transactions: DataFrame | None = None) -> Data
         money_or_zero("hpp_product").alias("hpp_product"), money_or_zero("gross_sales").alias("gross_sales"),
         (money_or_zero("mdr") + money_or_zero("part_mdr")).cast(MONEY).alias("mdr"),
         paid_value().alias("payment_value"), money_or_zero("hpp_addon").alias("hpp_addon"),
-        settled_commission().alias("commission"),
+        settled_commission(commission_counts()).alias("commission"),
     )
 
 

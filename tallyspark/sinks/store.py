@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyspark.operators.keys import lacking_keys
 from tallyspark.schema import HISTORY, MartTable
-from tallyspark.session import delete_path, folders, move_path, path_exists, read_text, write_text
+from tallyspark.session import delete_path, folders, move_path, path_exists, read_text, shuffles_of_one_write, write_text
 
 
 class MartStore:
@@ -95,7 +95,8 @@ class MartStore:
         places = table.partitions(self.grain)
         within = [c for c in ("merchant_id", "outlet_id") if c in table.column_names]
         placed = rows.to(table.stored_schema).withColumns(places).hint("rebalance", *(F.col(p) for p in places))
-        placed.sortWithinPartitions(*places, *within).write.mode(mode).partitionBy(*places).parquet(path)
+        with shuffles_of_one_write(self.spark):
+            placed.sortWithinPartitions(*places, *within).write.mode(mode).partitionBy(*places).parquet(path)
 
     # -- batches ---------------------------------------------------------------------------------------------------
 

@@ -55,7 +55,7 @@ TRANSACTION = (
     "if(o_orderkey % 23 <> 0, o_orderkey % 9, NULL) AS item_count",
 )
 # (order, line number) repeats in the files; the line is told apart by all its columns. Made of the line's own columns after
-# it has met its part, so that no value travels there twice.
+# it has met its part and its transaction, so that no value travels there twice.
 DETAIL_ID = ("named_struct('o', transaction_id, 'n', line, 'p', part, 's', supplier, 'q', line_quantity, 'x', price) AS detail_id")
 LINE = (
     "l_orderkey AS transaction_id", "l_linenumber AS line", "l_partkey AS part", "l_suppkey AS supplier",
@@ -66,6 +66,9 @@ DETAIL = (
     DETAIL_ID, "transaction_id", f"{_price('line_quantity')} AS quantity", "unit_cost", f"{_price('price')} AS total_price",
     f"{_amount('price * tax')} AS product_tax", f"{_amount('price * (tax + 1)')} AS total_product_tax",
 )
+ADDON = (
+    "transaction_id", DETAIL_ID, "cast(1 AS decimal(6,2)) AS quantity", "material_quantity", "unit_cost",
+)
 RESERVATION = (
     "event_id AS id", "concat('R', event_id) AS reservation_no", "user_id % 10 AS merchant_id",
     "user_id % 3 AS outlet_id", "user_id AS customer_id",
@@ -112,10 +115,10 @@ class SampleTables:
         return Source({
             "transactions": self.transactions, **self._children(), "accounts": self.accounts,
             "reservations": self.reservations, "services": self.services,
-        }, self._children_of)
+        }, self._children_of, {"details": DETAIL, "addons": ADDON})
 
     def _children(self) -> dict[str, Callable[[], DataFrame]]:
-        return {"details": self.details, "addons": self.addons, "commissions": self.commissions, "payments": self.payments,
+        return {"details": self._detail_rows, "addons": self._addon_rows, "commissions": self.commissions, "payments": self.payments,
                 "promos": self.promos, "detail_extends": self.detail_extends}
 
     def _children_of(self, ids: DataFrame, keep: Keep) -> dict[str, Callable[[], DataFrame]]:
@@ -140,16 +143,20 @@ class SampleTables:
     def _lines(self, condition: str = "true") -> DataFrame:
         return self.table("lineitem").filter(condition).selectExpr(*LINE)
 
-    def details(self) -> DataFrame:
+    def _detail_rows(self) -> DataFrame:
         part = self.table("part").selectExpr("p_partkey", f"{_price(_hundredths('p_retailprice'))} AS unit_cost")
-        return self._lines().join(part, F.expr("part = p_partkey"), "left").selectExpr(*DETAIL)
+        return self._lines().join(part, F.expr("part = p_partkey"), "left")
 
-    def addons(self) -> DataFrame:
+    def _addon_rows(self) -> DataFrame:
         part = self.table("part").filter("p_type = 'PROMO'").selectExpr(
-            "p_partkey", "cast(1 AS decimal(6,2)) AS quantity", "cast(p_size AS decimal(6,2)) AS material_quantity",
-            f"{_amount(_hundredths('p_retailprice'))} AS unit_cost")
-        return self._lines().join(part, F.expr("part = p_partkey")).selectExpr(
-            "transaction_id", DETAIL_ID, "quantity", "material_quantity", "unit_cost")
+            "p_partkey", "cast(p_size AS decimal(6,2)) AS material_quantity", f"{_amount(_hundredths('p_retailprice'))} AS unit_cost")
+        return self._lines().join(part, F.expr("part = p_partkey"))
+
+    def details(self) -> DataFrame:
+        return self._detail_rows().selectExpr(*DETAIL)
+
+    def addons(self) -> DataFrame:
+        return self._addon_rows().selectExpr(*ADDON)
 
     def commissions(self) -> DataFrame:
         return self._lines("l_returnflag = 'A'").selectExpr(

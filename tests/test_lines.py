@@ -179,3 +179,25 @@ def test_a_digest_tells_nulls_from_values_and_by_column(spark):
     assert len({r["digest"] for r in found}) == 5
     plan = checksums(spark.createDataFrame(rows, "id long, a long, b long"), {"id": F.col("id")})._jdf.queryExecution().optimizedPlan().toString()
     assert "as string" not in plan
+
+
+def test_an_id_of_a_line_is_made_after_the_line_was_dealt(spark):
+    """Neither a full mart nor a batch shuffles the id, or what else repeats the line's own columns, beside these."""
+    source = SampleTables(spark, "/root/testdata/sf0.001").source()
+    ids = source.transactions.filter("id % 3 = 1").select("id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for table in ("details", "addons"):
+            for lines in (source.dealt(table), source.of_transactions(ids).near_ids([(0, 10**9)], TRANSACTION_CHILDREN).__getattr__(table)):
+                plan = lines._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("named_struct(") == 1 and plan.index("named_struct(") < plan.index("Exchange hashpartitioning(transaction_id")
+        assert sorted(map(str, source.dealt("addons").collect())) == sorted(map(str, source.addons.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_transactions_are_dealt_without_the_columns_that_flags_are_made_of(spark):
+    source = SampleTables(spark, "/root/testdata/sf0.001").source()
+    plan = sales_raw(source)._jdf.queryExecution().optimizedPlan()
+    facts = [line for line in plan.toString().splitlines() if "AS settled" in line]
+    assert len(facts) == 1 and "AS is_refund" in facts[0] and "AS count_transaction" in facts[0]

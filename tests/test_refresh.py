@@ -474,3 +474,29 @@ def test_recovery_by_account(spark, folder):
     assert jobs.run_account_recovery(store, refresh.TAX, now, "nobody@x", *month) is None
     assert jobs.run_account_recovery(store, refresh.TAX, now, "till@x", *month).num_row == 1
     assert rows(store.load(refresh.TAX.raw), "id_transaction", "transaction_value") == [(1, 100.0), (2, 2.0)]
+
+
+def test_a_recovery_that_misses_nothing_does_not_ask_the_source_again(spark):
+    """Ids that have left a range are looked for by their ranges; where there are none, no table is read."""
+    found = spark.range(100).withColumn("total", F.col("id") * 2)
+    asked = jobs.elsewhere(found, spark.createDataFrame([], "id long"))
+    assert "Range" not in asked._jdf.queryExecution().optimizedPlan().toString() and asked.count() == 0
+    gone = spark.createDataFrame([(7,), (None,), (90,), (400,)], "id long")
+    assert rows(jobs.elsewhere(found, gone)) == [(7, 14), (90, 180)]
+
+
+def test_the_days_that_differ_are_kept_before_ids_meet_them(spark):
+    scratch, names = Scratch(spark), []
+
+    def keep(df, name):
+        names.append(name)
+        return scratch.keep(df, name)
+
+    day, other = NOW.date(), (NOW - timedelta(days=1)).date()
+    new = spark.createDataFrame([(1, 1, 1, day, 1, 5), (2, 1, 1, day, 1, 6), (3, 1, 1, other, 1, 7)],
+                                "id long, merchant_id long, outlet_id long, date date, rows long, digest int")
+    known = new.withColumn("digest", F.when(F.col("id") == 2, 9).otherwise(F.col("digest")))
+    try:
+        assert rows(refresh.changed_ids(new, known, True, keep)) == [(2,)] and names == ["days"]
+    finally:
+        scratch.clean()

@@ -1,12 +1,13 @@
 """The parquet store: partitions, crashes, and what a read touches."""
 
+import time
 from datetime import date
 
 import pytest
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
 from tallyspark.schema import SALES_DAILY, SALES_MONTHLY, TAX_DAILY
-from tallyspark.session import path_exists
+from tallyspark.session import CLEANUP, Scratch, path_exists
 from tallyspark.sinks.store import MartStore
 from tests.shop import rows
 
@@ -157,3 +158,26 @@ def test_published_layout_round_trip(spark):
         f"mart_tax_report_{c}" for c in ("base_type", "date", "transaction_value", "tax_value", "tax_product"))]
     assert rows(TAX_DAILY.adopt(published)) == rows(df)
     assert SALES_DAILY.published_name("order_type") == "mart_sales_dashboard_daily_order_type"
+
+
+def test_what_a_write_shuffles_goes_as_it_ends(spark, folder):
+    """The driver need not collect its garbage first; the session's own setting stays."""
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(";")
+        return {f for f in files.split(";") if f.rsplit("/", 1)[-1].startswith("shuffle_")}
+
+    def left(since):
+        for _ in range(50):
+            if not shuffled() - since:
+                break
+            time.sleep(0.2)
+        return shuffled() - since
+
+    since, setting = shuffled(), spark.conf.get(CLEANUP)
+    scratch = Scratch(spark)
+    many = spark.range(1000).repartition(4, F.col("id") % 7)
+    kept = scratch.keep(many, "many")
+    MartStore(spark, folder).append(TAX_DAILY, daily(spark, ("2023-05-01", 1), ("2023-05-02", 2)))
+    assert left(since) == set() and spark.conf.get(CLEANUP) == setting
+    assert kept.count() == scratch.keep(many, "again").count() == 1000
+    scratch.clean()
